@@ -16,7 +16,7 @@ def url_last_id(url: Column, missing_ok: bool = False) -> Column:
     Without ``missing_ok`` a non-null URL with no such number is an error.
     """
     digits = F.regexp_extract(url, r"/(\d+)/*$", 1)
-    return digits.try_cast("int") if missing_ok else digits.cast("int")
+    return digits.try_cast("bigint") if missing_ok else digits.cast("bigint")
 
 
 def tier(value: Column, thresholds: Sequence[tuple[float, str]], lowest: str = LOWEST_TIER) -> Column:

@@ -17,18 +17,18 @@ _SYNCED = (SYNCED_AT, "timestamp", "synced_at")
 def projections(naming: Naming = Naming()) -> dict[str, Projection]:
     """Projection of every raw table, by raw table name."""
     n = naming
-    entity_key = (n.id, "int", n.id)
+    entity_key = (n.id, "bigint", n.id)
     return {
         n.raw(): Projection(
             [
-                ("id", "int", n.id),
+                ("id", "bigint", n.id),
                 ("name", "string", n.name),
-                ("base_experience", "int", "base_experience"),
-                ("height", "int", "height_decimeters"),
-                ("weight", "int", "weight_hectograms"),
+                ("base_experience", "bigint", "base_experience"),
+                ("height", "bigint", "height_decimeters"),
+                ("weight", "bigint", "weight_hectograms"),
                 ("is_default", "boolean", "is_default_form"),
-                ("order", "int", n.order_column),
-                ("species_id", "int", "species_id"),
+                ("order", "bigint", n.order_column),
+                ("species_id", "bigint", "species_id"),
                 _SYNCED,
             ],
             ["id"],
@@ -37,14 +37,14 @@ def projections(naming: Naming = Naming()) -> dict[str, Projection]:
             [
                 entity_key,
                 ("stat_name", "string", "stat_name"),
-                ("base_stat", "int", "base_stat_value"),
-                ("effort", "int", "effort_value"),
+                ("base_stat", "bigint", "base_stat_value"),
+                ("effort", "bigint", "effort_value"),
                 _SYNCED,
             ],
             [n.id, "stat_name"],
         ),
         n.raw("types"): Projection(
-            [entity_key, ("type_name", "string", "type_name"), ("slot", "int", "type_slot"), _SYNCED],
+            [entity_key, ("type_name", "string", "type_name"), ("slot", "bigint", "type_slot"), _SYNCED],
             [n.id, "type_name"],
         ),
         n.raw("abilities"): Projection(
@@ -52,7 +52,7 @@ def projections(naming: Naming = Naming()) -> dict[str, Projection]:
                 entity_key,
                 ("ability_name", "string", "ability_name"),
                 ("is_hidden", "boolean", "is_hidden_ability"),
-                ("slot", "int", "ability_slot"),
+                ("slot", "bigint", "ability_slot"),
                 _SYNCED,
             ],
             [n.id, "ability_name"],
@@ -62,24 +62,24 @@ def projections(naming: Naming = Naming()) -> dict[str, Projection]:
         ),
         "moves": Projection(
             [
-                ("id", "int", "move_id"),
+                ("id", "bigint", "move_id"),
                 ("name", "string", "move_name"),
-                ("accuracy", "int", "accuracy"),
-                ("power", "int", "power"),
-                ("pp", "int", "pp"),
+                ("accuracy", "bigint", "accuracy"),
+                ("power", "bigint", "power"),
+                ("pp", "bigint", "pp"),
                 ("type", "string", "move_type"),
                 ("damage_class", "string", "damage_class"),
-                ("effect_chance", "int", "effect_chance"),
+                ("effect_chance", "bigint", "effect_chance"),
                 _SYNCED,
             ],
             ["id"],
         ),
         "species": Projection(
             [
-                ("id", "int", "species_id"),
+                ("id", "bigint", "species_id"),
                 ("name", "string", "species_name"),
-                ("capture_rate", "int", "capture_rate"),
-                ("base_happiness", "int", "base_happiness"),
+                ("capture_rate", "bigint", "capture_rate"),
+                ("base_happiness", "bigint", "base_happiness"),
                 ("is_legendary", "boolean", "is_legendary"),
                 ("is_mythical", "boolean", "is_mythical"),
                 ("generation", "string", "generation"),
@@ -91,7 +91,7 @@ def projections(naming: Naming = Naming()) -> dict[str, Projection]:
         ),
         "types": Projection(
             [
-                ("id", "int", "type_id"),
+                ("id", "bigint", "type_id"),
                 ("name", "string", "type_name"),
                 ("damage_relation", "string", "damage_relation"),
                 ("target_type", "string", "target_type"),

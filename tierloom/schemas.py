@@ -1,4 +1,8 @@
-"""Schemas of landed documents and of the eight raw tables, with their keys."""
+"""Schemas of landed documents and of the eight raw tables, with their keys.
+
+Whole numbers are 64 bits wide: ids and sums outgrow 32 bits long before the
+data is large for a cluster.
+"""
 
 from __future__ import annotations
 
@@ -28,29 +32,29 @@ def raw_tables(naming: Naming = Naming()) -> dict[str, RawTable]:
     n = naming
     declared = {
         n.raw(): (
-            "id int, name string, base_experience int, height int, weight int, "
-            "is_default boolean, `order` int, species_id int",
+            "id bigint, name string, base_experience bigint, height bigint, weight bigint, "
+            "is_default boolean, `order` bigint, species_id bigint",
             ("id",),
         ),
-        n.raw("stats"): (f"{n.id} int, stat_name string, base_stat int, effort int", (n.id, "stat_name")),
-        n.raw("types"): (f"{n.id} int, type_name string, slot int", (n.id, "slot")),
+        n.raw("stats"): (f"{n.id} bigint, stat_name string, base_stat bigint, effort bigint", (n.id, "stat_name")),
+        n.raw("types"): (f"{n.id} bigint, type_name string, slot bigint", (n.id, "slot")),
         n.raw("abilities"): (
-            f"{n.id} int, ability_name string, is_hidden boolean, slot int",
+            f"{n.id} bigint, ability_name string, is_hidden boolean, slot bigint",
             (n.id, "slot"),
         ),
-        n.raw("moves"): (f"{n.id} int, move_name string", (n.id, "move_name")),
+        n.raw("moves"): (f"{n.id} bigint, move_name string", (n.id, "move_name")),
         "moves": (
-            "id int, name string, accuracy int, power int, pp int, type string, "
-            "damage_class string, effect_chance int",
+            "id bigint, name string, accuracy bigint, power bigint, pp bigint, type string, "
+            "damage_class string, effect_chance bigint",
             ("id",),
         ),
         "species": (
-            "id int, name string, capture_rate int, base_happiness int, is_legendary boolean, "
+            "id bigint, name string, capture_rate bigint, base_happiness bigint, is_legendary boolean, "
             "is_mythical boolean, generation string, habitat string, shape string",
             ("id",),
         ),
         "types": (
-            "id int, name string, damage_relation string, target_type string",
+            "id bigint, name string, damage_relation string, target_type string",
             ("id", "damage_relation", "target_type"),
         ),
     }
@@ -61,22 +65,22 @@ def raw_tables(naming: Naming = Naming()) -> dict[str, RawTable]:
 
 
 ENTITY_DOCUMENT = (
-    "id int, name string, base_experience int, height int, weight int, is_default boolean, "
-    "`order` int, species struct<name:string,url:string>, "
-    "stats array<struct<base_stat:int,effort:int,stat:struct<name:string>>>, "
-    "types array<struct<slot:int,type:struct<name:string>>>, "
-    "abilities array<struct<is_hidden:boolean,slot:int,ability:struct<name:string>>>, "
+    "id bigint, name string, base_experience bigint, height bigint, weight bigint, is_default boolean, "
+    "`order` bigint, species struct<name:string,url:string>, "
+    "stats array<struct<base_stat:bigint,effort:bigint,stat:struct<name:string>>>, "
+    "types array<struct<slot:bigint,type:struct<name:string>>>, "
+    "abilities array<struct<is_hidden:boolean,slot:bigint,ability:struct<name:string>>>, "
     "moves array<struct<move:struct<name:string>>>"
 )
 MOVE_DOCUMENT = (
-    "id int, name string, accuracy int, power int, pp int, effect_chance int, "
+    "id bigint, name string, accuracy bigint, power bigint, pp bigint, effect_chance bigint, "
     "type struct<name:string>, damage_class struct<name:string>"
 )
 SPECIES_DOCUMENT = (
-    "id int, name string, capture_rate int, base_happiness int, is_legendary boolean, "
+    "id bigint, name string, capture_rate bigint, base_happiness bigint, is_legendary boolean, "
     "is_mythical boolean, generation struct<name:string>, habitat struct<name:string>, "
     "shape struct<name:string>"
 )
 TYPE_DOCUMENT = (
-    "id int, name string, damage_relations map<string,array<struct<name:string,url:string>>>"
+    "id bigint, name string, damage_relations map<string,array<struct<name:string,url:string>>>"
 )

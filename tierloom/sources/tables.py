@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 STAR_TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -12,11 +14,21 @@ STAR_TABLES = (
 ).split()
 
 
+@lru_cache(maxsize=None)
+def _stored_schema(spark: SparkSession, path: str) -> T.StructType:
+    return spark.read.parquet(path).schema
+
+
 def read_star(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    """One of the star tables, a parquet file or folder each."""
+    """One of the star tables, a parquet file or folder each.
+
+    The schema is taken from the files once per session, so naming a table
+    again costs no job.
+    """
     if name not in STAR_TABLES:
         raise KeyError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{directory}/{name}.parquet")
+    path = f"{directory}/{name}.parquet"
+    return spark.read.schema(_stored_schema(spark, path)).parquet(path)
 
 
 class TableFolder:

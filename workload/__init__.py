@@ -1,0 +1,6 @@
+"""Queries over the star tables, and the SQL each must agree with."""
+
+from workload import pipeline
+from workload.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "pipeline"]
