@@ -26,13 +26,14 @@ def top_k(
     so a group of any size sends little.
     """
     window = Window.partitionBy(*partition).orderBy(*order)
-    return df.withColumn(out, F.row_number().over(window)).where(F.col(out) <= k)
+    kept = df.withColumn(out, F.row_number().over(window)).where(F.col(out) <= k)
+    return kept.withColumn(out, F.col(out).cast("bigint"))
 
 
 def top_ranked(df: DataFrame, order: Sequence[Column], k: int, out: str) -> DataFrame:
     """The first ``k`` rows of the whole table, numbered from 1."""
     window = Window.orderBy(*order)
-    return df.orderBy(*order).limit(k).withColumn(out, F.row_number().over(window))
+    return df.orderBy(*order).limit(k).withColumn(out, F.row_number().over(window).cast("bigint"))
 
 
 def rank_rows(
