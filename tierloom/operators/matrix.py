@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierloom.constants import DOCUMENTED_RELATIONS, NEUTRAL_LABEL, NEUTRAL_MULTIPLIER
+from tierloom.sources.storage import materialize
 
 Relations = Sequence[tuple[str, float, str]]
 
@@ -17,23 +18,18 @@ def axis_values(relations: DataFrame, source: str) -> DataFrame:
     return relations.select(source).distinct()
 
 
-def relation_pairs(
-    relations: DataFrame, source: str, target: str, relation: str, mapping: Relations = DOCUMENTED_RELATIONS
+def _flagged_pairs(
+    relations: DataFrame, source: str, target: str, relation: str, mapping: Relations
 ) -> DataFrame:
-    """Multiplier and label of every pair that has a mapped relation, as
-    (attacking_type, defending_type, effectiveness_multiplier, effectiveness_label).
-
-    The multiplier comes from the first matching entry of ``mapping``, the
-    label from the last one. One grouped pass, however many entries there are,
-    and no bound on the number of names.
-    """
+    """Each pair once, with a flag per mapped relation; one grouped pass."""
     used = sorted({name for name, _, _ in mapping})
     flags = [F.max(F.col(relation) == F.lit(name)).alias(f"_{name}") for name in used]
-    pairs = (
-        relations.where(F.col(relation).isin(used))
-        .groupBy(F.col(source).alias("attacking_type"), F.col(target).alias("defending_type"))
-        .agg(*flags)
-    )
+    keys = (F.col(source).alias("attacking_type"), F.col(target).alias("defending_type"))
+    return relations.groupBy(*keys).agg(*flags)
+
+
+def _valued(pairs: DataFrame, mapping: Relations) -> DataFrame:
+    """Pairs with at least one mapped relation: first multiplier that applies, last label that does."""
     multiplier = F.coalesce(*[F.when(F.col(f"_{name}"), F.lit(value)) for name, value, _ in mapping])
     label = F.coalesce(*[F.when(F.col(f"_{name}"), F.lit(text)) for name, _, text in reversed(mapping)])
     return pairs.select(
@@ -41,7 +37,20 @@ def relation_pairs(
         "defending_type",
         multiplier.alias("effectiveness_multiplier"),
         label.alias("effectiveness_label"),
-    )
+    ).where(F.col("effectiveness_multiplier").isNotNull())
+
+
+def relation_pairs(
+    relations: DataFrame, source: str, target: str, relation: str, mapping: Relations = DOCUMENTED_RELATIONS
+) -> DataFrame:
+    """Multiplier and label of every pair that has a mapped relation, as
+    (attacking_type, defending_type, effectiveness_multiplier, effectiveness_label).
+
+    The multiplier comes from the first matching entry of ``mapping``, the
+    label from the last one. There is no bound on the number of names.
+    """
+    known = relations.where(F.col(relation).isin([name for name, _, _ in mapping]))
+    return _valued(_flagged_pairs(known, source, target, relation, mapping), mapping)
 
 
 def relation_matrix(
@@ -54,27 +63,25 @@ def relation_matrix(
 ) -> DataFrame:
     """Every (attacking, defending) pair of axis names with multiplier and label.
 
-    The dense form writes the square of the axis by definition, so the axis
-    must fit Spark's bound for two-way tables (``spark.sql.pivotMaxValues``);
-    a longer one is an error and ``relation_pairs`` gives its known pairs.
-    Each axis row unfolds the list of names itself, so there is no join
-    without a key; the known pairs come in through one equi-join.
+    The relation rows are read once, into one row per pair, which are stored
+    as the axis and the known pairs both come from them. The dense form writes
+    the square of the axis by definition, so the axis must fit Spark's bound
+    for two-way tables (``spark.sql.pivotMaxValues``); a longer one is an
+    error, and ``relation_pairs`` gives its known pairs. Each axis row unfolds
+    the list of names itself, so there is no join without a key.
     """
-    spark = relations.sparkSession
-    bound = int(spark.conf.get("spark.sql.pivotMaxValues"))
-    axis = axis_values(relations, source).where(F.col(source).isNotNull())
+    pairs = materialize(_flagged_pairs(relations, source, target, relation, mapping))
+    bound = int(relations.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    axis = axis_values(pairs, "attacking_type").where(F.col("attacking_type").isNotNull())
     # One row past the bound is enough to know that it is passed.
-    names = axis.limit(bound + 1).agg(F.collect_list(source).alias("names")).select(
+    names = axis.limit(bound + 1).agg(F.collect_list("attacking_type").alias("names")).select(
         F.when(F.size("names") <= bound, F.col("names")).otherwise(
             F.raise_error(F.lit(f"more than {bound} names on the axis; use relation_pairs"))
         )
     )
-    grid = axis.select(
-        F.col(source).alias("attacking_type"), F.explode(names.scalar()).alias("defending_type")
-    )
-    known = relation_pairs(relations, source, target, relation, mapping)
+    grid = axis.select("attacking_type", F.explode(names.scalar()).alias("defending_type"))
     value, label = neutral
-    return grid.join(known, ["attacking_type", "defending_type"], "left").select(
+    return grid.join(_valued(pairs, mapping), ["attacking_type", "defending_type"], "left").select(
         "attacking_type",
         "defending_type",
         F.coalesce("effectiveness_multiplier", F.lit(value)).alias("effectiveness_multiplier"),

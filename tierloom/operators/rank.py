@@ -79,42 +79,36 @@ def _plain(df: DataFrame, order: Sequence[Column], ranks: Mapping[str, Sequence[
 def _distributed(
     df: DataFrame, order: Sequence[Column], ranks: Mapping[str, Sequence[Column | str]]
 ) -> DataFrame:
+    # A struct compares equal where all fields do, NULL included, and is itself
+    # never NULL, so rows without a group find their offset like any other.
     groups = {
-        out: {f"_{out}_{i}": _as_column(item) for i, item in enumerate(items)}
+        f"_group_{out}": F.struct(*[_as_column(item).alias(f"g{i}") for i, item in enumerate(items)])
         for out, items in ranks.items()
+        if items
     }
-    helpers = {name: column for columns in groups.values() for name, column in columns.items()}
 
     # One sort of the whole table; ties are settled by the total order, so even
     # a value shared by a third of the rows is cut into even ranges. The place
     # of each row is frozen by writing it down.
     placed = materialize(
-        df.withColumns(helpers).orderBy(*order).withColumn("_slot", F.monotonically_increasing_id())
+        df.withColumns(groups).orderBy(*order).withColumn("_slot", F.monotonically_increasing_id())
     ).withColumn("_part", F.shiftright("_slot", _POSITION_BITS).cast("int"))
 
     result = placed
-    for out, columns in groups.items():
-        names = list(columns)
-        sizes = placed.groupBy("_part", *names).agg(F.count(F.lit(1)).alias("_size"))
-        before = Window.partitionBy(*names).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = sizes.select(
-            F.col("_part").alias("_at"),
-            *[F.col(name).alias(f"{name}_at") for name in names],
-            F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"),
-        )
-        if names:
-            local = F.row_number().over(Window.partitionBy("_part", *names).orderBy("_slot"))
+    for out, items in ranks.items():
+        group = [f"_group_{out}"] if items else []
+        sizes = placed.groupBy("_part", *group).agg(F.count(F.lit(1)).alias("_size"))
+        earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        before = F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before")
+        offsets = sizes.select("_part", *group, before)
+        if items:
+            # Counting and joining share one shuffle by (part, group), whose
+            # pieces are never larger than a part.
+            local = F.row_number().over(Window.partitionBy("_part", *group).orderBy("_slot"))
         else:
             # One row per sort partition, so small enough to send everywhere.
             offsets = F.broadcast(offsets)
             local = F.col("_slot").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)) + 1
-        same = F.col("_part") == F.col("_at")
-        for name in names:
-            same = same & F.col(name).eqNullSafe(F.col(f"{name}_at"))
-        result = (
-            result.withColumn("_local", local)
-            .join(offsets, same)
-            .withColumn(out, F.col("_local") + F.col("_before"))
-            .drop("_local", "_before", "_at", *[f"{name}_at" for name in names])
-        )
+        numbered = result.withColumn("_local", local).join(offsets, ["_part", *group])
+        result = numbered.withColumn(out, F.col("_local") + F.col("_before")).drop("_local", "_before")
     return result.select(*df.columns, *ranks)

@@ -191,8 +191,7 @@ def compare(
     """
     first, *rest = STAT_COLUMNS.values()
     if names is None:
-        leading = legendaries.orderBy("overall_rank").limit(COMPARE_DEFAULT).select(naming.name)
-        rows = legendaries.join(leading.distinct(), naming.name, "left_semi")
+        rows = legendaries.orderBy("overall_rank").limit(COMPARE_DEFAULT)
     else:
         if len(names) > COMPARE_AT_MOST:
             raise ValueError(f"at most {COMPARE_AT_MOST} names can be compared")

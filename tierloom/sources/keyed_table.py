@@ -4,8 +4,8 @@ An upsert writes only its own batch, one row per key, and then one small
 commit file; the stored table is not rewritten. Readers put the committed
 batches over the last full base. ``compact`` writes a new base, which happens
 by itself every few batches, so its cost is spread over them. A batch whose
-writer died has no commit file: readers never see it, and running it again
-under the same number replaces what it left behind.
+writer died has no commit file: readers never see it, and the next batch
+replaces what it left behind.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from tierloom.operators.rank import top_k
 
-_COMMIT = "kind string, version bigint"
+_COMMIT = "kind string, version bigint, token string"
 
 
 def latest_rows(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -52,23 +52,33 @@ class KeyedTable:
         self._key = list(key)
         self._compact_after = compact_after
 
-    def _committed(self) -> tuple[int, list[int]]:
-        """Version of the last base, and the batches committed after it."""
+    def _commits(self) -> DataFrame | None:
         try:
-            commits = self._spark.read.schema(_COMMIT).parquet(f"{self._path}/commits")
+            return self._spark.read.schema(_COMMIT).parquet(f"{self._path}/commits")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
+            return None
+
+    def _committed(self) -> tuple[int, list[int]]:
+        """Version of the last base, and the batches committed after it, which compaction keeps few."""
+        commits = self._commits()
+        if commits is None:
             return -1, []
         last = commits.where("kind = 'base'").agg(F.coalesce(F.max("version"), F.lit(-1)).alias("version"))
-        recent = commits.where("kind = 'batch'").where(F.col("version") > last.scalar())
         base = last.first()["version"]
+        recent = commits.where("kind = 'batch'").where(F.col("version") > base)
         return base, sorted(row["version"] for row in recent.collect())
 
-    def _commit(self, kind: str, version: int) -> None:
-        row = self._spark.createDataFrame([(kind, version)], _COMMIT)
+    def _commit(self, kind: str, version: int, token: str | None = None) -> None:
+        """The commit is one file, so it is there or it is not."""
+        row = self._spark.createDataFrame([(kind, version, token)], _COMMIT)
         row.coalesce(1).write.mode("overwrite").parquet(f"{self._path}/commits/{kind}={version}")
 
+    def _applied(self, token: str) -> bool:
+        commits = self._commits()
+        return commits is not None and not commits.where(F.col("token") == token).isEmpty()
+
     def _base(self, version: int) -> DataFrame:
         if version < 0:
             return self._spark.createDataFrame([], self._schema)
@@ -93,23 +103,21 @@ class KeyedTable:
         changes = latest_rows(written, self._key, [F.col("_batch").desc()]).drop("_batch")
         return merge_latest(stored, changes, self._key) if base >= 0 else changes
 
-    def upsert(self, batch: DataFrame, order: Sequence[Column], version: int | None = None) -> int:
+    def upsert(self, batch: DataFrame, order: Sequence[Column], token: str | None = None) -> int:
         """Replace or add the batch's rows by key; returns the number of keys delivered.
 
-        Of several rows with one key the first under ``order`` counts. A
-        ``version`` already committed is left alone, so replaying a batch under
-        its number changes nothing.
+        Of several rows with one key the first under ``order`` counts. A batch
+        with a ``token`` is applied once: giving it again changes nothing.
         """
-        base, batches = self._committed()
-        newest = max([base, *batches])
-        version = newest + 1 if version is None else version
-        if version <= newest:
+        if token is not None and self._applied(token):
             return 0
+        base, batches = self._committed()
+        version = max([base, *batches]) + 1
         delivered = Observation()
         rows = latest_rows(batch, self._key, order).select(*[f"`{name}`" for name in self._schema.fieldNames()])
         rows = rows.observe(delivered, F.count(F.lit(1)).alias("rows"))
         rows.write.mode("overwrite").parquet(f"{self._path}/batches/_batch={version}")
-        self._commit("batch", version)
+        self._commit("batch", version, token)
         if len(batches) + 1 >= self._compact_after:
             self.compact()
         return delivered.get["rows"]

@@ -24,12 +24,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new path below the shared folder."""
+    return f"{checkpoint_root(spark)}/tierloom-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write the rows once to the shared folder and go on from the written table.
 
     Later passes read only the columns they need, and rows keep the values
     they were written with even if executors are lost.
     """
-    path = f"{checkpoint_root(df.sparkSession)}/tierloom-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
