@@ -13,25 +13,32 @@ from tierloom.naming import Naming
 # Place of a document in the delivery: later files win, then later rows of a
 # file. Row ids grow along a file block, so the four together are a total order.
 SEQUENCE = "_sequence"
+_ORIGIN = "_origin"
 
 
-def _sequence() -> Column:
-    return F.struct(
+def _with_origin(df: DataFrame) -> DataFrame:
+    origin = F.struct(
         F.col("_metadata.file_modification_time").alias("time"),
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    ).alias(SEQUENCE)
+    )
+    return df.select("*", origin.alias(_ORIGIN))
+
+
+def sequenced(docs: DataFrame) -> DataFrame:
+    """Documents with their place in the delivery."""
+    place = F.struct(f"{_ORIGIN}.*", F.monotonically_increasing_id().alias("row"))
+    return docs.withColumn(SEQUENCE, place).drop(_ORIGIN)
 
 
 def read_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Documents of a folder, one JSON object per line, under a declared schema."""
-    return spark.read.schema(schema).json(path).select("*", _sequence())
+    return sequenced(_with_origin(spark.read.schema(schema).json(path)))
 
 
 def stream_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The same folder as a stream of newly landed files."""
-    return spark.readStream.schema(schema).json(path).select("*", _sequence())
+    """The same folder as a stream of newly landed files; each batch is to be ``sequenced``."""
+    return _with_origin(spark.readStream.schema(schema).json(path))
 
 
 def parse_documents(df: DataFrame, column: str, schema: str) -> DataFrame:

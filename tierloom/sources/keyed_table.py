@@ -52,32 +52,32 @@ class KeyedTable:
         self._key = list(key)
         self._compact_after = compact_after
 
-    def _commits(self) -> DataFrame | None:
+    def _state(self, token: str | None = None) -> tuple[int, list[int], bool]:
+        """Version of the last base, the batches committed after it, and whether the token was used.
+
+        One small job over the commit files; compaction keeps the batches few.
+        """
         try:
-            return self._spark.read.schema(_COMMIT).parquet(f"{self._path}/commits")
+            reader = self._spark.read.schema(_COMMIT).option("recursiveFileLookup", "true")
+            commits = reader.parquet(f"{self._path}/commits")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return None
-
-    def _committed(self) -> tuple[int, list[int]]:
-        """Version of the last base, and the batches committed after it, which compaction keeps few."""
-        commits = self._commits()
-        if commits is None:
-            return -1, []
-        last = commits.where("kind = 'base'").agg(F.coalesce(F.max("version"), F.lit(-1)).alias("version"))
-        base = last.first()["version"]
-        recent = commits.where("kind = 'batch'").where(F.col("version") > base)
-        return base, sorted(row["version"] for row in recent.collect())
+            return -1, [], False
+        version = F.col("version")
+        state = commits.agg(
+            F.coalesce(F.max(F.when(F.col("kind") == "base", version)), F.lit(-1)).alias("base"),
+            F.collect_list(F.when(F.col("kind") == "batch", version)).alias("batches"),
+            F.coalesce(F.bool_or(F.col("token") == F.lit(token)), F.lit(False)).alias("used"),
+        )
+        later = F.array_sort(F.filter("batches", lambda batch: batch > F.col("base")))
+        row = state.select("base", later.alias("batches"), "used").first()
+        return row["base"], row["batches"], row["used"]
 
     def _commit(self, kind: str, version: int, token: str | None = None) -> None:
         """The commit is one file, so it is there or it is not."""
         row = self._spark.createDataFrame([(kind, version, token)], _COMMIT)
-        row.coalesce(1).write.mode("overwrite").parquet(f"{self._path}/commits/{kind}={version}")
-
-    def _applied(self, token: str) -> bool:
-        commits = self._commits()
-        return commits is not None and not commits.where(F.col("token") == token).isEmpty()
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self._path}/commits/{kind}-{version}")
 
     def _base(self, version: int) -> DataFrame:
         if version < 0:
@@ -86,12 +86,13 @@ class KeyedTable:
 
     def version(self) -> int:
         """Newest committed batch, -1 for a table never written."""
-        base, batches = self._committed()
+        base, batches, _ = self._state()
         return max([base, *batches])
 
     def read(self) -> DataFrame:
         """Current rows, one per key."""
-        return self._read(*self._committed())
+        base, batches, _ = self._state()
+        return self._read(base, batches)
 
     def _read(self, base: int, batches: list[int]) -> DataFrame:
         stored = self._base(base)
@@ -109,9 +110,9 @@ class KeyedTable:
         Of several rows with one key the first under ``order`` counts. A batch
         with a ``token`` is applied once: giving it again changes nothing.
         """
-        if token is not None and self._applied(token):
+        base, batches, used = self._state(token)
+        if used:
             return 0
-        base, batches = self._committed()
         version = max([base, *batches]) + 1
         delivered = Observation()
         rows = latest_rows(batch, self._key, order).select(*[f"`{name}`" for name in self._schema.fieldNames()])
@@ -124,7 +125,7 @@ class KeyedTable:
 
     def compact(self) -> None:
         """Write the current rows as a new base, so that reading needs no merge."""
-        base, batches = self._committed()
+        base, batches, _ = self._state()
         if batches:
             version = batches[-1]
             self._read(base, batches).write.mode("overwrite").parquet(f"{self._path}/base/{version}")

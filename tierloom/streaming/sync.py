@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial
 
@@ -55,12 +56,16 @@ def take_in(store: RawStore, source: Source, docs: DataFrame, token: str | None
     again: with a token, tables already done skip them; without one, they
     write the same rows over themselves.
     """
-    counts = {}
-    for name, flatten in source.tables.items():
-        rows = flatten(docs).withColumn(SYNCED_AT, F.current_timestamp())
-        counts[name] = store.table(name).upsert(rows, [F.col(documents.SEQUENCE).desc()], token)
-        log.info("upserted %d rows into %s", counts[name], name)
-    return counts
+
+    def upsert(name: str) -> int:
+        rows = source.tables[name](docs).withColumn(SYNCED_AT, F.current_timestamp())
+        count = store.table(name).upsert(rows, [F.col(documents.SEQUENCE).desc()], token)
+        log.info("upserted %d rows into %s", count, name)
+        return count
+
+    # The tables do not depend on each other, so their jobs run side by side.
+    with ThreadPoolExecutor(len(source.tables)) as pool:
+        return dict(zip(source.tables, pool.map(upsert, source.tables)))
 
 
 def sync(store: RawStore, landing: str) -> dict[str, int]:
@@ -96,7 +101,7 @@ def start_stream(store: RawStore, landing: str, source: Source) -> StreamingQuer
     """
 
     def apply(docs: DataFrame, batch: int) -> None:
-        docs = docs.persist(StorageLevel.MEMORY_AND_DISK)
+        docs = documents.sequenced(docs).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             take_in(store, source, docs, f"{source.folder}/{batch}")
         finally:
