@@ -245,12 +245,12 @@ def build_marts(
     reads it; without one they stay lazy.
     """
     n = naming
-    schema = n.layers[1]
     orders = mart_order(n)
 
     def keep(name: str, rows: DataFrame) -> DataFrame:
         if folder is None:
             return rows
+        schema = n.layer_schema(n.layers[1], folder.default_schema)
         return folder.rebuild(schema, name, rows.orderBy(*orders[name]) if name in orders else rows)
 
     dim = keep(n.dim, dim_entity(staged, n))

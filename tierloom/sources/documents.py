@@ -51,9 +51,14 @@ def _carried(df: DataFrame) -> list[str]:
 
 
 def _exploded(docs: DataFrame, items: str, naming: Naming, columns: Sequence[Column]) -> DataFrame:
-    """One row per list item; an empty or absent list gives none."""
+    """One row per list item; an empty or absent list gives none.
+
+    The outer form with a filter after it, as Spark would otherwise repeat the
+    parsing of a JSON text in a filter of its own before the explode.
+    """
     carried = _carried(docs)
-    rows = docs.select(F.col("id").alias(naming.id), *carried, F.posexplode(items).alias("_at", "_item"))
+    rows = docs.select(F.col("id").alias(naming.id), *carried, F.posexplode_outer(items).alias("_at", "_item"))
+    rows = rows.where(F.col("_at").isNotNull())
     order = [F.struct(F.col(SEQUENCE), F.col("_at")).alias(SEQUENCE)] if carried else []
     return rows.select(naming.id, *columns, *order)
 
@@ -144,7 +149,12 @@ def flatten_species(docs: DataFrame) -> DataFrame:
 def flatten_relations(docs: DataFrame) -> DataFrame:
     """One row per (document, relation, target); a relation without targets gives none."""
     carried = _carried(docs)
-    lists = docs.select("id", "name", *carried, F.explode("damage_relations").alias("damage_relation", "targets"))
-    return lists.select(
-        "id", "name", "damage_relation", F.explode("targets.name").alias("target_type"), *carried
+    lists = docs.select(
+        "id", "name", *carried, F.explode_outer("damage_relations").alias("damage_relation", "_targets")
+    )
+    rows = lists.select(
+        "id", "name", "damage_relation", F.posexplode_outer("_targets").alias("_at", "_target"), *carried
+    )
+    return rows.where(F.col("_at").isNotNull()).select(
+        "id", "name", "damage_relation", F.col("_target.name").alias("target_type"), *carried
     )

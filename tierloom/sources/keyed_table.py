@@ -3,7 +3,8 @@
 An upsert writes only its own batch, one row per key, and then one small
 commit file; the stored table is not rewritten. Readers put the committed
 batches over the last full base. ``compact`` writes a new base, which happens
-by itself every few batches, so its cost is spread over them. A batch whose
+by itself every few batches, so its cost is spread over them; bases take turns
+in two folders, so a reader keeps its base until the one after next. A batch whose
 writer died has no commit file: readers never see it, and the next batch
 replaces what it left behind.
 """
@@ -11,6 +12,7 @@ replaces what it left behind.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_
 
@@ -40,6 +42,20 @@ def merge_latest(base: DataFrame, changes: DataFrame, key: Sequence[str]) -> Dat
     return base.join(keys, same, "left_anti").unionByName(changes)
 
 
+@dataclass(frozen=True)
+class _State:
+    """Version of the last base, number of bases so far, batches after the last one, token used before."""
+
+    base: int = -1
+    bases: int = 0
+    batches: list[int] = field(default_factory=list)
+    used: bool = False
+
+    @property
+    def newest(self) -> int:
+        return max([self.base, *self.batches])
+
+
 class KeyedTable:
     """One writer at a time, any number of readers."""
 
@@ -52,8 +68,8 @@ class KeyedTable:
         self._key = list(key)
         self._compact_after = compact_after
 
-    def _state(self, token: str | None = None) -> tuple[int, list[int], bool]:
-        """Version of the last base, the batches committed after it, and whether the token was used.
+    def _state(self, token: str | None = None) -> _State:
+        """What the commit files say.
 
         One small job over the commit files; compaction keeps the batches few.
         """
@@ -63,46 +79,44 @@ class KeyedTable:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return -1, [], False
+            return _State()
         version = F.col("version")
         state = commits.agg(
             F.coalesce(F.max(F.when(F.col("kind") == "base", version)), F.lit(-1)).alias("base"),
+            F.count_if(F.col("kind") == "base").alias("bases"),
             F.collect_list(F.when(F.col("kind") == "batch", version)).alias("batches"),
             F.coalesce(F.bool_or(F.col("token") == F.lit(token)), F.lit(False)).alias("used"),
         )
         later = F.array_sort(F.filter("batches", lambda batch: batch > F.col("base")))
-        row = state.select("base", later.alias("batches"), "used").first()
-        return row["base"], row["batches"], row["used"]
+        return _State(*state.select("base", "bases", later.alias("batches"), "used").first())
 
     def _commit(self, kind: str, version: int, token: str | None = None) -> None:
         """The commit is one file, so it is there or it is not."""
         row = self._spark.createDataFrame([(kind, version, token)], _COMMIT)
         row.coalesce(1).write.mode("overwrite").parquet(f"{self._path}/commits/{kind}-{version}")
 
-    def _base(self, version: int) -> DataFrame:
-        if version < 0:
-            return self._spark.createDataFrame([], self._schema)
-        return self._spark.read.schema(self._schema).parquet(f"{self._path}/base/{version}")
+    def _slot(self, number: int) -> str:
+        return f"{self._path}/base/{number % 2}"
 
     def version(self) -> int:
         """Newest committed batch, -1 for a table never written."""
-        base, batches, _ = self._state()
-        return max([base, *batches])
+        return self._state().newest
 
     def read(self) -> DataFrame:
         """Current rows, one per key."""
-        base, batches, _ = self._state()
-        return self._read(base, batches)
-
-    def _read(self, base: int, batches: list[int]) -> DataFrame:
-        stored = self._base(base)
-        if not batches:
-            return stored
+        return self._read(self._state())
+
+    def _read(self, state: _State) -> DataFrame:
+        stored = None
+        if state.bases:
+            stored = self._spark.read.schema(self._schema).parquet(self._slot(state.bases - 1))
+        if not state.batches:
+            return stored if stored is not None else self._spark.createDataFrame([], self._schema)
         schema = T.StructType([*self._schema.fields, T.StructField("_batch", T.LongType())])
-        paths = [f"{self._path}/batches/_batch={version}" for version in batches]
+        paths = [f"{self._path}/batches/_batch={version}" for version in state.batches]
         written = self._spark.read.schema(schema).option("basePath", f"{self._path}/batches").parquet(*paths)
         changes = latest_rows(written, self._key, [F.col("_batch").desc()]).drop("_batch")
-        return merge_latest(stored, changes, self._key) if base >= 0 else changes
+        return changes if stored is None else merge_latest(stored, changes, self._key)
 
     def upsert(self, batch: DataFrame, order: Sequence[Column], token: str | None = None) -> int:
         """Replace or add the batch's rows by key; returns the number of keys delivered.
@@ -110,23 +124,22 @@ class KeyedTable:
         Of several rows with one key the first under ``order`` counts. A batch
         with a ``token`` is applied once: giving it again changes nothing.
         """
-        base, batches, used = self._state(token)
-        if used:
+        state = self._state(token)
+        if state.used:
             return 0
-        version = max([base, *batches]) + 1
+        version = state.newest + 1
         delivered = Observation()
         rows = latest_rows(batch, self._key, order).select(*[f"`{name}`" for name in self._schema.fieldNames()])
         rows = rows.observe(delivered, F.count(F.lit(1)).alias("rows"))
         rows.write.mode("overwrite").parquet(f"{self._path}/batches/_batch={version}")
         self._commit("batch", version, token)
-        if len(batches) + 1 >= self._compact_after:
+        if len(state.batches) + 1 >= self._compact_after:
             self.compact()
         return delivered.get["rows"]
 
     def compact(self) -> None:
         """Write the current rows as a new base, so that reading needs no merge."""
-        base, batches, _ = self._state()
-        if batches:
-            version = batches[-1]
-            self._read(base, batches).write.mode("overwrite").parquet(f"{self._path}/base/{version}")
-            self._commit("base", version)
+        state = self._state()
+        if state.batches:
+            self._read(state).write.mode("overwrite").parquet(self._slot(state.bases))
+            self._commit("base", state.newest)

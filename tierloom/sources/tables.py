@@ -34,8 +34,9 @@ def read_star(spark: SparkSession, directory: str, name: str) -> DataFrame:
 class TableFolder:
     """Stored tables under one shared folder, as ``<folder>/<schema>/<table>``."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, default_schema: str = "main"):
         self._spark = spark
+        self.default_schema = default_schema
         self._folder = folder.rstrip("/")
 
     def path(self, schema: str, table: str) -> str:
