@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.fixtures import ENTITIES, MOVES, SPECIES, entity, land_all, relations, stats
-from tierloom.plans import pipeline
+from tierloom.__main__ import main
 from tierloom.sources.raw_store import RawStore
 from tierloom.sources.tables import TableFolder
 from tierloom.streaming.sync import sync, sync_stream
@@ -105,7 +105,13 @@ def test_rows_carry_the_sync_time(store, land):
     assert store.table("entity").read().where(F.col("_synced_at").isNull()).isEmpty()
 
 
-def test_streamed_pipeline(spark, store, land, tmp_path):
-    built, checks = pipeline.run(store, land_all(land), TableFolder(spark, str(tmp_path / "tables")))
-    assert built["mart_top_attackers"].count() == 9
-    assert checks.where("status = 'error'").count() == 1
+def test_command(spark, store, land, tmp_path):
+    """The whole pipeline from the command line, streaming, under another noun."""
+    landing = land_all(land)
+    (tmp_path / "landing" / "entity").rename(tmp_path / "landing" / "device")
+    failed = main([landing, store.path, str(tmp_path / "tables"), "--entity", "device"])
+    assert failed == 1  # the fixtures break some checks on purpose
+    folder = TableFolder(spark, str(tmp_path / "tables"))
+    assert folder.read("device_marts", "mart_top_attackers").columns[0] == "device_id"
+    assert folder.read("device_marts", "mart_top_attackers").count() == 9
+    assert folder.read("main", "checks").where("status = 'error'").count() == 1

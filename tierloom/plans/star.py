@@ -162,19 +162,22 @@ class Star:
     def trade(self) -> DataFrame:
         """Quantity each nation's customers bought from each nation's suppliers.
 
-        Lines are added up per customer and supplier first, so the joins to
-        the two dimensions see each pair once.
+        Each side first learns its nation and drops the wider key, so lines
+        move twice in all, and the sum leaves every task with one row per pair
+        of nations.
         """
-        pairs = self._lines("l_suppkey", "l_quantity").groupBy(self._naming.id, "l_suppkey").agg(
-            F.sum("l_quantity").alias("quantity")
+        lines = self.table("lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
+        suppliers = self.table("supplier").select("s_suppkey", F.col("s_nationkey").alias("target"))
+        sold = lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).select(
+            "l_orderkey", "target", "l_quantity"
         )
+        orders = self.table("orders").select("o_orderkey", "o_custkey")
         customers = self.table("customer").select("c_custkey", F.col("c_nationkey").alias("source"))
-        suppliers = self.table("supplier").select("s_suppkey", F.col("s_nationkey").alias("target"))
+        bought = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "source")
         return (
-            pairs.join(customers, F.col(self._naming.id) == F.col("c_custkey"))
-            .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+            sold.join(bought, F.col("l_orderkey") == F.col("o_orderkey"))
             .groupBy("source", "target")
-            .agg(F.sum("quantity").cast("bigint").alias("quantity"))
+            .agg(F.sum("l_quantity").cast("bigint").alias("quantity"))
         )
 
     def relations(self) -> DataFrame:
