@@ -1,8 +1,8 @@
 """Parquet table with a key, changed by upserts.
 
-An upsert writes only its own batch, one row per key, and then one small
-commit file; the stored table is not rewritten. Readers put the committed
-batches over the last full base. ``compact`` writes a new base, which happens
+The first batch becomes the table's base. A later upsert writes only its own
+batch, one row per key, and then one small commit file; the stored table is not
+rewritten. Readers put the committed batches over the last full base. ``compact`` writes a new base, which happens
 by itself every few batches, so its cost is spread over them; bases take turns
 in two folders, so a reader keeps its base until the one after next. A batch whose
 writer died has no commit file: readers never see it, and the next batch
@@ -107,16 +107,16 @@ class KeyedTable:
         return self._read(self._state())
 
     def _read(self, state: _State) -> DataFrame:
-        stored = None
-        if state.bases:
-            stored = self._spark.read.schema(self._schema).parquet(self._slot(state.bases - 1))
+        if not state.bases:
+            return self._spark.createDataFrame([], self._schema)
+        stored = self._spark.read.schema(self._schema).parquet(self._slot(state.bases - 1))
         if not state.batches:
-            return stored if stored is not None else self._spark.createDataFrame([], self._schema)
+            return stored
         schema = T.StructType([*self._schema.fields, T.StructField("_batch", T.LongType())])
         paths = [f"{self._path}/batches/_batch={version}" for version in state.batches]
         written = self._spark.read.schema(schema).option("basePath", f"{self._path}/batches").parquet(*paths)
         changes = latest_rows(written, self._key, [F.col("_batch").desc()]).drop("_batch")
-        return changes if stored is None else merge_latest(stored, changes, self._key)
+        return merge_latest(stored, changes, self._key)
 
     def upsert(self, batch: DataFrame, order: Sequence[Column], token: str | None = None) -> int:
         """Replace or add the batch's rows by key; returns the number of keys delivered.
@@ -131,8 +131,9 @@ class KeyedTable:
         delivered = Observation()
         rows = latest_rows(batch, self._key, order).select(*[f"`{name}`" for name in self._schema.fieldNames()])
         rows = rows.observe(delivered, F.count(F.lit(1)).alias("rows"))
-        rows.write.mode("overwrite").parquet(f"{self._path}/batches/_batch={version}")
-        self._commit("batch", version, token)
+        kind, path = ("batch", f"{self._path}/batches/_batch={version}") if state.bases else ("base", self._slot(0))
+        rows.write.mode("overwrite").parquet(path)
+        self._commit(kind, version, token)
         if len(state.batches) + 1 >= self._compact_after:
             self.compact()
         return delivered.get["rows"]

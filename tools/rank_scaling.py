@@ -1,0 +1,38 @@
+"""Time plain against distributed ranking as rows grow.
+
+Usage: python tools/rank_scaling.py [folder] [copies ...]
+"""
+
+from __future__ import annotations
+
+import os
+import sys
+import time
+
+from pyspark.sql import functions as F
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from tierloom.operators.rank import rank_rows  # noqa: E402
+from tierloom.session import build_session  # noqa: E402
+from tierloom.sources.tables import read_star  # noqa: E402
+
+
+def main() -> None:
+    folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    copies = [int(text) for text in sys.argv[2:]] or [1, 4, 10]
+    spark = build_session("ranks", "local[8]", 8, {"spark.ui.enabled": "false", "spark.driver.memory": "16g"})
+    spark.sparkContext.setLogLevel("ERROR")
+    ranks = {"overall_rank": [], "rank_within_flag": ["l_returnflag"]}
+    for count in copies:
+        lines = read_star(spark, folder, "lineitem").withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(count))))
+        order = [F.col("l_quantity").desc(), *[F.col(c) for c in sorted(lines.columns) if c != "l_quantity"]]
+        rows = lines.count()
+        for strategy in ("plain", "distributed", "plain", "distributed"):
+            start = time.perf_counter()
+            rank_rows(lines, order, ranks, strategy).write.format("noop").mode("overwrite").save()
+            print(f"{rows} rows {strategy} {time.perf_counter() - start:.1f}s", flush=True)
+
+
+if __name__ == "__main__":
+    main()

@@ -478,13 +478,14 @@ def category_case(spark: SparkSession, directory: str) -> DataFrame:
 @query(
     "entity_vector",
     f"""SELECT user_id, concat_ws(',', {", ".join(f"CAST(round({k} * 100) AS BIGINT)" for k in (*EVENT_TYPES, "click"))}) AS vector
-        FROM (SELECT user_id, {_CELLS} FROM events GROUP BY 1) WHERE user_id IN (1, 2, 3, 5, 8)""",
+        FROM (SELECT user_id, {_CELLS} FROM events GROUP BY 1) ORDER BY {_TOTAL} DESC, user_id LIMIT 5""",
 )
 def entity_vector(spark: SparkSession, directory: str) -> DataFrame:
-    """Closed value vector of five users, in hundredths."""
-    chosen = _wide_events(spark, directory).where(F.col("user_id").isin(1, 2, 3, 5, 8))
+    """Closed value vector, in hundredths, of the five users with the largest totals."""
+    order = [F.col("total").desc_nulls_last(), F.col("user_id").asc_nulls_first()]
+    leading = top_ranked(pivot_event_max(spark, directory), order, 5, "place")
     cents = F.transform(F.array(*EVENT_TYPES, EVENT_TYPES[0]), lambda v: F.round(v * 100).cast("bigint").cast("string"))
-    return chosen.select("user_id", F.array_join(cents, ",").alias("vector"))
+    return leading.select("user_id", F.array_join(cents, ",").alias("vector"))
 
 
 # Ingest and upsert steps.
