@@ -82,10 +82,13 @@ def sync(store: RawStore, landing: str) -> dict[str, int]:
         # Parsed once for all tables; lost pieces are parsed again from the files.
         docs = docs.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            found = docs.agg(F.count(F.lit(1)).alias("documents"), F.max("id").alias("newest")).first()
+            if not found["documents"]:
+                counts |= dict.fromkeys(source.tables, 0)
+                continue
             counts |= take_in(store, source, docs)
-            newest = docs.agg(F.max("id").alias("newest")).first()["newest"]
-            if source.by_cursor and newest is not None:
-                store.advance(source.folder, newest)
+            if source.by_cursor:
+                store.advance(source.folder, found["newest"])
         finally:
             docs.unpersist()
     return counts

@@ -33,9 +33,14 @@ class Pipeline:
 
     def __init__(self, spark: SparkSession, directory: str):
         self.star = Star(spark, directory)
+        self._staged: dict[str, DataFrame] = {}
 
     def staged(self, *raw: str) -> dict[str, DataFrame]:
-        return build_staging(self.star.raw(*raw))
+        """Staging relations of the named raw tables, each described once."""
+        missing = [name for name in raw if NAMING.staging(name) not in self._staged]
+        if missing:
+            self._staged |= build_staging(self.star.raw(*missing))
+        return self._staged
 
     def stored(self) -> dict[str, DataFrame]:
         """All raw tables, each computed once and stored, as an ingest leaves them."""
