@@ -93,3 +93,10 @@ def test_bad_json_text_is_an_error(spark):
     texts = spark.createDataFrame([("{not json",)], "document string")
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
         documents.parse_documents(texts, "document", MOVE_DOCUMENT).collect()
+
+
+def test_bad_line_in_a_file_is_an_error(spark, land, tmp_path):
+    landing = land_all(land)
+    (tmp_path / "landing" / "move" / "bad.json").write_text('{"id": 1, "name"', encoding="utf-8")
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILED_READ_FILE"):
+        documents.flatten_moves(documents.read_documents(spark, f"{landing}/move", MOVE_DOCUMENT)).collect()

@@ -76,12 +76,16 @@ def test_stream_sync(store, land):
     assert {name: store.table(name).version() for name in streamed} == versions
 
     # A changed document comes through whatever its id; other rows stay.
+    # With one file per batch the older file goes first.
     land("entity", [entity(1, "changed", {"hp": 7}, species=2)], "second")
-    sync_stream(store, landing)
+    land("entity", [entity(1, "older", {"hp": 6, "speed": 6})], "third")
+    os.utime(f"{landing}/entity/third.json", (1, 1))
+    sync_stream(store, landing, max_files=1)
+    assert store.table("entity").version() == versions["entity"] + 2
     row = table(store, "entity").where("id = 1").first()
     assert row["name"] == "changed" and row["species_id"] == 2
     values = {r["stat_name"]: r["base_stat"] for r in table(store, "entity_stats").where("entity_id = 1").collect()}
-    assert values["hp"] == 7 and values["attack"] == 149
+    assert values["hp"] == 7 and values["speed"] == 6 and values["attack"] == 149
     assert table(store, "entity").count() == len(ENTITIES)
 
 

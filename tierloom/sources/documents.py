@@ -14,6 +14,7 @@ from tierloom.naming import Naming
 # file. Row ids grow along a file block, so the four together are a total order.
 SEQUENCE = "_sequence"
 _ORIGIN = "_origin"
+_ANY_AGE = "36500d"
 
 
 def _with_origin(df: DataFrame) -> DataFrame:
@@ -32,13 +33,25 @@ def sequenced(docs: DataFrame) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Documents of a folder, one JSON object per line, under a declared schema."""
-    return sequenced(_with_origin(spark.read.schema(schema).json(path)))
+    """Documents of a folder, one JSON object per line, under a declared schema.
+
+    A line that is no such object is an error, so nothing is lost unseen.
+    """
+    return sequenced(_with_origin(spark.read.schema(schema).json(path, mode="FAILFAST")))
 
 
-def stream_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The same folder as a stream of newly landed files; each batch is to be ``sequenced``."""
-    return _with_origin(spark.readStream.schema(schema).json(path))
+def stream_documents(spark: SparkSession, path: str, schema: str, max_files: int | None = None) -> DataFrame:
+    """The same folder as a stream of newly landed files, oldest first; each batch is to be ``sequenced``.
+
+    ``max_files`` bounds the files of one batch, so that a large backlog is
+    taken in, and committed, piece by piece. Files count as new however old
+    their time stamps are; Spark would by itself pass over those a week behind
+    the newest one.
+    """
+    reader = spark.readStream.schema(schema).option("maxFileAge", _ANY_AGE)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return _with_origin(reader.json(path, mode="FAILFAST"))
 
 
 def parse_documents(df: DataFrame, column: str, schema: str) -> DataFrame:

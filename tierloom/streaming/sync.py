@@ -94,7 +94,9 @@ def sync(store: RawStore, landing: str) -> dict[str, int]:
     return counts
 
 
-def start_stream(store: RawStore, landing: str, source: Source) -> StreamingQuery:
+def start_stream(
+    store: RawStore, landing: str, source: Source, max_files: int | None = None
+) -> StreamingQuery:
     """Take in files as they land, up to those there now.
 
     The checkpoint lives in the store: it remembers the files taken in, so
@@ -110,12 +112,13 @@ def start_stream(store: RawStore, landing: str, source: Source) -> StreamingQuer
         finally:
             docs.unpersist()
 
-    stream = documents.stream_documents(store.spark, f"{landing}/{source.folder}", source.schema)
+    folder = f"{landing}/{source.folder}"
+    stream = documents.stream_documents(store.spark, folder, source.schema, max_files)
     writer = stream.writeStream.foreachBatch(apply).trigger(availableNow=True)
     return writer.option("checkpointLocation", f"{store.path}/checkpoints/{source.folder}").start()
 
 
-def sync_stream(store: RawStore, landing: str) -> None:
+def sync_stream(store: RawStore, landing: str, max_files: int | None = None) -> None:
     """The streaming form of a pass: every source in order, each to the end of what has landed."""
     for source in sources(store.naming):
-        start_stream(store, landing, source).awaitTermination()
+        start_stream(store, landing, source, max_files).awaitTermination()
