@@ -109,7 +109,6 @@ def expected(spark: SparkSession, directory: str) -> DataFrame:
 
 _LENGTH_TIERS = ((10000, "S"), (4000, "A"), (1000, "B"))
 _LENGTH_TIER_SQL = "CASE WHEN n_chars >= 10000 THEN 'S' WHEN n_chars >= 4000 THEN 'A' WHEN n_chars >= 1000 THEN 'B' ELSE 'C' END"
-_BY_LENGTH = [F.desc_nulls_last, F.asc_nulls_first]
 _RANKED_DOCUMENTS = f"""
     SELECT doc_id, n_chars, toxic, good, {_LENGTH_TIER_SQL} AS tier,
            row_number() OVER (ORDER BY n_chars DESC, doc_id) AS overall_rank,
