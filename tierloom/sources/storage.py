@@ -1,32 +1,57 @@
-"""Cutting lineage through the shared folder the cluster names."""
+"""Cutting lineage through the shared folder the cluster names.
+
+Tables written here belong to one run of one driver. Its folder goes when the
+driver ends (a hook of the file system), or earlier when the owner calls
+``release`` after storing the results that read from it.
+"""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """Folder from ``spark.checkpoint.dir``.
+    """Folder from ``spark.checkpoint.dir``, else the session's warehouse folder.
 
-    Only a local master may go without the setting; it then gets a folder of
-    its own, once per session. On a cluster a missing setting is an error,
-    as a machine-local folder would be lost with its machine.
+    The warehouse of a cluster must not be a machine's own disk: executors
+    would not see each other's files there, so that is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    shared = _file_system(spark, warehouse)[0].getUri().getScheme() != "file"
+    if not shared and not spark.sparkContext.master.startswith("local["):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tierloom-"))
-    return spark.sparkContext.getCheckpointDir()
+    return warehouse
+
+
+def run_folder(spark: SparkSession) -> str:
+    """This driver's own folder below the shared one."""
+    return f"{checkpoint_root(spark)}/tierloom-{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession) -> str:
-    """A new path below the shared folder."""
-    return f"{checkpoint_root(spark)}/tierloom-{uuid.uuid4().hex}"
+    """A new path in this run's folder."""
+    folder = run_folder(spark)
+    files, place = _file_system(spark, folder)
+    if files.mkdirs(place):
+        files.deleteOnExit(place)
+    return f"{folder}/{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession, path: str | None = None) -> None:
+    """Remove one table of this run, or by default all of them."""
+    files, place = _file_system(spark, path or run_folder(spark))
+    files.delete(place, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
