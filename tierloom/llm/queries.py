@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierloom.llm import exact_dedup, quality_rules
+from tierloom.llm import exact_dedup, line_dedup, quality_rules
 from tierloom.llm.common import table
 
 QUERIES = {}
@@ -62,3 +62,29 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM hashed
 WINDOW same AS (PARTITION BY text_sha256)
 """
+
+
+@query
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.report(table(spark, folder, "documents"))
+
+
+ORACLES["op8_line_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
+  FROM documents
+),
+keyed AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM lines
+),
+repeated AS (
+  SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (keeper IS NOT NULL AND keeper <> doc_id) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (keeper IS NULL OR keeper = doc_id), ''))
+         AS kept_sha256
+FROM keyed LEFT JOIN repeated USING (k) GROUP BY doc_id
+"""
