@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierloom.llm import exact_dedup, line_dedup, quality_rules
+from tierloom.llm import exact_dedup, line_dedup, quality_rules, simhash
 from tierloom.llm.common import table
 
 QUERIES = {}
@@ -88,3 +88,8 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (keeper IS NOT NULL AND keep
          AS kept_sha256
 FROM keyed LEFT JOIN repeated USING (k) GROUP BY doc_id
 """
+
+
+@query
+def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.find_groups(table(spark, folder, "documents"))
