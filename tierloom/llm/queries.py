@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierloom.llm import exact_dedup, line_dedup, quality_rules, simhash
+from tierloom.llm import exact_dedup, line_dedup, quality_rules, simhash, warc
 from tierloom.llm.common import table
 
 QUERIES = {}
@@ -93,3 +93,27 @@ FROM keyed LEFT JOIN repeated USING (k) GROUP BY doc_id
 @query
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.find_groups(table(spark, folder, "documents"))
+
+
+@query
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages"))
+
+
+# Base 32 by five bits a character: DuckDB has no such function.
+ORACLES["op6_warc"] = r"""
+WITH hashed AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS hex FROM pages
+),
+bits AS (
+  SELECT *, array_to_string(list_transform(range(1, 41), lambda i: right(bin(('0x' || hex[i])::INT + 16), 4)), '') AS b
+  FROM hashed
+)
+SELECT page_id, octet_length(payload) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i:
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[list_sum(list_transform(range(0, 5), lambda j:
+           b[5 * i + j + 1]::INT * (16 // (2 ** j)::INT)))::INT + 1]), '') AS payload_digest,
+       CASE WHEN min(page_id) OVER same = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN min(page_id) OVER same <> page_id THEN min(page_id) OVER same END AS refers_to
+FROM bits WINDOW same AS (PARTITION BY hex)
+"""
