@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierloom.llm import exact_dedup, line_dedup, quality_rules, simhash, warc
+from tierloom.llm import exact_dedup, line_dedup, quality_rules, simhash, token_store, warc
 from tierloom.llm.common import table
 
 QUERIES = {}
@@ -17,6 +17,11 @@ def query(function):
     return function
 
 
+@query
+def op1_token_store(spark: SparkSession, folder: str) -> DataFrame:
+    return token_store.round_trip(table(spark, folder, "documents"))
+
+
 @query
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.measure(table(spark, folder, "documents"))
