@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import base64
 import os
+import sys
+import types
+from collections.abc import Callable, Hashable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,3 +52,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def held_out(doc_id: Column) -> Column:
     """A quarter of the documents, on which no model learns; false for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
+
+
+def per_worker(key: Hashable, make: Callable[[], object]):
+    """``make()``, once per Python worker: the tasks that a worker runs one after the other share it."""
+    held = vars(sys.modules.setdefault("_tierloom_worker", types.ModuleType("_tierloom_worker")))
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
+def gather(flat, starts, sizes):
+    """Spans of ``flat``, one after the other."""
+    import numpy as np
+
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)]

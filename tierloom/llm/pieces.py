@@ -14,28 +14,51 @@ from collections.abc import Callable
 
 import numpy as np
 
-#: Pieces remembered by one task; it then begins anew.
+from tierloom.llm.common import gather
+
+#: Pieces remembered; later ones are encoded with their batch and forgotten again.
 REMEMBERED = 1 << 19
 #: Mark of pieces at which a text can't be cut.
 UNSAFE = -1
 
-EncodeMany = Callable[[list[str]], list]
+#: Ids of each string of a list: all ids one after the other, and their number per string.
+EncodeMany = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
+
+
+class Spans:
+    """Ids of numbered strings, which may be added to and cut back."""
+
+    def __init__(self) -> None:
+        self.flat, self.starts, self.sizes = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.sizes)
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.flat = np.concatenate([self.flat, ids])
+        self.sizes = np.concatenate([self.sizes, sizes])
+
+    def keep(self, count: int) -> None:
+        if len(self) > count:
+            self.flat = self.flat[: self.starts[count]]
+            self.starts, self.sizes = self.starts[:count], self.sizes[:count]
+
+    def of(self, numbers: np.ndarray) -> np.ndarray:
+        return gather(self.flat, self.starts[numbers], self.sizes[numbers])
 
 
 class PieceEncoder:
-    """Token ids of texts; ``encode_many`` gives those of each string of a list."""
+    """Token ids of texts, from those of their distinct pieces."""
 
     def __init__(self, encode_many: EncodeMany, remembered: int = REMEMBERED) -> None:
         self.encode_many, self.remembered = encode_many, remembered
-        self._forget()
-
-    def _forget(self) -> None:
         self.later: dict[str, int] = {}  # pieces after the first: a space or, if they begin with it, a line feed leads
         self.first: dict[str, int] = {}
-        self.flat, self.starts, self.sizes = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.known = Spans()
 
     def _number(self, known: dict[str, int], piece: str, whole: str, pending: list[str]) -> int:
-        known[piece] = len(self.sizes) + len(pending)
+        known[piece] = len(self.known) + len(pending)
         pending.append(whole)
         return known[piece]
 
@@ -59,30 +82,26 @@ class PieceEncoder:
                 numbers[0] = self._number(self.first, first, first, pending)
         if UNSAFE in numbers:
             pending.append(text)
-            return [len(self.sizes) + len(pending) - 1]
+            return [len(self.known) + len(pending) - 1]
         return numbers
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids one after the other, and the number of ids of each text."""
-        if len(self.sizes) > self.remembered:
-            self._forget()
         pending: list[str] = []
         numbers = [np.array(self._pieces(text, pending), np.int64) for text in texts]
-        self._encode(pending)
+        if pending:
+            self.known.add(*self.encode_many(pending))
         used = np.concatenate([np.empty(0, np.int64), *numbers])
-        sizes = self.sizes[used]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.starts[used] - (ends - sizes), sizes) + np.arange(total)]
-        borders = np.cumsum([len(x) for x in numbers])
-        until = np.concatenate([[0], ends])[borders] if len(borders) else np.empty(0, np.int64)
+        ends = np.concatenate([[0], np.cumsum(self.known.sizes[used])])
+        until = ends[np.cumsum([len(x) for x in numbers], dtype=np.int64)]
+        ids = self.known.of(used)
+        self._forget()
         return ids, np.diff(until, prepend=0)
 
-    def _encode(self, pending: list[str]) -> None:
-        if not pending:
-            return
-        new = [np.asarray(ids, np.uint32) for ids in self.encode_many(pending)]
-        sizes = np.fromiter(map(len, new), np.int64, len(new))
-        starts = len(self.flat) + np.cumsum(sizes) - sizes
-        self.flat = np.concatenate([self.flat, *new])
-        self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
+    def _forget(self) -> None:
+        """Keep the first pieces only; dictionaries hold their entries in the order they came."""
+        if len(self.known) > self.remembered:
+            for known in (self.later, self.first):
+                while known and not 0 <= next(reversed(known.values())) < self.remembered:
+                    known.popitem()
+            self.known.keep(self.remembered)

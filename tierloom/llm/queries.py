@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierloom.llm import exact_dedup, line_dedup, quality_rules, simhash, token_store, warc
+from tierloom.llm import bpe, exact_dedup, line_dedup, quality_rules, simhash, token_store, warc
 from tierloom.llm.common import table
 
 QUERIES = {}
@@ -27,6 +27,11 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.measure(table(spark, folder, "documents"))
 
 
+@query
+def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.round_trip(table(spark, folder, "documents"))
+
+
 @query
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.find_copies(table(spark, folder, "documents"))

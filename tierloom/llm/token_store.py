@@ -22,6 +22,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierloom.llm import files
-from tierloom.llm.common import vocabulary_path
-from tierloom.llm.pieces import PieceEncoder
+from tierloom.llm.common import per_worker, vocabulary_path
+from tierloom.llm.pieces import EncodeMany, PieceEncoder
 from tierloom.sources.storage import scratch_path
 
 MAGIC = b"TIERTOK1"
@@ -147,19 +148,26 @@ class ShardReader:
         return np.concatenate(found)[begin : begin + count]
 
 
-def library_encoder(path: str) -> tuple[Callable[[list[str]], list], int]:
+def library_encoder(path: str) -> tuple[EncodeMany, int]:
     """Batch encoder of a tokenizer file, and its vocabulary's size; special tokens' strings are ordinary text."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
 
-    def encode(texts: list[str]) -> list:
-        return [found.ids for found in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [found.ids for found in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
 
     return encode, tokenizer.get_vocab_size()
 
 
+def _pieces(path: str) -> tuple[PieceEncoder, int]:
+    encode, vocabulary = library_encoder(path)
+    return PieceEncoder(encode), vocabulary
+
+
 def with_end(ids: np.ndarray, sizes: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """The same ids with ``end_id`` after each document."""
     return np.insert(ids, np.cumsum(sizes), end_id), sizes + 1
@@ -174,8 +182,8 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int) -> DataFrame:
     )
 
     def save(batches: Batches) -> Batches:
-        encode, vocabulary = library_encoder(path)
-        pieces, bits = PieceEncoder(encode), bits_for(vocabulary)
+        pieces, vocabulary = per_worker(("token store", path), lambda: _pieces(path))
+        bits = bits_for(vocabulary)
         done: list[dict] = []
         shard, file, writer = None, None, None
 
