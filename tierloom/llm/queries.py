@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierloom.llm import bpe, exact_dedup, line_dedup, quality_rules, simhash, token_store, warc
+from tierloom.llm import bpe, exact_dedup, line_dedup, mixing, quality_rules, simhash, token_store, warc
 from tierloom.llm.common import table
 
 QUERIES = {}
@@ -105,6 +105,11 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.find_groups(table(spark, folder, "documents"))
 
 
+@query
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query
 def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(table(spark, folder, "pages"))
