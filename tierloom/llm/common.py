@@ -69,3 +69,10 @@ def gather(flat, starts, sizes):
     ends = np.cumsum(sizes)
     total = int(ends[-1]) if len(ends) else 0
     return flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)]
+
+
+def bounded_sample(rows: DataFrame, group: str, most: int) -> DataFrame:
+    """About ``most`` rows at most of each value of ``group``, chosen by a hash of doc_id; all rows of smaller groups."""
+    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_rows"))
+    chance = F.shiftrightunsigned(F.xxhash64(F.lit("sample"), "doc_id"), 11) / F.lit(float(1 << 53))
+    return rows.join(sizes, group).where(chance * F.col("_rows") < most).drop("_rows")

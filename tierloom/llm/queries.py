@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierloom.llm import bpe, exact_dedup, line_dedup, mixing, quality_rules, simhash, token_store, warc
+from tierloom.llm import bpe, exact_dedup, language, line_dedup, mixing, quality_rules, simhash, token_store, warc
 from tierloom.llm.common import table
 
 QUERIES = {}
@@ -74,6 +74,11 @@ WINDOW same AS (PARTITION BY text_sha256)
 """
 
 
+@query
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
+
+
 @query
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.report(table(spark, folder, "documents"))
