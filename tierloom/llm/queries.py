@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierloom.llm import bpe, exact_dedup, language, line_dedup, mixing, quality_rules, simhash, token_store, warc
+from tierloom.llm import bpe, exact_dedup, language, line_dedup, mixing, quality_rules, simhash, token_store, toxicity, warc
 from tierloom.llm.common import table
 
 QUERIES = {}
@@ -137,3 +137,8 @@ SELECT page_id, octet_length(payload) AS payload_bytes,
        CASE WHEN min(page_id) OVER same <> page_id THEN min(page_id) OVER same END AS refers_to
 FROM bits WINDOW same AS (PARTITION BY hex)
 """
+
+
+@query
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.assess(table(spark, folder, "documents"), table(spark, folder, "labels"))
