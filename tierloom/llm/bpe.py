@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from tierloom.llm.common import fresh, load_ranks, per_worker, vocabulary_path
 from tierloom.llm.pieces import REMEMBERED, PieceEncoder, Spans
@@ -202,24 +202,31 @@ def _encoder(path: str, pattern: str) -> tuple[DuckBpe, PieceEncoder]:
     return bpe, PieceEncoder(bpe.encode_many)
 
 
-def encode(docs: DataFrame, vocabulary: str = "byte_bpe_multi_50k.tiktoken", pattern: str | None = None) -> DataFrame:
-    """The documents with a column ``ids`` (array of int), renamed if it would clash."""
+def encode(
+    docs: DataFrame, decode: bool = False, vocabulary: str = "byte_bpe_multi_50k.tiktoken", pattern: str | None = None
+) -> DataFrame:
+    """The documents with a column ``ids`` (array of int), and ``decoded`` (the ids' text) if asked for.
+
+    Both are renamed if they would clash with a column of the documents.
+    """
     path, pattern = vocabulary_path(vocabulary), pattern or _default_pattern()
-    ids_name = fresh(docs.columns, "ids")
+    names = [fresh(docs.columns, name) for name in ("ids", "decoded")[: 1 + decode]]
     text_at = docs.columns.index("text")
 
     def scan(batches: Batches) -> Batches:
-        _, pieces = per_worker(("bpe", path, pattern), lambda: _encoder(path, pattern))
+        bpe, pieces = per_worker(("bpe", path, pattern), lambda: _encoder(path, pattern))
         for batch in batches:
             for at in range(0, batch.num_rows, TOGETHER):
                 part = batch.slice(at, TOGETHER)
                 ids, sizes = pieces.encode([text or "" for text in part.column(text_at).to_pylist()])
                 offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, ids_name])
+                found = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))]
+                if decode:
+                    found.append(pa.array([bytes.fromhex(x).decode() for x in bpe.decode_many(ids, sizes)], pa.string()))
+                yield pa.RecordBatch.from_arrays([*part.columns, *found], [*part.schema.names, *names])
 
-    schema = StructType([*docs.schema.fields, StructField(ids_name, ArrayType(IntegerType()))])
-    return docs.mapInArrow(scan, schema)
+    added = [StructField(names[0], ArrayType(IntegerType())), *(StructField(name, StringType()) for name in names[1:])]
+    return docs.mapInArrow(scan, StructType([*docs.schema.fields, *added]))
 
 
 def round_trip(docs: DataFrame, vocabulary: str = "byte_bpe_multi_50k.tiktoken", pattern: str | None = None) -> DataFrame:

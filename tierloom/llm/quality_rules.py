@@ -157,7 +157,11 @@ def clean(docs: DataFrame) -> DataFrame:
         lambda line: ~line.rlike(r"[^\x20\x09-\x0D]") | ~line_fails(line, F.size(words(line))),
     )
     text = F.when(verdict.n_lost_words == 0, F.col("text")).otherwise(F.array_join(kept_lines, "\n"))
-    out = judged.where(verdict.kept).withColumn("text", text)
+    # The row number keeps the filter above the projections that compute the verdict. Below them, each column that
+    # the verdict is made of would be written out anew wherever it is used, which multiplies from step to step.
+    row = fresh(judged.columns, "row")
+    numbered = judged.withColumn(row, F.monotonically_increasing_id())
+    out = numbered.where(verdict.kept & (F.col(row) >= 0)).withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(docs.columns)
