@@ -211,18 +211,14 @@ def without(text: str | None, lost: set[bytes]) -> tuple[str, int, int]:
 
 
 ASCII_LOWER = {upper: upper + 32 for upper in range(ord("A"), ord("Z") + 1)}
-RESULT = "struct<kept_text:string,n_lines:long,n_dropped:long>"
+STRUCT = pa.struct([("kept_text", pa.string()), ("n_lines", pa.int64()), ("n_dropped", pa.int64())])
 
 
-@F.arrow_udf(RESULT)
 def _strip(texts: pa.Array, lost: pa.Array) -> pa.Array:
     done = [without(t, set(x or ())) for t, x in zip(texts.to_pylist(), lost.to_pylist(), strict=True)]
     return pa.array([{"kept_text": t, "n_lines": n, "n_dropped": d} for t, n, d in done], STRUCT)
 
 
-STRUCT = pa.struct([("kept_text", pa.string()), ("n_lines", pa.int64()), ("n_dropped", pa.int64())])
-
-
 def strip_repeats(docs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The documents with ``kept_text``, ``n_lines`` and ``n_dropped``, renamed if they would clash."""
     key, lost_, found, flag = (fresh(docs.columns, x) for x in ("key", "lost", "found", "flag"))
@@ -249,7 +245,8 @@ def strip_repeats(docs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> Da
             F.lit(0).cast("long").alias("n_dropped"),
         ),
     )
-    touched = named.where(flag).join(lost, key, "left").withColumn(found, _strip("text", lost_))
+    strip = F.arrow_udf(_strip, "struct<kept_text:string,n_lines:long,n_dropped:long>")
+    touched = named.where(flag).join(lost, key, "left").withColumn(found, strip("text", lost_))
     both = untouched.select(*docs.columns, found).unionByName(touched.select(*docs.columns, found))
     return both.select(*docs.columns, *[F.col(found)[x].alias(fresh(docs.columns, x)) for x in ("kept_text", "n_lines", "n_dropped")])
 
