@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 
 from tierloom.constants import AS_WRITTEN_RELATIONS, DOCUMENTED_RELATIONS
-from tierloom.operators.matrix import relation_matrix, relation_pairs
+from tierloom.operators.matrix import matrix_row, relation_matrix, relation_pairs
 
 ROWS = [
     ("fire", "earth", "double_damage_to"),
@@ -22,12 +22,16 @@ def relations(spark):
     return spark.createDataFrame(ROWS, "source string, target string, relation string")
 
 
+def dense(relations, mapping=DOCUMENTED_RELATIONS, names=AXIS):
+    return relation_matrix(relation_pairs(relations, "source", "target", "relation", mapping), names)
+
+
 def cells(df):
     return {(r[0], r[1]): (r[2], r[3]) for r in df.collect()}
 
 
 def test_documented_meaning(relations):
-    got = cells(relation_matrix(relations, "source", "target", "relation"))
+    got = cells(dense(relations))
     assert set(got) == {(a, d) for a in AXIS for d in AXIS}
     special = {
         ("fire", "earth"): (2.0, "Super Effective"),
@@ -40,7 +44,7 @@ def test_documented_meaning(relations):
 
 
 def test_as_written(relations):
-    got = cells(relation_matrix(relations, "source", "target", "relation", AS_WRITTEN_RELATIONS))
+    got = cells(dense(relations, AS_WRITTEN_RELATIONS))
     assert got["fire", "earth"] == (2.0, "Super Effective")
     assert got["fire", "water"] == (1.0, "Normal")
     assert got["fire", "air"] == (0.5, "No Effect")
@@ -50,7 +54,7 @@ def test_as_written(relations):
 def test_precedence_when_a_pair_has_several_relations(spark):
     rows = [("a", "a", "double_damage_to"), ("a", "a", "no_damage_to"), ("a", "a", "half_damage_to")]
     df = spark.createDataFrame(rows, "source string, target string, relation string")
-    assert cells(relation_matrix(df, "source", "target", "relation")) == {("a", "a"): (2.0, "No Effect")}
+    assert cells(dense(df, names=["a"])) == {("a", "a"): (2.0, "No Effect")}
 
 
 def test_same_as_one_join_per_relation(relations, spark):
@@ -68,7 +72,7 @@ def test_same_as_one_join_per_relation(relations, spark):
             LEFT JOIN rel dd ON dd.relation = '{dd}' AND dd.source = a.source AND dd.target = d.source
             LEFT JOIN rel hd ON hd.relation = '{hd}' AND hd.source = a.source AND hd.target = d.source
             LEFT JOIN rel nd ON nd.relation = '{nd}' AND nd.source = a.source AND nd.target = d.source""")
-        assert cells(relation_matrix(relations, "source", "target", "relation", mapping)) == cells(joined)
+        assert cells(dense(relations, mapping)) == cells(joined)
 
 
 def test_known_pairs_only(relations):
@@ -76,15 +80,16 @@ def test_known_pairs_only(relations):
     assert got["water", "void"] == (2.0, "Super Effective") and len(got) == 6
 
 
-def test_long_axis_is_an_error(relations, spark):
-    spark.conf.set("spark.sql.pivotMaxValues", "3")
-    try:
-        with pytest.raises(Exception, match="more than 3 names"):
-            relation_matrix(relations, "source", "target", "relation").collect()
-    finally:
-        spark.conf.unset("spark.sql.pivotMaxValues")
+def test_row_against_listed_names(relations):
+    pairs = relation_pairs(relations, "source", "target", "relation")
+    got = cells(matrix_row(pairs, "water", ["void", "fire", "air"]))
+    assert got == {
+        ("water", "void"): (2.0, "Super Effective"),
+        ("water", "fire"): (2.0, "Super Effective"),
+        ("water", "air"): (1.0, "Normal"),
+    }
 
 
 def test_no_join_without_a_key(relations):
-    plan = relation_matrix(relations, "source", "target", "relation")._jdf.queryExecution().executedPlan().toString()
+    plan = dense(relations)._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan

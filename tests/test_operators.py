@@ -94,7 +94,7 @@ def test_matrix_wide(spark):
     df = spark.createDataFrame([("a", "x", 1.0), ("a", "y", 2.0), ("b", "x", 3.0)], "r string, c string, v double")
     wide = matrix_wide(df, "r", "c", "v", ["x", "y"]).orderBy("r")
     assert [tuple(row) for row in wide.collect()] == [("a", 1.0, 2.0), ("b", 3.0, None)]
-    assert matrix_wide(df, "r", "c", "v").columns == ["r", "x", "y"]
+    assert matrix_wide(df, "r", "c", "v", ["z"], 1).select("z").distinct().first()[0] == 1
 
 
 def test_projection(spark):

@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import random
 
-import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -29,14 +28,13 @@ def brute(rows):
     return sorted(out)
 
 
-def ranked(spark, rows, strategy):
+def ranked(spark, rows):
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
     ranks = {"overall": [], "by_flag": ["flag"], "by_kind": [F.coalesce("kind", F.lit("none"))]}
-    return sorted(tuple(row) for row in rank_rows(df, order(), ranks, strategy).collect())
+    return sorted(tuple(row) for row in rank_rows(df, order(), ranks).collect())
 
 
-@pytest.mark.parametrize("strategy", ["plain", "distributed", "auto"])
-def test_ranks_match_brute_force(spark, strategy):
+def test_ranks_match_brute_force(spark):
     rng = random.Random(7)
     rows = [
         (
@@ -47,17 +45,17 @@ def test_ranks_match_brute_force(spark, strategy):
         )
         for i in range(700)
     ]
-    assert ranked(spark, rows, strategy) == brute(rows)
+    assert ranked(spark, rows) == brute(rows)
 
 
-def test_distributed_with_one_value_in_most_rows(spark):
+def test_with_one_value_in_most_rows(spark):
     """Ties are settled by the id, so a hot value is still cut into ranges."""
     rows = [(i, 5 if i % 10 else i, None if i % 3 else True, "a") for i in range(2000)]
-    assert ranked(spark, rows, "distributed") == brute(rows)
+    assert ranked(spark, rows) == brute(rows)
 
 
-def test_distributed_on_no_rows(spark):
-    assert ranked(spark, [], "distributed") == []
+def test_on_no_rows(spark):
+    assert ranked(spark, []) == []
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -66,25 +64,19 @@ def test_distributed_on_no_rows(spark):
         st.tuples(st.one_of(st.none(), st.integers(-3, 3)), st.sampled_from([True, False, None])), max_size=40
     )
 )
-def test_distributed_equals_plain(spark, values):
+def test_ranks_of_any_rows(spark, values):
     rows = [(i, score, flag, None) for i, (score, flag) in enumerate(values)]
-    assert ranked(spark, rows, "distributed") == ranked(spark, rows, "plain") == brute(rows)
+    assert ranked(spark, rows) == brute(rows)
 
 
-def test_unknown_strategy(spark):
-    with pytest.raises(ValueError, match="unknown strategy"):
-        rank_rows(spark.range(1), [F.col("id")], {"r": []}, "fast")
-
-
-def test_auto_follows_the_bound(spark, monkeypatch):
-    monkeypatch.setattr("tierloom.operators.rank.PLAIN_LIMIT", 10)
+def test_no_task_holds_the_table(spark):
+    """Rows are numbered in their parts; only the parts' sizes ever meet in one task."""
     df = spark.range(100).withColumn("score", F.col("id") % 7)
-    by_score = [F.col("score").desc(), F.col("id")]
-    spread = rank_rows(df, by_score, {"r": []})
-    assert "SinglePartition" not in plan(spread.where("r > 0")).split("BroadcastExchange")[0]
-    assert spread.agg(F.sum("r")).first()[0] == 5050
-    small = rank_rows(df, by_score, {"r": []}, bound=spark.range(5))
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, spread.collect()))
+    ranked_ = rank_rows(df, [F.col("score").desc(), F.col("id")], {"r": [], "by_score": ["score"]})
+    text = plan(ranked_.where("r > 0")).split("Initial Plan")[0]
+    for piece in text.split("SinglePartition")[1:]:
+        assert "_size" in piece and "id#" not in piece.split("Scan parquet")[0]
+    assert ranked_.agg(F.sum("r")).first()[0] == 5050
 
 
 def plan(df) -> str:

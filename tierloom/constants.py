@@ -59,6 +59,5 @@ TILE_MOVES = 100
 APP_TOP = 25
 APP_MOVES = 50
 APP_LEGENDARIES = 40
-COMPARE_AT_MOST = 5
 COMPARE_DEFAULT = 3
 DEFAULT_STATS = ("attack", "defense", "hp")

@@ -1,4 +1,4 @@
-"""Pairwise relation matrix: known pairs from relation rows, the rest neutral."""
+"""Pairwise relations: known pairs from relation rows; neutral cells only for names a caller lists."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierloom.constants import DOCUMENTED_RELATIONS, NEUTRAL_LABEL, NEUTRAL_MULTIPLIER
-from tierloom.sources.storage import materialize
 
 Relations = Sequence[tuple[str, float, str]]
 
@@ -54,34 +53,31 @@ def relation_pairs(
 
 
 def relation_matrix(
-    relations: DataFrame,
-    source: str,
-    target: str,
-    relation: str,
-    mapping: Relations = DOCUMENTED_RELATIONS,
-    neutral: tuple[float, str] = (NEUTRAL_MULTIPLIER, NEUTRAL_LABEL),
+    pairs: DataFrame, names: Sequence[str], neutral: tuple[float, str] = (NEUTRAL_MULTIPLIER, NEUTRAL_LABEL)
 ) -> DataFrame:
-    """Every (attacking, defending) pair of axis names with multiplier and label.
-
-    The relation rows are read once, into one row per pair, which are stored
-    as the axis and the known pairs both come from them. The dense form writes
-    the square of the axis by definition, so the axis must fit Spark's bound
-    for two-way tables (``spark.sql.pivotMaxValues``); a longer one is an
-    error, and ``relation_pairs`` gives its known pairs. Each axis row unfolds
-    the list of names itself, so there is no join without a key.
+    """The cells of ``relation_pairs`` rows among the listed ``names``, unknown pairs filled in as neutral.
+
+    Only the names that the caller lists are laid out; pairs of any other name stay out.
     """
-    pairs = materialize(_flagged_pairs(relations, source, target, relation, mapping))
-    bound = int(relations.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-    axis = axis_values(pairs, "attacking_type").where(F.col("attacking_type").isNotNull())
-    # One row past the bound is enough to know that it is passed.
-    names = axis.limit(bound + 1).agg(F.collect_list("attacking_type").alias("names")).select(
-        F.when(F.size("names") <= bound, F.col("names")).otherwise(
-            F.raise_error(F.lit(f"more than {bound} names on the axis; use relation_pairs"))
-        )
-    )
-    grid = axis.select("attacking_type", F.explode(names.scalar()).alias("defending_type"))
+    spark = pairs.sparkSession
+    listed = F.explode(F.array(*[F.lit(name) for name in names]))
+    rows = spark.range(1).select(listed.alias("attacking_type"))
+    grid = rows.select("attacking_type", listed.alias("defending_type"))
+    return _filled(grid, pairs, neutral)
+
+
+def matrix_row(
+    pairs: DataFrame, name: str, names: Sequence[str], neutral: tuple[float, str] = (NEUTRAL_MULTIPLIER, NEUTRAL_LABEL)
+) -> DataFrame:
+    """One attacking name against each listed name."""
+    against = F.explode(F.array(*[F.lit(other) for other in names])).alias("defending_type")
+    grid = pairs.sparkSession.range(1).select(F.lit(name).alias("attacking_type"), against)
+    return _filled(grid, pairs.where(F.col("attacking_type") == F.lit(name)), neutral)
+
+
+def _filled(grid: DataFrame, pairs: DataFrame, neutral: tuple[float, str]) -> DataFrame:
     value, label = neutral
-    return grid.join(_valued(pairs, mapping), ["attacking_type", "defending_type"], "left").select(
+    return grid.join(pairs, ["attacking_type", "defending_type"], "left").select(
         "attacking_type",
         "defending_type",
         F.coalesce("effectiveness_multiplier", F.lit(value)).alias("effectiveness_multiplier"),

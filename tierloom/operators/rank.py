@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from tierloom.sources.storage import materialize
 
-# Up to this many rows one task numbers the whole table in a moment.
-PLAIN_LIMIT = 1_000_000
-
 # monotonically_increasing_id holds the row's position in its low 33 bits and
 # the partition number above them.
 _POSITION_BITS = 33
@@ -37,48 +34,23 @@ def top_ranked(df: DataFrame, order: Sequence[Column], k: int, out: str) -> Data
 
 
 def rank_rows(
-    df: DataFrame,
-    order: Sequence[Column],
-    ranks: Mapping[str, Sequence[Column | str]],
-    strategy: str = "auto",
-    bound: DataFrame | None = None,
+    df: DataFrame, order: Sequence[Column], ranks: Mapping[str, Sequence[Column | str]]
 ) -> DataFrame:
     """Add one row number per entry of ``ranks`` (output column -> grouping columns).
 
     ``order`` must be a total order, and all ranks share it. An empty grouping
     numbers the whole table.
 
-    ``plain`` uses ordinary windows: one task per group, one for the table.
-    ``distributed`` sorts the table across partitions once and adds up
-    partition sizes, so no task ever holds a whole group. ``auto`` counts
-    ``bound`` (any DataFrame known to have at least as many rows; a stored
-    table answers from its file footers) and picks ``plain`` for small ones.
+    The table is sorted across partitions once and each row's place is frozen
+    by writing it down. A number is then the row's place among its group in its
+    part, plus the group's rows in earlier parts, so no task ever holds a whole
+    group. One grouped pass counts for all ranks; one shuffle by part serves
+    all grouped ones.
     """
-    if strategy == "auto":
-        rows = (bound if bound is not None else df).count()
-        strategy = "plain" if rows <= PLAIN_LIMIT else "distributed"
-    if strategy == "plain":
-        return _plain(df, order, ranks)
-    if strategy == "distributed":
-        return _distributed(df, order, ranks)
-    raise ValueError(f"unknown strategy {strategy!r}")
-
-
-def _as_column(item: Column | str) -> Column:
-    return F.col(item) if isinstance(item, str) else item
-
-
-def _plain(df: DataFrame, order: Sequence[Column], ranks: Mapping[str, Sequence[Column | str]]) -> DataFrame:
-    numbered = {
-        out: F.row_number().over(Window.partitionBy(*groups).orderBy(*order)).cast("bigint")
-        for out, groups in ranks.items()
-    }
-    return df.withColumns(numbered)
+    # Ties are settled by the total order, so even a value shared by a third of the rows is cut into even ranges.
+    placed = materialize(df.orderBy(*order).withColumn("_slot", F.monotonically_increasing_id()))
+    placed = placed.withColumn("_part", F.shiftright("_slot", _POSITION_BITS).cast("int"))
 
-
-def _distributed(
-    df: DataFrame, order: Sequence[Column], ranks: Mapping[str, Sequence[Column | str]]
-) -> DataFrame:
     # A struct compares equal where all fields do, NULL included, and is itself
     # never NULL, so rows without a group find their offset like any other.
     groups = {
@@ -86,29 +58,23 @@ def _distributed(
         for out, items in ranks.items()
         if items
     }
-
-    # One sort of the whole table; ties are settled by the total order, so even
-    # a value shared by a third of the rows is cut into even ranges. The place
-    # of each row is frozen by writing it down.
-    placed = materialize(
-        df.withColumns(groups).orderBy(*order).withColumn("_slot", F.monotonically_increasing_id())
-    ).withColumn("_part", F.shiftright("_slot", _POSITION_BITS).cast("int"))
-
-    result = placed
+    result = placed.withColumns(groups)
+    sizes = materialize(result.groupBy("_part", *groups).agg(F.count(F.lit(1)).alias("_size")))
+    if groups:
+        result = result.repartition("_part")
     for out, items in ranks.items():
         group = [f"_group_{out}"] if items else []
-        sizes = placed.groupBy("_part", *group).agg(F.count(F.lit(1)).alias("_size"))
+        own = sizes.groupBy("_part", *group).agg(F.sum("_size").alias("_size"))
         earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
         before = F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before")
-        offsets = sizes.select("_part", *group, before)
         if items:
-            # Counting and joining share one shuffle by (part, group), whose
-            # pieces are never larger than a part.
             local = F.row_number().over(Window.partitionBy("_part", *group).orderBy("_slot"))
         else:
-            # One row per sort partition, so small enough to send everywhere.
-            offsets = F.broadcast(offsets)
             local = F.col("_slot").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)) + 1
-        numbered = result.withColumn("_local", local).join(offsets, ["_part", *group])
+        numbered = result.withColumn("_local", local).join(own.select("_part", *group, before), ["_part", *group])
         result = numbered.withColumn(out, F.col("_local") + F.col("_before")).drop("_local", "_before")
     return result.select(*df.columns, *ranks)
+
+
+def _as_column(item: Column | str) -> Column:
+    return F.col(item) if isinstance(item, str) else item

@@ -38,12 +38,11 @@ def unpivot_cols(
 
 
 def matrix_wide(
-    df: DataFrame, row: str, column: str, value: str, values: Sequence[str] | None = None
+    df: DataFrame, row: str, column: str, value: str, values: Sequence[str], missing: object = None
 ) -> DataFrame:
-    """Two-way table: a row per ``row`` value and a column per ``column`` value.
+    """Two-way table: a row per ``row`` value and a column per listed value, empty cells filled with ``missing``.
 
-    Naming the ``values`` saves Spark the extra pass that finds them; without
-    them Spark's own pivotMaxValues bound applies.
+    The values are always named: finding them would take a pass of its own, and their number has no bound.
     """
-    pivoted = df.groupBy(row).pivot(column, list(values) if values is not None else None)
-    return pivoted.agg(F.first(value))
+    wide = df.groupBy(row).pivot(column, list(values)).agg(F.first(value))
+    return wide if missing is None else wide.select(row, *[F.coalesce(F.col(f"`{v}`"), F.lit(missing)).alias(v) for v in values])

@@ -24,8 +24,8 @@ from tierloom.constants import (
 )
 from tierloom.functions.derive import any_match, category, expected_value, row_total, tier
 from tierloom.naming import Naming
-from tierloom.operators.matrix import relation_matrix
-from tierloom.operators.rank import rank_rows, top_k
+from tierloom.operators.matrix import relation_pairs
+from tierloom.operators.rank import rank_rows, top_k, top_ranked
 from tierloom.operators.reshape import pivot_max
 from tierloom.sources.tables import TableFolder
 
@@ -87,24 +87,21 @@ def _fact_with(fact: DataFrame, dim: DataFrame, columns: Sequence[str], naming:
     return fact.join(dim.select(naming.id, *columns), naming.id)
 
 
-def top_attackers(
-    fact: DataFrame,
-    dim: DataFrame,
-    naming: Naming = Naming(),
-    strategy: str = "auto",
-    bound: DataFrame | None = None,
-    sp_attack_nulls_first: bool = True,
-) -> DataFrame:
-    """Entities by attack, then special attack, then id."""
-    n = naming
+def attacker_order(naming: Naming = Naming(), sp_attack_nulls_first: bool = True) -> list[Column]:
+    """By attack, then special attack, then id."""
     second = F.col("sp_attack")
-    order = [
+    return [
         F.col("attack").desc_nulls_last(),
         second.desc_nulls_first() if sp_attack_nulls_first else second.desc_nulls_last(),
-        F.col(n.id).asc_nulls_first(),
+        F.col(naming.id).asc_nulls_first(),
     ]
+
+
+def attacker_rows(fact: DataFrame, dim: DataFrame, naming: Naming = Naming()) -> DataFrame:
+    """The attackers' mart without its ranks; lazy, so a reader of few columns or rows computes no more."""
+    n = naming
     fighters = fact.where(F.col("attack") > 0)
-    rows = _fact_with(fighters, dim, [*TYPE_SLOTS.values(), "is_legendary", "is_mythical"], n).select(
+    return _fact_with(fighters, dim, [*TYPE_SLOTS.values(), "is_legendary", "is_mythical"], n).select(
         n.id,
         n.name,
         *TYPE_SLOTS.values(),
@@ -115,22 +112,34 @@ def top_attackers(
         "is_mythical",
         tier(F.col("attack"), ATTACK_TIERS).alias("tier"),
     )
-    ranks = {"overall_rank": [], "rank_within_legendary_status": ["is_legendary"]}
-    return rank_rows(rows, order, ranks, strategy, bound if bound is not None else fact)
 
 
-def top_defenders(
-    fact: DataFrame,
-    dim: DataFrame,
-    naming: Naming = Naming(),
-    strategy: str = "auto",
-    bound: DataFrame | None = None,
+_WITHIN_STATUS = {"overall_rank": [], "rank_within_legendary_status": ["is_legendary"]}
+
+
+def top_attackers(
+    fact: DataFrame, dim: DataFrame, naming: Naming = Naming(), sp_attack_nulls_first: bool = True
 ) -> DataFrame:
-    """Entities by defense plus hp, then id."""
+    """Attackers with their ranks."""
+    return rank_rows(attacker_rows(fact, dim, naming), attacker_order(naming, sp_attack_nulls_first), _WITHIN_STATUS)
+
+
+def first_attackers(fact: DataFrame, dim: DataFrame, k: int, naming: Naming = Naming()) -> DataFrame:
+    """The first ``k`` attackers with their overall rank; the others are never ranked."""
+    return top_ranked(attacker_rows(fact, dim, naming), attacker_order(naming), k, "overall_rank")
+
+
+def defender_order(naming: Naming = Naming()) -> list[Column]:
+    """By defense plus hp, then id."""
+    return [F.col("combined_defensive_stat").desc_nulls_last(), F.col(naming.id).asc_nulls_first()]
+
+
+def defender_rows(fact: DataFrame, dim: DataFrame, naming: Naming = Naming()) -> DataFrame:
+    """The defenders' mart without its ranks."""
     n = naming
     both = F.col("defense") + F.col("hp")
     standing = fact.where((F.col("defense") > 0) & (F.col("hp") > 0))
-    rows = _fact_with(standing, dim, [*TYPE_SLOTS.values(), "is_legendary", "is_mythical"], n).select(
+    return _fact_with(standing, dim, [*TYPE_SLOTS.values(), "is_legendary", "is_mythical"], n).select(
         n.id,
         n.name,
         *TYPE_SLOTS.values(),
@@ -143,9 +152,16 @@ def top_defenders(
         "is_mythical",
         tier(both, DEFENSE_TIERS).alias("tier"),
     )
-    order = [F.col("combined_defensive_stat").desc_nulls_last(), F.col(n.id).asc_nulls_first()]
-    ranks = {"overall_rank": [], "rank_within_legendary_status": ["is_legendary"]}
-    return rank_rows(rows, order, ranks, strategy, bound if bound is not None else fact)
+
+
+def top_defenders(fact: DataFrame, dim: DataFrame, naming: Naming = Naming()) -> DataFrame:
+    """Defenders with their ranks."""
+    return rank_rows(defender_rows(fact, dim, naming), defender_order(naming), _WITHIN_STATUS)
+
+
+def first_defenders(fact: DataFrame, dim: DataFrame, k: int, naming: Naming = Naming()) -> DataFrame:
+    """The first ``k`` defenders with their overall rank."""
+    return top_ranked(defender_rows(fact, dim, naming), defender_order(naming), k, "overall_rank")
 
 
 def best_movesets(
@@ -181,18 +197,17 @@ def best_movesets(
     )
 
 
-def legendary_rankings(
-    fact: DataFrame,
-    dim: DataFrame,
-    naming: Naming = Naming(),
-    strategy: str = "auto",
-    bound: DataFrame | None = None,
-) -> DataFrame:
-    """Legendary and mythical entities by total stats, then id."""
+def legendary_order(naming: Naming = Naming()) -> list[Column]:
+    """By total stats, then id."""
+    return [F.col("total_base_stats").desc_nulls_last(), F.col(naming.id).asc_nulls_first()]
+
+
+def legendary_rows(fact: DataFrame, dim: DataFrame, naming: Naming = Naming()) -> DataFrame:
+    """Legendary and mythical entities without their ranks."""
     n = naming
     rare = dim.where(F.col("is_legendary") | F.col("is_mythical"))
     flags = (F.col("is_mythical"), F.col("is_legendary"))
-    rows = _fact_with(
+    return _fact_with(
         fact, rare, [*TYPE_SLOTS.values(), "is_legendary", "is_mythical", "generation"], n
     ).select(
         n.id,
@@ -205,15 +220,23 @@ def legendary_rankings(
         "total_base_stats",
         category(*flags, F.lit(None).cast("string")).alias("rarity_tier"),
     )
+
+
+def legendary_rankings(fact: DataFrame, dim: DataFrame, naming: Naming = Naming()) -> DataFrame:
+    """Legendary and mythical entities with their ranks."""
     group = F.when(F.col("is_mythical"), F.lit(MYTHICAL)).otherwise(F.lit(LEGENDARY))
-    order = [F.col("total_base_stats").desc_nulls_last(), F.col(n.id).asc_nulls_first()]
     ranks = {"overall_rank": [], "rank_within_tier": [group]}
-    return rank_rows(rows, order, ranks, strategy, bound if bound is not None else fact)
+    return rank_rows(legendary_rows(fact, dim, naming), legendary_order(naming), ranks)
+
+
+def first_legendaries(fact: DataFrame, dim: DataFrame, k: int, naming: Naming = Naming()) -> DataFrame:
+    """The first ``k`` legendary and mythical entities with their overall rank."""
+    return top_ranked(legendary_rows(fact, dim, naming), legendary_order(naming), k, "overall_rank")
 
 
 def type_effectiveness(types: DataFrame, mapping=DOCUMENTED_RELATIONS) -> DataFrame:
-    """Multiplier and label of every attacking and defending type."""
-    return relation_matrix(types, "type_name", "target_type", "damage_relation", mapping)
+    """Multiplier and label of every pair of types that has a relation; all other pairs are neutral."""
+    return relation_pairs(types, "type_name", "target_type", "damage_relation", mapping)
 
 
 def mart_order(naming: Naming = Naming()) -> dict[str, list[Column]]:
@@ -237,7 +260,6 @@ def build_marts(
     naming: Naming = Naming(),
     folder: TableFolder | None = None,
     mapping=DOCUMENTED_RELATIONS,
-    strategy: str = "auto",
 ) -> dict[str, DataFrame]:
     """All eight marts by name.
 
@@ -256,18 +278,17 @@ def build_marts(
     dim = keep(n.dim, dim_entity(staged, n))
     moves = keep("dim_moves", dim_moves(staged, n))
     fact = keep(n.fact, fct_stats(staged, n))
-    bound = None if folder is not None else staged[n.staging(n.raw())]
     return {
         n.dim: dim,
         "dim_moves": moves,
         n.fact: fact,
-        "mart_top_attackers": keep("mart_top_attackers", top_attackers(fact, dim, n, strategy, bound)),
-        "mart_top_defenders": keep("mart_top_defenders", top_defenders(fact, dim, n, strategy, bound)),
+        "mart_top_attackers": keep("mart_top_attackers", top_attackers(fact, dim, n)),
+        "mart_top_defenders": keep("mart_top_defenders", top_defenders(fact, dim, n)),
         "mart_best_movesets": keep(
             "mart_best_movesets", best_movesets(staged[n.staging(n.raw("moves"))], moves, dim, n)
         ),
         "mart_legendary_rankings": keep(
-            "mart_legendary_rankings", legendary_rankings(fact, dim, n, strategy, bound)
+            "mart_legendary_rankings", legendary_rankings(fact, dim, n)
         ),
         "mart_type_effectiveness": keep(
             "mart_type_effectiveness", type_effectiveness(staged[n.staging("types")], mapping)

@@ -14,10 +14,10 @@ from tierloom.constants import (
     APP_MOVES,
     APP_POWER_LABELS,
     APP_TOP,
-    COMPARE_AT_MOST,
     COMPARE_DEFAULT,
     DAMAGING_CLASSES,
     DEFAULT_STATS,
+    NEUTRAL_MULTIPLIER,
     POWER_BOUNDS,
     STAT_COLUMNS,
     TILE_LEGENDARIES,
@@ -26,7 +26,7 @@ from tierloom.constants import (
 )
 from tierloom.functions.derive import bucket, category
 from tierloom.naming import Naming
-from tierloom.operators.matrix import axis_values
+from tierloom.operators.matrix import axis_values, matrix_row
 from tierloom.operators.rank import top_k
 from tierloom.operators.reshape import matrix_wide, unpivot_cols
 
@@ -184,7 +184,7 @@ def defender_breakdown(defenders: DataFrame, naming: Naming = Naming()) -> DataF
 def compare(
     legendaries: DataFrame, names: Sequence[str] | None = None, naming: Naming = Naming()
 ) -> DataFrame:
-    """Closed stat vector (first stat repeated) of up to five named entities.
+    """Closed stat vector (first stat repeated) of named entities.
 
     Without names the first three by rank are taken. A name held by several
     entities stands for the best ranked one.
@@ -193,31 +193,33 @@ def compare(
     if names is None:
         rows = legendaries.orderBy("overall_rank").limit(COMPARE_DEFAULT)
     else:
-        if len(names) > COMPARE_AT_MOST:
-            raise ValueError(f"at most {COMPARE_AT_MOST} names can be compared")
         rows = legendaries.where(F.col(naming.name).isin(list(names)))
     one_each = top_k(rows, [naming.name], [F.col("overall_rank").asc()], 1, "_match")
     return one_each.select(naming.name, F.array(first, *rest, first).alias("stats"))
 
 
-def effectiveness_rows(matrix: DataFrame, with_label: bool = True) -> DataFrame:
+def effectiveness_rows(pairs: DataFrame, with_label: bool = True) -> DataFrame:
+    """The known pairs; every other pair is neutral."""
     columns = ["attacking_type", "defending_type", "effectiveness_multiplier"]
     if with_label:
         columns.append("effectiveness_label")
-    return matrix.select(*columns).orderBy("attacking_type", "defending_type")
+    return pairs.select(*columns).orderBy("attacking_type", "defending_type")
 
 
-def effectiveness_wide(matrix: DataFrame, values: Sequence[str] | None = None) -> DataFrame:
-    return matrix_wide(matrix, "attacking_type", "defending_type", "effectiveness_multiplier", values)
+def effectiveness_wide(pairs: DataFrame, values: Sequence[str]) -> DataFrame:
+    return matrix_wide(
+        pairs, "attacking_type", "defending_type", "effectiveness_multiplier", values, NEUTRAL_MULTIPLIER
+    )
 
 
-def attacking_types(matrix: DataFrame) -> DataFrame:
-    return axis_values(matrix, "attacking_type").orderBy("attacking_type")
+def attacking_types(types: DataFrame) -> DataFrame:
+    """Types that have a relation row, from the staged relations."""
+    return axis_values(types, "type_name").select(F.col("type_name").alias("attacking_type")).orderBy("attacking_type")
 
 
-def one_attacker(matrix: DataFrame, attacking_type: str) -> DataFrame:
-    """One row of the matrix, strongest first."""
-    return matrix.where(F.col("attacking_type") == F.lit(attacking_type)).orderBy(
+def one_attacker(pairs: DataFrame, attacking_type: str, against: Sequence[str]) -> DataFrame:
+    """One type against each listed type, strongest first."""
+    return matrix_row(pairs, attacking_type, against).orderBy(
         F.col("effectiveness_multiplier").desc(), "defending_type"
     )
 

@@ -25,8 +25,6 @@ STAT_FLAGS = {
     ("R", "F"): "special-defense",
     ("R", "O"): "speed",
 }
-# Smallest quantity of a returned line that counts for a customer's types.
-BULK = 40
 # Remainder of the traded quantity -> relation of the two nations.
 TRADE_RELATIONS = {0: "double_damage_to", 1: "half_damage_to", 2: "no_damage_to", 3: "double_damage_from"}
 SYNCED = "2024-01-01 00:00:00"
@@ -97,19 +95,17 @@ class Star:
         return long.where(F.col("effort") > 0)
 
     def types(self) -> DataFrame:
-        """Part types a customer returned in bulk, the largest first."""
-        bulk = self._lines("l_partkey", "l_returnflag", "l_quantity").where(
-            (F.col("l_returnflag") == "R") & (F.col("l_quantity") >= BULK)
-        )
+        """Part types a customer bought, the largest quantity first."""
+        lines = self._lines("l_partkey", "l_quantity")
         parts = self.table("part").select("p_partkey", F.col("p_type").alias("type_name"))
-        returned = (
-            bulk.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        bought = (
+            lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
             .groupBy(self._naming.id, "type_name")
             .agg(F.sum("l_quantity").alias("_quantity"))
         )
         # After the sum a customer has at most one row per part type.
         place = Window.partitionBy(self._naming.id).orderBy(F.col("_quantity").desc(), "type_name")
-        return returned.select(self._naming.id, "type_name", F.row_number().over(place).cast("bigint").alias("slot"))
+        return bought.select(self._naming.id, "type_name", F.row_number().over(place).cast("bigint").alias("slot"))
 
     def abilities(self) -> DataFrame:
         """Order priorities a customer uses; hidden if any such order is still pending."""
@@ -181,11 +177,9 @@ class Star:
         )
 
     def relations(self) -> DataFrame:
-        """Relations between nations; those of the last region are only ever a target."""
+        """Relations between nations."""
         nations = self.table("nation")
-        sources = nations.where(F.col("n_regionkey") != 4).select(
-            F.col("n_nationkey").alias("source"), F.col("n_name").alias("name")
-        )
+        sources = nations.select(F.col("n_nationkey").alias("source"), F.col("n_name").alias("name"))
         targets = nations.select(F.col("n_nationkey").alias("target"), F.col("n_name").alias("target_type"))
         relation = F.lit(None).cast("string")
         for remainder, name in TRADE_RELATIONS.items():

@@ -173,12 +173,12 @@ def flatten_moves(spark: SparkSession, directory: str) -> DataFrame:
               CASE WHEN n_chars % 2 = 0 THEN n_chars // 2 END AS base_happiness, quality = 1 AS is_legendary,
               toxic = 1 AS is_mythical, lang AS generation,
               CASE WHEN quality = 1 THEN source END AS habitat, CASE WHEN toxic = 0 THEN lang END AS shape
-       FROM documents d JOIN labels l ON l.doc_id = d.doc_id""",
+       FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""",
 )
 def flatten_species(spark: SparkSession, directory: str) -> DataFrame:
-    """One document per labelled text; habitat and shape are missing from some."""
+    """One document per text, flags missing without a label; habitat and shape are missing from some."""
     chars = F.col("n_chars")
-    rows = read_star(spark, directory, "documents").join(read_star(spark, directory, "labels"), "doc_id")
+    rows = read_star(spark, directory, "documents").join(read_star(spark, directory, "labels"), "doc_id", "left")
     texts = rows.select(
         _document(
             [

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tierloom.constants import AS_WRITTEN_RELATIONS, DOCUMENTED_RELATIONS
 from tierloom.functions.derive import any_match, bucket, category, expected_value, row_total, tier, url_last_id
-from tierloom.operators.matrix import axis_values, relation_matrix
+from tierloom.operators.matrix import axis_values, matrix_row, relation_matrix, relation_pairs
 from tierloom.operators.project import Projection, project
 from tierloom.operators.quality import accepted, duplicate_keys, missing_parents, not_null, relationship, run_checks, unique
 from tierloom.operators.rank import rank_rows, top_k, top_ranked
@@ -23,11 +23,8 @@ _CELLS = ", ".join(f"max(value) FILTER (event_type = '{kind}') AS {kind}" for ki
 _TOTAL = " + ".join(f"ifnull({kind}, 0)" for kind in EVENT_TYPES)
 
 
-def _wide_events(spark: SparkSession, directory: str, above: float | None = None) -> DataFrame:
-    events = read_star(spark, directory, "events")
-    if above is not None:
-        events = events.where(F.col("value") > above)
-    return pivot_max(events, ["user_id"], "event_type", "value", _BY_TYPE)
+def _wide_events(spark: SparkSession, directory: str, key: str = "user_id") -> DataFrame:
+    return pivot_max(read_star(spark, directory, "events"), [key], "event_type", "value", _BY_TYPE)
 
 
 # Pivots and joins.
@@ -41,13 +38,13 @@ def pivot_event_max(spark: SparkSession, directory: str) -> DataFrame:
     return _wide_events(spark, directory).withColumn("total", row_total(EVENT_TYPES))
 
 
-_SPARSE = f"SELECT user_id, {_CELLS} FROM events WHERE value > 120 GROUP BY 1"
+_SPARSE = f"SELECT event_id, {_CELLS} FROM events GROUP BY 1"
 
 
 @query("pivot_event_max_sparse", f"SELECT *, {_TOTAL} AS total FROM ({_SPARSE})")
 def pivot_event_max_sparse(spark: SparkSession, directory: str) -> DataFrame:
-    """Only large values, so that most cells are NULL."""
-    return _wide_events(spark, directory, 120).withColumn("total", row_total(EVENT_TYPES))
+    """Per event, so that all cells but one are NULL."""
+    return _wide_events(spark, directory, "event_id").withColumn("total", row_total(EVENT_TYPES))
 
 
 @query(
@@ -120,22 +117,17 @@ def _length_order() -> list[Column]:
     return [F.col("n_chars").desc_nulls_last(), F.col("doc_id").asc_nulls_first()]
 
 
-def _ranked_documents(spark: SparkSession, directory: str, strategy: str) -> DataFrame:
+def _ranked_documents(spark: SparkSession, directory: str) -> DataFrame:
     rows = _flagged(spark, directory).where(F.col("n_chars") > 0).select(
         "doc_id", "n_chars", "toxic", "good", tier(F.col("n_chars"), _LENGTH_TIERS).alias("tier")
     )
     ranks = {"overall_rank": [], "rank_within_toxic": ["toxic"]}
-    return rank_rows(rows, _length_order(), ranks, strategy, read_star(spark, directory, "documents"))
+    return rank_rows(rows, _length_order(), ranks)
 
 
 @query("tier_rank_global", _RANKED_DOCUMENTS)
 def tier_rank_global(spark: SparkSession, directory: str) -> DataFrame:
-    return _ranked_documents(spark, directory, "auto")
-
-
-@query("tier_rank_global_distributed", _RANKED_DOCUMENTS)
-def tier_rank_global_distributed(spark: SparkSession, directory: str) -> DataFrame:
-    return _ranked_documents(spark, directory, "distributed")
+    return _ranked_documents(spark, directory)
 
 
 _RANKED_LINES = """
@@ -157,7 +149,7 @@ def line_rank_distributed(spark: SparkSession, directory: str) -> DataFrame:
     lines = read_star(spark, directory, "lineitem")
     order = [F.col(column).desc_nulls_last() for column in _LINE_ORDER]
     ranks = {"overall_rank": [], "rank_within_flag": ["l_returnflag"]}
-    ranked = rank_rows(lines, order, ranks, "distributed")
+    ranked = rank_rows(lines, order, ranks)
     return ranked.select(
         *[c for c in lines.columns if c != "l_shipdate"], shipped, "overall_rank", "rank_within_flag"
     )
@@ -188,7 +180,7 @@ def combined_rank(spark: SparkSession, directory: str) -> DataFrame:
         .withColumn("tier", tier(F.col("combined"), ((95, "S"), (80, "A"), (65, "B"))))
     )
     order = [F.col("combined").desc_nulls_last(), F.col("p_partkey").asc_nulls_first()]
-    return rank_rows(rows, order, {"overall_rank": [], "rank_within_type": ["p_type"]}, bound=parts)
+    return rank_rows(rows, order, {"overall_rank": [], "rank_within_type": ["p_type"]})
 
 
 _TOP_LINE_ORDER = (
@@ -226,7 +218,8 @@ _BY_EXPRESSION = """
     FROM orders WHERE o_orderstatus = 'P' OR o_orderstatus = 'O'"""
 
 
-def _rank_by_expression(spark: SparkSession, directory: str, strategy: str) -> DataFrame:
+@query("rank_by_expr", _BY_EXPRESSION)
+def rank_by_expr(spark: SparkSession, directory: str) -> DataFrame:
     pending = F.col("o_orderstatus") == "P"
     orders = read_star(spark, directory, "orders")
     rows = orders.where(pending | (F.col("o_orderstatus") == "O")).select(
@@ -234,17 +227,7 @@ def _rank_by_expression(spark: SparkSession, directory: str, strategy: str) -> D
     )
     order = [F.col("o_totalprice").desc_nulls_last(), F.col("o_orderkey").asc_nulls_first()]
     ranks = {"overall_rank": [], "rank_within_tier": [F.when(pending, "Pending").otherwise("Open")]}
-    return rank_rows(rows, order, ranks, strategy, orders)
-
-
-@query("rank_by_expr", _BY_EXPRESSION)
-def rank_by_expr(spark: SparkSession, directory: str) -> DataFrame:
-    return _rank_by_expression(spark, directory, "auto")
-
-
-@query("rank_by_expr_distributed", _BY_EXPRESSION)
-def rank_by_expr_distributed(spark: SparkSession, directory: str) -> DataFrame:
-    return _rank_by_expression(spark, directory, "distributed")
+    return rank_rows(rows, order, ranks)
 
 
 @query(
@@ -263,7 +246,7 @@ def rank_cutoff(spark: SparkSession, directory: str) -> DataFrame:
     f"SELECT * FROM ({_RANKED_DOCUMENTS}) WHERE NOT toxic AND good ORDER BY overall_rank LIMIT 25",
 )
 def topn_optional_filter(spark: SparkSession, directory: str) -> DataFrame:
-    ranked = _ranked_documents(spark, directory, "auto")
+    ranked = _ranked_documents(spark, directory)
     return ranked.where(~F.col("toxic") & F.col("good")).orderBy("overall_rank").limit(25)
 
 
@@ -293,7 +276,7 @@ _REGION_RELATIONS = f"""
                              WHEN 2 THEN 'no_damage_to' END AS relation
     FROM ({_REGION_PAIRS})"""
 _REGION_MATRIX = f"""
-    WITH rel AS ({_REGION_RELATIONS}), axis AS (SELECT DISTINCT source FROM rel WHERE relation IS NOT NULL)
+    WITH rel AS ({_REGION_RELATIONS}), axis AS (SELECT r_name AS source FROM region)
     SELECT a.source AS attacking_type, d.source AS defending_type,
            {{multiplier}} AS effectiveness_multiplier, {{label}} AS effectiveness_label
     FROM axis a, axis d LEFT JOIN rel ON rel.source = a.source AND rel.target = d.source"""
@@ -331,43 +314,54 @@ def _region_relations(spark: SparkSession, directory: str) -> DataFrame:
     return traded.select("attacker", "defender", relation.alias("relation")).where(F.col("relation").isNotNull())
 
 
-def _region_matrix(spark: SparkSession, directory: str, mapping=DOCUMENTED_RELATIONS) -> DataFrame:
-    return relation_matrix(_region_relations(spark, directory), "attacker", "defender", "relation", mapping)
+_REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+
+
+def _region_pairs(spark: SparkSession, directory: str, mapping=DOCUMENTED_RELATIONS) -> DataFrame:
+    return relation_pairs(_region_relations(spark, directory), "attacker", "defender", "relation", mapping)
+
+
+@query("relation_pairs", f"SELECT * FROM ({_AS_DOCUMENTED}) WHERE effectiveness_label <> 'Normal'")
+def pairs_documented(spark: SparkSession, directory: str) -> DataFrame:
+    return _region_pairs(spark, directory)
+
+
+@query("relation_pairs_as_written", f"SELECT * FROM ({_AS_WRITTEN}) WHERE effectiveness_label <> 'Normal'")
+def pairs_as_written(spark: SparkSession, directory: str) -> DataFrame:
+    return _region_pairs(spark, directory, AS_WRITTEN_RELATIONS)
 
 
 @query("relation_matrix", _AS_DOCUMENTED)
 def matrix_documented(spark: SparkSession, directory: str) -> DataFrame:
-    return _region_matrix(spark, directory)
+    return relation_matrix(_region_pairs(spark, directory), _REGIONS)
 
 
 @query("relation_matrix_as_written", _AS_WRITTEN)
 def matrix_as_written(spark: SparkSession, directory: str) -> DataFrame:
-    return _region_matrix(spark, directory, AS_WRITTEN_RELATIONS)
-
-
-_REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+    return relation_matrix(_region_pairs(spark, directory, AS_WRITTEN_RELATIONS), _REGIONS)
 
 
 @query(
     "matrix_wide",
     "SELECT attacking_type, "
-    + ", ".join(f"max(effectiveness_multiplier) FILTER (defending_type = '{r}') AS \"{r}\"" for r in _REGIONS)
-    + f" FROM ({_AS_DOCUMENTED}) GROUP BY 1",
+    + ", ".join(f"coalesce(max(effectiveness_multiplier) FILTER (defending_type = '{r}'), 1.0::DOUBLE) AS \"{r}\"" for r in _REGIONS)
+    + f" FROM ({_AS_DOCUMENTED}) WHERE effectiveness_label <> 'Normal' GROUP BY 1",
 )
 def wide_matrix(spark: SparkSession, directory: str) -> DataFrame:
-    matrix = _region_matrix(spark, directory)
-    return matrix_wide(matrix, "attacking_type", "defending_type", "effectiveness_multiplier", _REGIONS)
+    pairs = _region_pairs(spark, directory)
+    return matrix_wide(pairs, "attacking_type", "defending_type", "effectiveness_multiplier", _REGIONS, 1.0)
 
 
-@query("axis_distinct", f"SELECT DISTINCT attacking_type FROM ({_AS_DOCUMENTED})")
+@query("axis_distinct", f"SELECT DISTINCT source AS attacking_type FROM ({_REGION_RELATIONS}) WHERE relation IS NOT NULL")
 def axis_distinct(spark: SparkSession, directory: str) -> DataFrame:
-    return axis_values(_region_matrix(spark, directory), "attacking_type").orderBy("attacking_type")
+    axis = axis_values(_region_relations(spark, directory), "attacker")
+    return axis.select(F.col("attacker").alias("attacking_type")).orderBy("attacking_type")
 
 
 @query("matrix_row", f"SELECT * FROM ({_AS_DOCUMENTED}) WHERE attacking_type = 'ASIA'")
-def matrix_row(spark: SparkSession, directory: str) -> DataFrame:
-    matrix = _region_matrix(spark, directory).where(F.col("attacking_type") == "ASIA")
-    return matrix.orderBy(F.col("effectiveness_multiplier").desc(), "defending_type")
+def region_row(spark: SparkSession, directory: str) -> DataFrame:
+    row = matrix_row(_region_pairs(spark, directory), "ASIA", _REGIONS)
+    return row.orderBy(F.col("effectiveness_multiplier").desc(), "defending_type")
 
 
 # Counts and shapes.
@@ -427,20 +421,20 @@ def unpivot_avg(spark: SparkSession, directory: str) -> DataFrame:
 
 
 _LONG_EVENTS = " UNION ALL ".join(
-    f"SELECT user_id, '{kind}' AS event_type, {kind} AS value FROM ({_SPARSE})" for kind in EVENT_TYPES
+    f"SELECT event_id, '{kind}' AS event_type, {kind} AS value FROM ({_SPARSE})" for kind in EVENT_TYPES
 )
 
 
 @query("unpivot_keep_nulls", _LONG_EVENTS)
 def unpivot_keep_nulls(spark: SparkSession, directory: str) -> DataFrame:
-    wide = _wide_events(spark, directory, 120)
-    return unpivot_cols(wide, ["user_id"], _BY_TYPE, "event_type", "value", keep_nulls=True)
+    wide = _wide_events(spark, directory, "event_id")
+    return unpivot_cols(wide, ["event_id"], _BY_TYPE, "event_type", "value", keep_nulls=True)
 
 
 @query("unpivot_drop_nulls", f"SELECT * FROM ({_LONG_EVENTS}) WHERE value IS NOT NULL AND event_type IN ('click', 'view')")
 def unpivot_drop_nulls(spark: SparkSession, directory: str) -> DataFrame:
-    wide = _wide_events(spark, directory, 120)
-    long = unpivot_cols(wide, ["user_id"], _BY_TYPE, "event_type", "value")
+    wide = _wide_events(spark, directory, "event_id")
+    long = unpivot_cols(wide, ["event_id"], _BY_TYPE, "event_type", "value")
     return long.where(F.col("event_type").isin("click", "view"))
 
 

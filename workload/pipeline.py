@@ -8,10 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierloom.constants import (
+    APP_LEGENDARIES,
     APP_POWER_LABELS,
+    APP_TOP,
     AS_WRITTEN_RELATIONS,
+    COMPARE_DEFAULT,
     DOCUMENTED_RELATIONS,
+    TILE_LEGENDARIES,
     TILE_POWER_LABELS,
+    TILE_TOP,
 )
 from tierloom.functions.derive import lower_columns
 from tierloom.naming import Naming
@@ -46,11 +51,6 @@ class Pipeline:
         """All raw tables, each computed once and stored, as an ingest leaves them."""
         return {name: materialize(df) for name, df in self.star.raw().items()}
 
-    @property
-    def bound(self) -> DataFrame:
-        """One row per customer, which no ranked mart exceeds; counted from the file footers."""
-        return self.star.table("customer")
-
     def dim(self) -> DataFrame:
         return marts.dim_entity(self.staged(NAMING.raw(), NAMING.raw("types"), "species"))
 
@@ -60,21 +60,39 @@ class Pipeline:
     def fact(self) -> DataFrame:
         return marts.fct_stats(self.staged(NAMING.raw(), NAMING.raw("stats")))
 
-    def attackers(self, strategy: str = "auto") -> DataFrame:
-        return marts.top_attackers(self.fact(), self.dim(), strategy=strategy, bound=self.bound)
+    def attackers(self) -> DataFrame:
+        return marts.top_attackers(self.fact(), self.dim())
+
+    def attacker_rows(self) -> DataFrame:
+        return marts.attacker_rows(self.fact(), self.dim())
+
+    def first_attackers(self, k: int) -> DataFrame:
+        return marts.first_attackers(self.fact(), self.dim(), k)
+
+    def defenders(self) -> DataFrame:
+        return marts.top_defenders(self.fact(), self.dim())
+
+    def defender_rows(self) -> DataFrame:
+        return marts.defender_rows(self.fact(), self.dim())
+
+    def first_defenders(self, k: int) -> DataFrame:
+        return marts.first_defenders(self.fact(), self.dim(), k)
+
+    def legendaries(self) -> DataFrame:
+        return marts.legendary_rankings(self.fact(), self.dim())
 
-    def defenders(self, strategy: str = "auto") -> DataFrame:
-        return marts.top_defenders(self.fact(), self.dim(), strategy=strategy, bound=self.bound)
+    def legendary_rows(self) -> DataFrame:
+        return marts.legendary_rows(self.fact(), self.dim())
 
-    def legendaries(self, strategy: str = "auto") -> DataFrame:
-        return marts.legendary_rankings(self.fact(), self.dim(), strategy=strategy, bound=self.bound)
+    def first_legendaries(self, k: int) -> DataFrame:
+        return marts.first_legendaries(self.fact(), self.dim(), k)
 
     def movesets(self) -> DataFrame:
         return marts.best_movesets(
             self.staged(NAMING.raw("moves"))["stg_entity_moves"], self.moves(), self.dim()
         )
 
-    def matrix(self, mapping=DOCUMENTED_RELATIONS) -> DataFrame:
+    def pairs(self, mapping=DOCUMENTED_RELATIONS) -> DataFrame:
         return marts.type_effectiveness(self.staged("types")["stg_types"], mapping)
 
 
@@ -115,21 +133,11 @@ def mart_top_attackers(spark: SparkSession, directory: str) -> DataFrame:
     return Pipeline(spark, directory).attackers()
 
 
-@query("mart_top_attackers_distributed", star_sql("SELECT * FROM attackers"))
-def mart_top_attackers_distributed(spark: SparkSession, directory: str) -> DataFrame:
-    return Pipeline(spark, directory).attackers("distributed")
-
-
 @query("mart_top_defenders", star_sql("SELECT * FROM defenders"))
 def mart_top_defenders(spark: SparkSession, directory: str) -> DataFrame:
     return Pipeline(spark, directory).defenders()
 
 
-@query("mart_top_defenders_distributed", star_sql("SELECT * FROM defenders"))
-def mart_top_defenders_distributed(spark: SparkSession, directory: str) -> DataFrame:
-    return Pipeline(spark, directory).defenders("distributed")
-
-
 @query("mart_best_movesets", star_sql("SELECT * FROM movesets"))
 def mart_best_movesets(spark: SparkSession, directory: str) -> DataFrame:
     return Pipeline(spark, directory).movesets()
@@ -140,19 +148,14 @@ def mart_legendary_rankings(spark: SparkSession, directory: str) -> DataFrame:
     return Pipeline(spark, directory).legendaries()
 
 
-@query("mart_legendary_rankings_distributed", star_sql("SELECT * FROM legendaries"))
-def mart_legendary_rankings_distributed(spark: SparkSession, directory: str) -> DataFrame:
-    return Pipeline(spark, directory).legendaries("distributed")
-
-
-@query("mart_type_effectiveness", star_sql("SELECT * FROM matrix"))
+@query("mart_type_effectiveness", star_sql("SELECT * FROM pairs"))
 def mart_type_effectiveness(spark: SparkSession, directory: str) -> DataFrame:
-    return Pipeline(spark, directory).matrix()
+    return Pipeline(spark, directory).pairs()
 
 
-@query("mart_type_effectiveness_as_written", star_sql("SELECT * FROM matrix_as_written"))
+@query("mart_type_effectiveness_as_written", star_sql("SELECT * FROM pairs_as_written"))
 def mart_type_effectiveness_as_written(spark: SparkSession, directory: str) -> DataFrame:
-    return Pipeline(spark, directory).matrix(AS_WRITTEN_RELATIONS)
+    return Pipeline(spark, directory).pairs(AS_WRITTEN_RELATIONS)
 
 
 # Reports.
@@ -204,12 +207,12 @@ _DEFENDER = """overall_rank, entity_name, primary_type, secondary_type, hp, defe
 
 @query("report_tile_attackers", star_sql(f"SELECT {_ATTACKER} FROM attackers WHERE overall_rank <= 20"))
 def report_tile_attackers(spark: SparkSession, directory: str) -> DataFrame:
-    return reports.tile_attackers(Pipeline(spark, directory).attackers())
+    return reports.tile_attackers(Pipeline(spark, directory).first_attackers(TILE_TOP))
 
 
 @query("report_tile_defenders", star_sql(f"SELECT {_DEFENDER} FROM defenders WHERE overall_rank <= 20"))
 def report_tile_defenders(spark: SparkSession, directory: str) -> DataFrame:
-    return reports.tile_defenders(Pipeline(spark, directory).defenders())
+    return reports.tile_defenders(Pipeline(spark, directory).first_defenders(TILE_TOP))
 
 
 @query(
@@ -229,7 +232,7 @@ def report_count_by_primary_type(spark: SparkSession, directory: str) -> DataFra
         FROM legendaries WHERE overall_rank <= 30"""),
 )
 def report_tile_legendaries(spark: SparkSession, directory: str) -> DataFrame:
-    return reports.tile_legendaries(Pipeline(spark, directory).legendaries())
+    return reports.tile_legendaries(Pipeline(spark, directory).first_legendaries(TILE_LEGENDARIES))
 
 
 _MOVE = """entity_name, primary_type, move_rank, move_name, move_type, damage_class, power, accuracy,
@@ -246,17 +249,17 @@ def report_tile_moves(spark: SparkSession, directory: str) -> DataFrame:
     return reports.tile_moves(Pipeline(spark, directory).movesets())
 
 
-@query("report_effectiveness_rows", star_sql("SELECT * FROM matrix"))
+@query("report_effectiveness_rows", star_sql("SELECT * FROM pairs"))
 def report_effectiveness_rows(spark: SparkSession, directory: str) -> DataFrame:
-    return reports.effectiveness_rows(Pipeline(spark, directory).matrix())
+    return reports.effectiveness_rows(Pipeline(spark, directory).pairs())
 
 
 @query(
     "report_effectiveness_rows_plain",
-    star_sql("SELECT attacking_type, defending_type, effectiveness_multiplier FROM matrix"),
+    star_sql("SELECT attacking_type, defending_type, effectiveness_multiplier FROM pairs"),
 )
 def report_effectiveness_rows_plain(spark: SparkSession, directory: str) -> DataFrame:
-    return reports.effectiveness_rows(Pipeline(spark, directory).matrix(), with_label=False)
+    return reports.effectiveness_rows(Pipeline(spark, directory).pairs(), with_label=False)
 
 
 _LONG = """
@@ -354,12 +357,12 @@ def report_scatter_category(spark: SparkSession, directory: str) -> DataFrame:
 
 @query("report_count_by_tier", star_sql("SELECT tier, count(*) AS entity_count FROM attackers GROUP BY 1"))
 def report_count_by_tier(spark: SparkSession, directory: str) -> DataFrame:
-    return reports.count_by_tier(Pipeline(spark, directory).attackers())
+    return reports.count_by_tier(Pipeline(spark, directory).attacker_rows())
 
 
 @query("report_app_attackers", star_sql(f"SELECT {_ATTACKER} FROM attackers ORDER BY overall_rank LIMIT 25"))
 def report_app_attackers(spark: SparkSession, directory: str) -> DataFrame:
-    return reports.app_attackers(Pipeline(spark, directory).attackers())
+    return reports.app_attackers(Pipeline(spark, directory).first_attackers(APP_TOP))
 
 
 @query(
@@ -374,7 +377,7 @@ def report_app_attackers_common(spark: SparkSession, directory: str) -> DataFram
 
 @query("report_app_defenders", star_sql(f"SELECT {_DEFENDER} FROM defenders ORDER BY overall_rank LIMIT 25"))
 def report_app_defenders(spark: SparkSession, directory: str) -> DataFrame:
-    return reports.app_defenders(Pipeline(spark, directory).defenders())
+    return reports.app_defenders(Pipeline(spark, directory).first_defenders(APP_TOP))
 
 
 @query(
@@ -401,7 +404,7 @@ def report_app_legendaries(spark: SparkSession, directory: str) -> DataFrame:
     star_sql(f"SELECT {_LEGENDARY} FROM legendaries ORDER BY overall_rank LIMIT 40"),
 )
 def report_head_legendaries(spark: SparkSession, directory: str) -> DataFrame:
-    return reports.head_legendaries(Pipeline(spark, directory).legendaries())
+    return reports.head_legendaries(Pipeline(spark, directory).first_legendaries(APP_LEGENDARIES))
 
 
 @query(
@@ -431,7 +434,7 @@ def report_app_moves_filtered(spark: SparkSession, directory: str) -> DataFrame:
         UNION ALL SELECT entity_name, 'sp_defense', sp_defense FROM defenders WHERE overall_rank <= 25"""),
 )
 def report_defender_breakdown(spark: SparkSession, directory: str) -> DataFrame:
-    return reports.defender_breakdown(reports.app_defenders(Pipeline(spark, directory).defenders()))
+    return reports.defender_breakdown(reports.app_defenders(Pipeline(spark, directory).first_defenders(APP_TOP)))
 
 
 @query(
@@ -439,12 +442,12 @@ def report_defender_breakdown(spark: SparkSession, directory: str) -> DataFrame:
     star_sql("SELECT generation, count(*) AS count FROM legendaries WHERE generation IS NOT NULL GROUP BY 1"),
 )
 def report_count_by_generation(spark: SparkSession, directory: str) -> DataFrame:
-    return reports.count_by_generation(Pipeline(spark, directory).legendaries())
+    return reports.count_by_generation(Pipeline(spark, directory).legendary_rows())
 
 
 @query("report_count_by_rarity", star_sql("SELECT rarity_tier, count(*) AS count FROM legendaries GROUP BY 1"))
 def report_count_by_rarity(spark: SparkSession, directory: str) -> DataFrame:
-    return reports.count_by_rarity(Pipeline(spark, directory).legendaries())
+    return reports.count_by_rarity(Pipeline(spark, directory).legendary_rows())
 
 
 def _vectors(df: DataFrame) -> DataFrame:
@@ -464,7 +467,7 @@ _VECTOR = """
     star_sql(f"SELECT entity_name, {_VECTOR} FROM legendaries WHERE overall_rank <= 3"),
 )
 def report_compare_default(spark: SparkSession, directory: str) -> DataFrame:
-    return _vectors(reports.compare(Pipeline(spark, directory).legendaries()))
+    return _vectors(reports.compare(Pipeline(spark, directory).first_legendaries(COMPARE_DEFAULT)))
 
 
 _COMPARED = [f"Customer#{number:09d}" for number in (1, 2, 3, 5, 8)]
@@ -485,22 +488,28 @@ _NATIONS = [f"NATION_{number}" for number in range(25)]
     "report_effectiveness_wide",
     star_sql(
         "SELECT attacking_type, "
-        + ", ".join(f"max(effectiveness_multiplier) FILTER (defending_type = '{n}') AS {n}" for n in _NATIONS)
-        + " FROM matrix GROUP BY 1"
+        + ", ".join(
+            f"coalesce(max(effectiveness_multiplier) FILTER (defending_type = '{n}'), 1.0::DOUBLE) AS {n}" for n in _NATIONS
+        )
+        + " FROM pairs GROUP BY 1"
     ),
 )
 def report_effectiveness_wide(spark: SparkSession, directory: str) -> DataFrame:
-    return reports.effectiveness_wide(Pipeline(spark, directory).matrix(), _NATIONS)
+    return reports.effectiveness_wide(Pipeline(spark, directory).pairs(), _NATIONS)
 
 
 @query("report_attacking_types", star_sql("SELECT type_name AS attacking_type FROM axis"))
 def report_attacking_types(spark: SparkSession, directory: str) -> DataFrame:
-    return reports.attacking_types(Pipeline(spark, directory).matrix())
+    return reports.attacking_types(Pipeline(spark, directory).staged("types")["stg_types"])
 
 
-@query("report_one_attacker", star_sql("SELECT * FROM matrix WHERE attacking_type = 'NATION_7'"))
+@query("report_one_attacker", star_sql("""
+    SELECT 'NATION_7' AS attacking_type, n_name AS defending_type,
+           coalesce(effectiveness_multiplier, 1.0::DOUBLE) AS effectiveness_multiplier,
+           coalesce(effectiveness_label, 'Normal') AS effectiveness_label
+    FROM nation LEFT JOIN pairs ON attacking_type = 'NATION_7' AND defending_type = n_name"""))
 def report_one_attacker(spark: SparkSession, directory: str) -> DataFrame:
-    return reports.one_attacker(Pipeline(spark, directory).matrix(), "NATION_7")
+    return reports.one_attacker(Pipeline(spark, directory).pairs(), "NATION_7", _NATIONS)
 
 
 @query("report_lower_columns", star_sql("SELECT move_id, upper(move_type) AS move_type FROM dim_moves"))
@@ -513,7 +522,7 @@ def report_lower_columns(spark: SparkSession, directory: str) -> DataFrame:
 
 _SQL_TABLES = {"fct_entity_stats": "fct", "mart_top_attackers": "attackers", "mart_top_defenders": "defenders",
                "mart_best_movesets": "movesets", "mart_legendary_rankings": "legendaries",
-               "mart_type_effectiveness": "matrix"}
+               "mart_type_effectiveness": "pairs"}
 _MISSING = {("stg_entity_moves", "learn_method")}
 
 

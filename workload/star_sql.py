@@ -21,14 +21,14 @@ _CTES = {
                     WHEN 'RO' THEN 'speed' END AS stat_name,
                CAST(sum(l_quantity) AS BIGINT) AS base_stat_value, count(*) AS effort_value
         FROM bought GROUP BY 1, 2""",
-    "returned": """
+    "kinds": """
         SELECT entity_id, p_type AS type_name, sum(l_quantity) AS quantity
         FROM bought JOIN part ON p_partkey = l_partkey
-        WHERE l_returnflag = 'R' AND l_quantity >= 40 GROUP BY 1, 2""",
+        GROUP BY 1, 2""",
     "stg_entity_types": """
         SELECT entity_id, type_name,
                row_number() OVER (PARTITION BY entity_id ORDER BY quantity DESC, type_name) AS type_slot
-        FROM returned""",
+        FROM kinds""",
     "stg_entity_abilities": """
         SELECT o_custkey AS entity_id, o_orderpriority AS ability_name,
                bool_or(o_orderstatus = 'P') AS is_hidden_ability,
@@ -65,7 +65,7 @@ _CTES = {
                                  WHEN 2 THEN 'no_damage_to' ELSE 'double_damage_from' END AS damage_relation,
                d.n_name AS target_type
         FROM trade JOIN nation a ON a.n_nationkey = source JOIN nation d ON d.n_nationkey = target
-        WHERE quantity % 5 <> 4 AND a.n_regionkey <> 4""",
+        WHERE quantity % 5 <> 4""",
     "slots": """
         SELECT entity_id, max(type_name) FILTER (type_slot = 1) AS primary_type,
                max(type_name) FILTER (type_slot = 2) AS secondary_type
@@ -132,23 +132,18 @@ _CTES = {
                row_number() OVER (PARTITION BY is_mythical ORDER BY total_base_stats DESC, entity_id) AS rank_within_tier
         FROM fct f JOIN dim_entity USING (entity_id) WHERE is_legendary OR is_mythical""",
     "axis": "SELECT DISTINCT type_name FROM stg_types",
-    "matrix": """
-        SELECT a.type_name AS attacking_type, d.type_name AS defending_type,
+    "pairs": """
+        SELECT type_name AS attacking_type, target_type AS defending_type,
                CASE min(damage_relation) WHEN 'double_damage_to' THEN 2.0::DOUBLE WHEN 'half_damage_to' THEN 0.5::DOUBLE
-                    WHEN 'no_damage_to' THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS effectiveness_multiplier,
+                    ELSE 0.0::DOUBLE END AS effectiveness_multiplier,
                CASE min(damage_relation) WHEN 'double_damage_to' THEN 'Super Effective'
-                    WHEN 'half_damage_to' THEN 'Not Very Effective'
-                    WHEN 'no_damage_to' THEN 'No Effect' ELSE 'Normal' END AS effectiveness_label
-        FROM axis a, axis d
-             LEFT JOIN stg_types t ON t.type_name = a.type_name AND t.target_type = d.type_name
-        GROUP BY 1, 2""",
-    "matrix_as_written": """
+                    WHEN 'half_damage_to' THEN 'Not Very Effective' ELSE 'No Effect' END AS effectiveness_label
+        FROM stg_types WHERE damage_relation LIKE '%_to' GROUP BY 1, 2""",
+    "pairs_as_written": """
         SELECT attacking_type, defending_type,
-               CASE effectiveness_label WHEN 'Super Effective' THEN 2.0::DOUBLE WHEN 'No Effect' THEN 0.5::DOUBLE
-                    ELSE 1.0::DOUBLE END AS effectiveness_multiplier,
-               CASE effectiveness_label WHEN 'Not Very Effective' THEN 'Normal' ELSE effectiveness_label END
-                   AS effectiveness_label
-        FROM matrix""",
+               CASE effectiveness_label WHEN 'Super Effective' THEN 2.0::DOUBLE ELSE 0.5::DOUBLE END
+                   AS effectiveness_multiplier, effectiveness_label
+        FROM pairs WHERE effectiveness_label <> 'Not Very Effective'""",
 }
 
 
