@@ -11,6 +11,7 @@ from tierloom.schemas import raw_tables
 from tierloom.sources.keyed_table import KeyedTable
 
 _CURSOR = "source string, last_id bigint"
+_COUNTS = "pass bigint, table string, rows bigint"
 
 
 class RawStore:
@@ -22,6 +23,8 @@ class RawStore:
             name: KeyedTable(spark, f"{self.path}/raw/{name}", table.schema, table.key)
             for name, table in raw_tables(naming).items()
         }
+        counts = T.StructType.fromDDL(_COUNTS)
+        self._counts = KeyedTable(spark, f"{self.path}/counts", counts, ["pass", "table"])
         self._cursors = KeyedTable(spark, f"{self.path}/cursors", T.StructType.fromDDL(_CURSOR), ["source"])
 
     def table(self, name: str) -> KeyedTable:
@@ -31,12 +34,26 @@ class RawStore:
         """Current rows of all raw tables by name."""
         return {name: table.read() for name, table in self._tables.items()}
 
-    def cursor(self, source: str) -> int:
-        """Largest id taken in from a source so far, 0 for none."""
+    def cursor(self, source: str, default: int | None = 0) -> int | None:
+        """Largest id taken in from a source so far, ``default`` for none."""
         row = self._cursors.read().where(F.col("source") == source).first()
-        return row["last_id"] if row else 0
+        return row["last_id"] if row else default
 
     def advance(self, source: str, last_id: int) -> None:
         """Each source has a cursor of its own; moving one leaves the others."""
         row = self.spark.createDataFrame([(source, last_id)], _CURSOR)
         self._cursors.upsert(row, [F.col("last_id").desc()])
+
+    def cursors(self) -> DataFrame:
+        """(source, last_id) of every source that has a cursor."""
+        return self._cursors.read()
+
+    def counts(self) -> DataFrame:
+        """(pass, table, rows): the keys that each pass delivered to each table; passes count from 1."""
+        return self._counts.read()
+
+    def record(self, counts: dict[str, int]) -> None:
+        """Keep the counts of a finished pass."""
+        number = self._counts.version() + 2
+        rows = self.spark.createDataFrame([(number, name, count) for name, count in counts.items()], _COUNTS)
+        self._counts.upsert(rows, [F.col("rows").desc()])

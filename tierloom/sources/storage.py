@@ -27,11 +27,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-    shared = _file_system(spark, warehouse)[0].getUri().getScheme() != "file"
-    if not shared and not spark.sparkContext.master.startswith("local["):
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+    one_machine = spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")
+    if not warehouse or not one_machine and _file_system(spark, warehouse)[0].getUri().getScheme() == "file":
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    return warehouse
+    return warehouse.rstrip("/")
 
 
 def run_folder(spark: SparkSession) -> str:

@@ -77,8 +77,9 @@ def sync(store: RawStore, landing: str) -> dict[str, int]:
     counts: dict[str, int] = {}
     for source in sources(store.naming):
         docs = documents.read_documents(store.spark, f"{landing}/{source.folder}", source.schema)
-        if source.by_cursor:
-            docs = docs.where(F.col("id") > store.cursor(source.folder))
+        last = store.cursor(source.folder, None) if source.by_cursor else None
+        if last is not None:
+            docs = docs.where(F.col("id") > last)
         # Parsed once for all tables; lost pieces are parsed again from the files.
         docs = docs.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -91,6 +92,7 @@ def sync(store: RawStore, landing: str) -> dict[str, int]:
                 store.advance(source.folder, found["newest"])
         finally:
             docs.unpersist()
+    store.record(counts)
     return counts
 
 

@@ -19,7 +19,7 @@ def _document(fields: list[Column]) -> Column:
     return F.to_json(F.struct(*fields)).alias("document")
 
 
-def _entities(spark: SparkSession, directory: str) -> DataFrame:
+def entity_documents(spark: SparkSession, directory: str) -> DataFrame:
     """One document per part: its words as moves, its brand as species, its numbers as stats.
 
     Lists are built within the row, so no document gathers rows of another.
@@ -70,7 +70,7 @@ def _entities(spark: SparkSession, directory: str) -> DataFrame:
        FROM part""",
 )
 def flatten_entity(spark: SparkSession, directory: str) -> DataFrame:
-    return documents.flatten_entity(_entities(spark, directory))
+    return documents.flatten_entity(entity_documents(spark, directory))
 
 
 @query(
@@ -81,7 +81,7 @@ def flatten_entity(spark: SparkSession, directory: str) -> DataFrame:
        FROM part WHERE p_size % 4 <> 0""",
 )
 def flatten_stats(spark: SparkSession, directory: str) -> DataFrame:
-    return documents.flatten_stats(_entities(spark, directory))
+    return documents.flatten_stats(entity_documents(spark, directory))
 
 
 @query(
@@ -90,7 +90,7 @@ def flatten_stats(spark: SparkSession, directory: str) -> DataFrame:
        UNION ALL SELECT p_partkey, lower(p_type), 2 FROM part""",
 )
 def flatten_types(spark: SparkSession, directory: str) -> DataFrame:
-    return documents.flatten_types(_entities(spark, directory))
+    return documents.flatten_types(entity_documents(spark, directory))
 
 
 @query(
@@ -99,7 +99,7 @@ def flatten_types(spark: SparkSession, directory: str) -> DataFrame:
        UNION ALL SELECT p_partkey, p_type, p_size < 9, 3 FROM part""",
 )
 def flatten_abilities(spark: SparkSession, directory: str) -> DataFrame:
-    return documents.flatten_abilities(_entities(spark, directory))
+    return documents.flatten_abilities(entity_documents(spark, directory))
 
 
 @query(
@@ -107,7 +107,7 @@ def flatten_abilities(spark: SparkSession, directory: str) -> DataFrame:
     "SELECT p_partkey AS entity_id, unnest(string_split(p_name, ' ')) AS move_name FROM part",
 )
 def flatten_entity_moves(spark: SparkSession, directory: str) -> DataFrame:
-    return documents.flatten_entity_moves(_entities(spark, directory))
+    return documents.flatten_entity_moves(entity_documents(spark, directory))
 
 
 @query(
@@ -148,6 +148,10 @@ def map_explode(spark: SparkSession, directory: str) -> DataFrame:
        FROM events""",
 )
 def flatten_moves(spark: SparkSession, directory: str) -> DataFrame:
+    return documents.flatten_moves(move_documents(spark, directory))
+
+
+def move_documents(spark: SparkSession, directory: str) -> DataFrame:
     """One document per event; the last optional number is left out of every document."""
     third = F.col("event_id") % 3
     power = F.from_json("props", "k bigint", {"mode": "FAILFAST"})["k"]
@@ -164,7 +168,7 @@ def flatten_moves(spark: SparkSession, directory: str) -> DataFrame:
             ]
         )
     )
-    return documents.flatten_moves(documents.parse_documents(texts, "document", MOVE_DOCUMENT))
+    return documents.parse_documents(texts, "document", MOVE_DOCUMENT)
 
 
 @query(
@@ -176,6 +180,10 @@ def flatten_moves(spark: SparkSession, directory: str) -> DataFrame:
        FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""",
 )
 def flatten_species(spark: SparkSession, directory: str) -> DataFrame:
+    return documents.flatten_species(species_documents(spark, directory))
+
+
+def species_documents(spark: SparkSession, directory: str) -> DataFrame:
     """One document per text, flags missing without a label; habitat and shape are missing from some."""
     chars = F.col("n_chars")
     rows = read_star(spark, directory, "documents").join(read_star(spark, directory, "labels"), "doc_id", "left")
@@ -194,7 +202,7 @@ def flatten_species(spark: SparkSession, directory: str) -> DataFrame:
             ]
         )
     )
-    return documents.flatten_species(documents.parse_documents(texts, "document", SPECIES_DOCUMENT))
+    return documents.parse_documents(texts, "document", SPECIES_DOCUMENT)
 
 
 @query(
@@ -205,6 +213,10 @@ def flatten_species(spark: SparkSession, directory: str) -> DataFrame:
        UNION ALL SELECT o_orderkey, o_orderpriority, 'half_damage_from', 'c' || o_custkey % 10 FROM orders""",
 )
 def flatten_relations(spark: SparkSession, directory: str) -> DataFrame:
+    return documents.flatten_relations(relation_documents(spark, directory))
+
+
+def relation_documents(spark: SparkSession, directory: str) -> DataFrame:
     """One document per order: a map of three relations, one of them without targets."""
 
     def target(name: Column) -> Column:
@@ -226,4 +238,4 @@ def flatten_relations(spark: SparkSession, directory: str) -> DataFrame:
             ]
         )
     )
-    return documents.flatten_relations(documents.parse_documents(texts, "document", TYPE_DOCUMENT))
+    return documents.parse_documents(texts, "document", TYPE_DOCUMENT)
