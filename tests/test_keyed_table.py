@@ -99,3 +99,13 @@ def test_latest_rows_keeps_one_per_key(spark):
     df = spark.range(1000).selectExpr("id % 7 AS k", "id AS at")
     got = latest_rows(df, ["k"], [F.col("at").desc()])
     assert sorted(row["at"] for row in got.collect()) == list(range(993, 1000))
+
+
+def test_files_stay_few(spark, table, tmp_path):
+    """However many batches there were, only those since the base before last are left; old tokens still count."""
+    for number in range(9):
+        put(spark, table, [(1, "a", number), (number, "b", number)], token=f"s/{number}")
+    assert len(list((tmp_path / "t" / "batches").iterdir())) <= 4
+    assert len(list((tmp_path / "t" / "commits").iterdir())) <= 6
+    assert put(spark, table, [(1, "a", 100)], token="s/3") == 0
+    assert content(table) == sorted([(1, "a", 8), *((n, "b", n) for n in range(9))], key=str)

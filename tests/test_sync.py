@@ -110,3 +110,32 @@ def test_command(spark, store, land, tmp_path):
     assert folder.read("device_marts", "mart_top_attackers").columns[0] == "device_id"
     assert folder.read("device_marts", "mart_top_attackers").count() == 9
     assert folder.read("main", "checks").where("status = 'error'").count() == 1
+
+
+def test_exit_code_ignores_failures_by_design(spark, store, land, tmp_path, monkeypatch):
+    from tierloom import __main__ as command
+    from tierloom.plans.checks import expected_failures
+
+    landing = land_all(land)
+    by_design = expected_failures()
+    rows = [(*key, 1, "fail") for key in sorted(by_design)] + [("stg_moves", "move_id", "unique", 0, "pass")]
+    results = spark.createDataFrame(rows, "table string, column string, check string, failures bigint, status string")
+    monkeypatch.setattr(command, "run", lambda *_: ({}, results))
+    monkeypatch.setattr(command, "release", lambda *_: None)
+    assert main([landing, store.path, str(tmp_path / "tables")]) == 0
+    worse = results.union(spark.createDataFrame([("stg_moves", "move_id", "not_null", 3, "fail")], results.schema))
+    monkeypatch.setattr(command, "run", lambda *_: ({}, worse))
+    assert main([landing, store.path, str(tmp_path / "tables")]) == 1
+
+
+def test_failed_rebuild_leaves_the_table(spark, tmp_path):
+    folder = TableFolder(spark, str(tmp_path / "tables"))
+    for number in range(3):
+        kept = folder.rebuild("main", "t", spark.range(number + 1))
+    old = folder.read("main", "t")
+    with pytest.raises(Exception, match="boom"):
+        folder.rebuild("main", "t", spark.range(9).select(F.raise_error(F.lit("boom")).cast("long").alias("id")))
+    assert folder.read("main", "t").count() == old.count() == kept.count() == 3
+    assert folder.rebuild("main", "t", spark.range(7)).count() == 7 and old.count() == 3
+    versions = sorted(p.name for p in (tmp_path / "tables" / "main" / "t").iterdir())
+    assert versions[0] == "v2" and len(versions) == 2

@@ -4,7 +4,9 @@ The first batch becomes the table's base. A later upsert writes only its own
 batch, one row per key, and then one small commit file; the stored table is not
 rewritten. Readers put the committed batches over the last full base. ``compact`` writes a new base, which happens
 by itself every few batches, so its cost is spread over them; bases take turns
-in two folders, so a reader keeps its base until the one after next. A batch whose
+in two folders, so a reader keeps its base until the one after next. What lies
+before the base before last serves no reader any more and is removed, so the
+files of a table stay few however many batches it has had. A batch whose
 writer died has no commit file: readers never see it, and the next batch
 replaces what it left behind.
 """
@@ -22,8 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierloom.operators.rank import top_k
+from tierloom.sources.storage import file_system
 
-_COMMIT = "kind string, version bigint, token string"
+# One row per commit of a batch or a base, with the base's number, and one row per source of tokens it knows.
+_COMMIT = "kind string, version bigint, number bigint, source string, last bigint"
 
 
 def latest_rows(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -42,19 +46,29 @@ def merge_latest(base: DataFrame, changes: DataFrame, key: Sequence[str]) -> Dat
     return base.join(keys, same, "left_anti").unionByName(changes)
 
 
+def _token(token: str) -> tuple[str, int]:
+    """Source and number of a token, ``source/number``; the numbers of a source rise."""
+    source, _, number = token.rpartition("/")
+    return source, int(number)
+
+
 @dataclass(frozen=True)
 class _State:
-    """Version of the last base, number of bases so far, batches after the last one, token used before."""
+    """Version of the last base, number of bases so far, batches after the last one, last token of each source."""
 
     base: int = -1
     bases: int = 0
     batches: list[int] = field(default_factory=list)
-    used: bool = False
+    tokens: dict[str, int] = field(default_factory=dict)
 
     @property
     def newest(self) -> int:
         return max([self.base, *self.batches])
 
+    def used(self, token: str | None) -> bool:
+        source, number = _token(token) if token else ("", -1)
+        return bool(token) and self.tokens.get(source, -1) >= number
+
 
 class KeyedTable:
     """One writer at a time, any number of readers."""
@@ -68,32 +82,38 @@ class KeyedTable:
         self._key = list(key)
         self._compact_after = compact_after
 
-    def _state(self, token: str | None = None) -> _State:
-        """What the commit files say.
-
-        One small job over the commit files; compaction keeps the batches few.
-        """
+    def _state(self) -> _State:
+        """What the commit files say; there are at most about two compactions' worth of them."""
         try:
             reader = self._spark.read.schema(_COMMIT).option("recursiveFileLookup", "true")
-            commits = reader.parquet(f"{self._path}/commits")
+            commits = reader.parquet(f"{self._path}/commits").collect()
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return _State()
-        version = F.col("version")
-        state = commits.agg(
-            F.coalesce(F.max(F.when(F.col("kind") == "base", version)), F.lit(-1)).alias("base"),
-            F.count_if(F.col("kind") == "base").alias("bases"),
-            F.collect_list(F.when(F.col("kind") == "batch", version)).alias("batches"),
-            F.coalesce(F.bool_or(F.col("token") == F.lit(token)), F.lit(False)).alias("used"),
-        )
-        later = F.array_sort(F.filter("batches", lambda batch: batch > F.col("base")))
-        return _State(*state.select("base", "bases", later.alias("batches"), "used").first())
-
-    def _commit(self, kind: str, version: int, token: str | None = None) -> None:
+        base, number = max(((row.version, row.number) for row in commits if row.kind == "base"), default=(-1, -1))
+        batches = sorted(row.version for row in commits if row.kind == "batch" and row.version > base)
+        tokens: dict[str, int] = {}
+        for row in commits:
+            if row.source is not None:
+                tokens[row.source] = max(row.last, tokens.get(row.source, -1))
+        return _State(base, number + 1, batches, tokens)
+
+    def _commit(self, kind: str, version: int, number: int | None = None, tokens: dict[str, int] | None = None) -> None:
         """The commit is one file, so it is there or it is not."""
-        row = self._spark.createDataFrame([(kind, version, token)], _COMMIT)
-        row.coalesce(1).write.mode("overwrite").parquet(f"{self._path}/commits/{kind}-{version}")
+        rows = [(kind, version, number, None, None)]
+        rows += [("token", version, None, source, last) for source, last in (tokens or {}).items()]
+        rows = self._spark.createDataFrame(rows, _COMMIT)
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self._path}/commits/{kind}-{version}")
+
+    def _tidy(self, before: int) -> None:
+        """Remove batches that the base of version ``before`` holds, their commits, and bases before it."""
+        for folder, prefix, kept in (("commits", "batch-", before + 1), ("commits", "base-", before), ("batches", "_batch=", before + 1)):
+            files, place = file_system(self._spark, f"{self._path}/{folder}")
+            for entry in files.listStatus(place) if files.exists(place) else ():
+                name = entry.getPath().getName()
+                if name.startswith(prefix) and int(name.removeprefix(prefix)) < kept:
+                    files.delete(entry.getPath(), True)
 
     def _slot(self, number: int) -> str:
         return f"{self._path}/base/{number % 2}"
@@ -122,10 +142,11 @@ class KeyedTable:
         """Replace or add the batch's rows by key; returns the number of keys delivered.
 
         Of several rows with one key the first under ``order`` counts. A batch
-        with a ``token`` is applied once: giving it again changes nothing.
+        with a ``token`` (``source/number``) is applied once: giving it, or an
+        earlier one of its source, again changes nothing.
         """
-        state = self._state(token)
-        if state.used:
+        state = self._state()
+        if state.used(token):
             return 0
         version = state.newest + 1
         delivered = Observation()
@@ -133,7 +154,8 @@ class KeyedTable:
         rows = rows.observe(delivered, F.count(F.lit(1)).alias("rows"))
         kind, path = ("batch", f"{self._path}/batches/_batch={version}") if state.bases else ("base", self._slot(0))
         rows.write.mode("overwrite").parquet(path)
-        self._commit(kind, version, token)
+        tokens = dict([_token(token)]) if token else {}
+        self._commit(kind, version, None if state.bases else 0, tokens)
         if len(state.batches) + 1 >= self._compact_after:
             self.compact()
         return delivered.get["rows"]
@@ -143,4 +165,5 @@ class KeyedTable:
         state = self._state()
         if state.batches:
             self._read(state).write.mode("overwrite").parquet(self._slot(state.bases))
-            self._commit("base", state.newest)
+            self._commit("base", state.newest, state.bases, state.tokens)
+            self._tidy(state.base)

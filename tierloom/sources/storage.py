@@ -12,7 +12,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as it takes it."""
     jvm = spark.sparkContext._jvm
     place = jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
@@ -29,7 +30,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         return named.rstrip("/")
     warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
     one_machine = spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")
-    if not warehouse or not one_machine and _file_system(spark, warehouse)[0].getUri().getScheme() == "file":
+    if not warehouse or not one_machine and file_system(spark, warehouse)[0].getUri().getScheme() == "file":
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return warehouse.rstrip("/")
 
@@ -42,7 +43,7 @@ def run_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession) -> str:
     """A new path in this run's folder."""
     folder = run_folder(spark)
-    files, place = _file_system(spark, folder)
+    files, place = file_system(spark, folder)
     if files.mkdirs(place):
         files.deleteOnExit(place)
     return f"{folder}/{uuid.uuid4().hex}"
@@ -50,7 +51,7 @@ def scratch_path(spark: SparkSession) -> str:
 
 def release(spark: SparkSession, path: str | None = None) -> None:
     """Remove one table of this run, or by default all of them."""
-    files, place = _file_system(spark, path or run_folder(spark))
+    files, place = file_system(spark, path or run_folder(spark))
     files.delete(place, True)
 
 

@@ -8,6 +8,8 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tierloom.sources.storage import file_system, release
+
 STAR_TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -32,7 +34,13 @@ def read_star(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 
 class TableFolder:
-    """Stored tables under one shared folder, as ``<folder>/<schema>/<table>``."""
+    """Stored tables under one shared folder, as ``<folder>/<schema>/<table>/v<number>``.
+
+    A rebuild writes a new version beside the old one; the file that Spark
+    writes last makes it the table. A reader that began before keeps its
+    version until the rebuild after next, and a rebuild that dies leaves the
+    table as it was. One writer at a time.
+    """
 
     def __init__(self, spark: SparkSession, folder: str, default_schema: str = "main"):
         self._spark = spark
@@ -42,12 +50,28 @@ class TableFolder:
     def path(self, schema: str, table: str) -> str:
         return f"{self._folder}/{schema}/{table}"
 
+    def _versions(self, schema: str, table: str) -> list[int]:
+        """Numbers of the complete versions, oldest first."""
+        files, place = file_system(self._spark, self.path(schema, table))
+        if not files.exists(place):
+            return []
+        names = [entry.getPath().getName() for entry in files.listStatus(place)]
+        numbers = sorted(int(name[1:]) for name in names if name[:1] == "v" and name[1:].isdigit())
+        return [n for n in numbers if files.exists(file_system(self._spark, f"{place}/v{n}/_SUCCESS")[1])]
+
     def read(self, schema: str, table: str) -> DataFrame:
-        return self._spark.read.parquet(self.path(schema, table))
+        versions = self._versions(schema, table)
+        if not versions:
+            raise FileNotFoundError(f"no table {schema}.{table} in {self._folder}")
+        return self._spark.read.parquet(f"{self.path(schema, table)}/v{versions[-1]}")
 
     def rebuild(self, schema: str, table: str, rows: DataFrame) -> DataFrame:
         """Replace the stored table and return it as stored."""
-        rows.write.mode("overwrite").parquet(self.path(schema, table))
+        versions = self._versions(schema, table)
+        number = versions[-1] + 1 if versions else 0
+        rows.write.mode("overwrite").parquet(f"{self.path(schema, table)}/v{number}")
+        for old in versions[:-1]:
+            release(self._spark, f"{self.path(schema, table)}/v{old}")
         return self.read(schema, table)
 
 
