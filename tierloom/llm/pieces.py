@@ -10,14 +10,16 @@ one is encoded once and remembered. Texts for which the cut is not certain
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 
 from tierloom.llm.common import gather
 
 #: Pieces remembered; later ones are encoded with their batch and forgotten again.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 18
+#: Characters that are cut into pieces at a time.
+SEGMENT = 1 << 21
 #: Mark of pieces at which a text can't be cut.
 UNSAFE = -1
 
@@ -25,6 +27,35 @@ UNSAFE = -1
 EncodeMany = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
 
 
+def segments(text: str) -> Iterator[str]:
+    """The text in parts of about SEGMENT characters, cut where it may be cut."""
+    begin = 0
+    while len(text) - begin > SEGMENT:
+        cut = text.find(" ", begin + SEGMENT)
+        while 0 <= cut < len(text) - 1 and text[cut + 1].isspace():
+            cut = text.find(" ", cut + 1)
+        if not 0 <= cut < len(text) - 1:
+            break
+        yield text[begin:cut]
+        begin = cut
+    yield text[begin:]
+
+
+def portions(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
+    """Segments of all texts, about SEGMENT characters together, and the number of the text of each."""
+    numbers, together, size = [], [], 0
+    for number, text in enumerate(texts):
+        for part in segments(text):
+            numbers.append(number)
+            together.append(part)
+            size += len(part)
+            if size >= SEGMENT:
+                yield numbers, together
+                numbers, together, size = [], [], 0
+    if together:
+        yield numbers, together
+
+
 class Spans:
     """Ids of numbered strings, which may be added to and cut back."""
 
@@ -87,6 +118,14 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids one after the other, and the number of ids of each text."""
+        found, total = [np.empty(0, np.uint32)], np.zeros(len(texts), np.int64)
+        for numbers, together in portions(texts):
+            ids, sizes = self._encode(together)
+            found.append(ids)
+            np.add.at(total, numbers, sizes)
+        return np.concatenate(found), total
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         pending: list[str] = []
         numbers = [np.array(self._pieces(text, pending), np.int64) for text in texts]
         if pending:

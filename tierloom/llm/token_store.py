@@ -20,6 +20,7 @@ gives a store without files.
 from __future__ import annotations
 
 import json
+import os
 import zlib
 from collections.abc import Callable, Iterator
 from itertools import chain
@@ -37,6 +38,8 @@ from tierloom.sources.storage import scratch_path
 MAGIC = b"TIERTOK1"
 #: Ids of a block; a multiple of eight, so that blocks end at whole bytes.
 BLOCK = 1 << 16
+#: Documents that are encoded together.
+TOGETHER = 512
 MANIFEST = "shard int, file string, docs long, ids long, bytes long"
 
 Batches = Iterator[pa.RecordBatch]
@@ -148,24 +151,55 @@ class ShardReader:
         return np.concatenate(found)[begin : begin + count]
 
 
+#: Characters that the library encodes as one string.
+JOINED = 1 << 14
+
+
+def _joined(texts: list[str]) -> list[list[str]]:
+    """Texts in groups that may be encoded as one string: each but a group's first begins where a text may be cut."""
+    groups: list[list[str]] = []
+    size = JOINED
+    for text in texts:
+        if size >= JOINED or not (text[:1] in (" ", "\n") and len(text) > 1 and not text[1].isspace()):
+            groups.append([])
+            size = 0
+        groups[-1].append(text)
+        size += len(text)
+    return groups
+
+
 def library_encoder(path: str) -> tuple[EncodeMany, int]:
-    """Batch encoder of a tokenizer file, and its vocabulary's size; special tokens' strings are ordinary text."""
+    """Batch encoder of a byte-level tokenizer file, and its vocabulary's size; special tokens' strings are ordinary text.
+
+    The library spends more on a string than on its tokens, so texts go to it
+    joined; the bytes of the tokens tell where each text ends.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; more threads would only wait for it
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
+    vocabulary = tokenizer.get_vocab()
+    n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+    n_bytes[list(vocabulary.values())] = list(map(len, vocabulary))  # one character stands for a byte
 
     def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [found.ids for found in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
+        joined = ["".join(group) for group in _joined(texts)]
+        ids = [found.ids for found in tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, sum(map(len, ids)))
+        token_ends = np.cumsum(n_bytes[flat])
+        text_ends = np.cumsum(np.fromiter((len(text.encode()) for text in texts), np.int64, len(texts)))
+        until = np.searchsorted(token_ends, text_ends, "right")
+        if (np.concatenate([[0], token_ends])[until] != text_ends).any():
+            raise ValueError(f"{path} does not cut texts as byte-level tokenizers do")
+        return flat, np.diff(until, prepend=0)
 
     return encode, tokenizer.get_vocab_size()
 
 
 def _pieces(path: str) -> tuple[PieceEncoder, int]:
     encode, vocabulary = library_encoder(path)
-    return PieceEncoder(encode), vocabulary
+    return PieceEncoder(encode, 1 << 19), vocabulary
 
 
 def with_end(ids: np.ndarray, sizes: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -196,16 +230,17 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int) -> DataFrame:
             numbers = batch.column("shard").to_numpy()
             for own in np.unique(numbers):
                 first, last = np.searchsorted(numbers, own), np.searchsorted(numbers, own, "right")
-                part = batch.slice(first, last - first)
                 if own != shard:
                     if writer:
                         close()
                     shard, file = int(own), files.committed(folder, name(own))
                     writer = ShardWriter(file.__enter__(), bits, vocabulary)
-                ids, sizes = with_end(*pieces.encode(part.column("text").to_pylist()), end_id)
-                keys = part.column("doc_id")
-                missing = keys.is_null().to_numpy(zero_copy_only=False)
-                writer.add(np.ma.array(keys.fill_null(0).to_numpy(), mask=missing), sizes, ids)
+                for at in range(first, last, TOGETHER):
+                    part = batch.slice(at, min(TOGETHER, last - at))
+                    ids, sizes = with_end(*pieces.encode(part.column("text").to_pylist()), end_id)
+                    keys = part.column("doc_id")
+                    missing = keys.is_null().to_numpy(zero_copy_only=False)
+                    writer.add(np.ma.array(keys.fill_null(0).to_numpy(), mask=missing), sizes, ids)
         if writer:
             close()
         yield pa.RecordBatch.from_pylist(done, manifest)
