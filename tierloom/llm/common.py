@@ -71,8 +71,16 @@ def gather(flat, starts, sizes):
     return flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)]
 
 
-def bounded_sample(rows: DataFrame, group: str, most: int) -> DataFrame:
-    """About ``most`` rows at most of each value of ``group``, chosen by a hash of doc_id; all rows of smaller groups."""
-    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_rows"))
+def bounded_sample(rows: DataFrame, group: str, most: int, groups: int = 256) -> DataFrame:
+    """About ``most`` rows at most of each value of ``group``, chosen by a hash of doc_id; all rows of smaller groups.
+
+    ``group`` has ``groups`` values at most; their counts come to the driver, so that the rows need not move.
+    """
+    sizes = {row[0]: row[1] for row in rows.groupBy(group).count().limit(groups + 1).collect()}
+    if len(sizes) > groups:
+        raise ValueError(f"{group} has more than {groups} values")
     chance = F.shiftrightunsigned(F.xxhash64(F.lit("sample"), "doc_id"), 11) / F.lit(float(1 << 53))
-    return rows.join(sizes, group).where(chance * F.col("_rows") < most).drop("_rows")
+    share = F.lit(0.0)
+    for value, size in sizes.items():
+        share = F.when(F.col(group) == F.lit(value), most / size).otherwise(share)
+    return rows.where(chance < share)

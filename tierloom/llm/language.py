@@ -89,7 +89,7 @@ def count(rows: DataFrame) -> DataFrame:
             {"lang": pa.array(list(sums), pa.string()), "counts": pa.array([x.tobytes() for x in sums.values()], pa.binary())}
         )
 
-    return rows.select("lang", "text").repartition(TASKS, F.xxhash64("text")).mapInArrow(scan, "lang string, counts binary")
+    return rows.select("lang", "text").repartition(TASKS).mapInArrow(scan, "lang string, counts binary")
 
 
 def _sum(table: pa.Table) -> pa.Table:
@@ -99,11 +99,9 @@ def _sum(table: pa.Table) -> pa.Table:
 
 def fit(rows: DataFrame, training: int = TRAINING) -> tuple[list[str], np.ndarray]:
     """Languages and the matrix of log-probabilities, learned from ``rows`` (doc_id, text, lang)."""
-    chosen = bounded_sample(rows.where("lang IS NOT NULL AND text IS NOT NULL"), "lang", training)
+    chosen = bounded_sample(rows.where("lang IS NOT NULL AND text IS NOT NULL"), "lang", training, LANGUAGES)
     summed = count(chosen).groupBy("lang").applyInArrow(_sum, "lang string, counts binary")
-    found = sorted((row.lang, np.frombuffer(row.counts, np.int64)) for row in summed.limit(LANGUAGES + 1).toLocalIterator())
-    if len(found) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
+    found = sorted((row.lang, np.frombuffer(row.counts, np.int64)) for row in summed.collect())
     if not found:
         return [], np.zeros((BUCKETS, 0), np.float32)
     counts = np.stack([x for _, x in found], axis=1) + SMOOTHING
