@@ -36,7 +36,9 @@ from tierloom.llm.pieces import REMEMBERED, PieceEncoder, Spans
 
 #: Bytes of words that one recursive query takes.
 QUERY_BYTES = 1 << 19
-MEMORY = "400MB"
+#: Tokens that one decoding query takes.
+QUERY_TOKENS = 1 << 20
+MEMORY = "256MB"
 #: Bytes of a word that has its rows rewritten each round; longer words change only the rows they must.
 SHORT = 64
 
@@ -176,19 +178,21 @@ class DuckBpe:
         return ids, np.diff(ends[np.cumsum(counts)], prepend=0)
 
     def decode_many(self, ids: np.ndarray, sizes: np.ndarray) -> list[str]:
-        """The bytes of each text, in hex: an ordered aggregation of its tokens' bytes."""
-        place = np.arange(len(ids))
-        rows = pa.table({"doc": np.repeat(np.arange(len(sizes)), sizes), "place": place, "token": ids.astype(np.int32)})  # noqa: F841
-        found = self.db.sql(DECODE).to_arrow_table()
-        texts = [""] * len(sizes)
-        for doc, text in zip(found["doc"].to_pylist(), found["text"].to_pylist(), strict=True):
-            texts[doc] = text
+        """The bytes of each text, in hex: an ordered aggregation of its tokens' bytes, QUERY_TOKENS at a time."""
+        doc, texts = np.repeat(np.arange(len(sizes)), sizes), [""] * len(sizes)
+        for at in range(0, len(ids), QUERY_TOKENS):
+            part = slice(at, at + QUERY_TOKENS)
+            tokens = ids[part].astype(np.int32)
+            rows = pa.table({"doc": doc[part], "place": np.arange(len(tokens)), "token": tokens})  # noqa: F841
+            found = self.db.sql(DECODE).to_arrow_table()
+            for number, text in zip(found["doc"].to_pylist(), found["text"].to_pylist(), strict=True):
+                texts[number] += text
         return texts
 
 
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Documents that are encoded and decoded together.
-TOGETHER = 512
+TOGETHER = 256
 
 
 def _default_pattern() -> str:
@@ -197,13 +201,23 @@ def _default_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
-def _encoder(path: str, pattern: str) -> tuple[DuckBpe, PieceEncoder]:
-    bpe = DuckBpe(load_ranks(path), pattern)
-    return bpe, PieceEncoder(bpe.encode_many)
+def _encoder(path: str, pattern: str, remembered: int) -> tuple[DuckBpe, PieceEncoder]:
+    """The encoder of this Python worker; it remembers so many words and pieces, about 700 bytes for each of both."""
+
+    def make() -> tuple[DuckBpe, PieceEncoder]:
+        bpe = DuckBpe(load_ranks(path), pattern)
+        bpe.remembered = remembered
+        return bpe, PieceEncoder(bpe.encode_many, remembered)
+
+    return per_worker(("bpe", path, pattern, remembered), make)
 
 
 def encode(
-    docs: DataFrame, decode: bool = False, vocabulary: str = "byte_bpe_multi_50k.tiktoken", pattern: str | None = None
+    docs: DataFrame,
+    decode: bool = False,
+    vocabulary: str = "byte_bpe_multi_50k.tiktoken",
+    pattern: str | None = None,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """The documents with a column ``ids`` (array of int), and ``decoded`` (the ids' text) if asked for.
 
@@ -214,7 +228,7 @@ def encode(
     text_at = docs.columns.index("text")
 
     def scan(batches: Batches) -> Batches:
-        bpe, pieces = per_worker(("bpe", path, pattern), lambda: _encoder(path, pattern))
+        bpe, pieces = _encoder(path, pattern, remembered)
         for batch in batches:
             for at in range(0, batch.num_rows, TOGETHER):
                 part = batch.slice(at, TOGETHER)
@@ -229,12 +243,17 @@ def encode(
     return docs.mapInArrow(scan, StructType([*docs.schema.fields, *added]))
 
 
-def round_trip(docs: DataFrame, vocabulary: str = "byte_bpe_multi_50k.tiktoken", pattern: str | None = None) -> DataFrame:
+def round_trip(
+    docs: DataFrame,
+    vocabulary: str = "byte_bpe_multi_50k.tiktoken",
+    pattern: str | None = None,
+    remembered: int = 2 * REMEMBERED,
+) -> DataFrame:
     """Encode every text and decode its ids: doc_id, n_tokens, and digests of the ids and of the decoded bytes."""
     path, pattern = vocabulary_path(vocabulary), pattern or _default_pattern()
 
     def scan(batches: Batches) -> Batches:
-        bpe, pieces = per_worker(("bpe", path, pattern), lambda: _encoder(path, pattern))
+        bpe, pieces = _encoder(path, pattern, remembered)
         for batch in batches:
             for at in range(0, batch.num_rows, TOGETHER):
                 part = batch.slice(at, TOGETHER)
