@@ -129,7 +129,7 @@ OTHER = "Nobody else in this house had ever heard such a strange noise before."
 def test_line_rules(spark, line, fails):
     df = spark.createDataFrame([(line,)], "line string")
     count = quality_rules.F.size(quality_rules.words(quality_rules.F.col("line")))
-    assert df.select(quality_rules.line_fails(df.line, count)).first()[0] is fails
+    assert df.select(quality_rules.line_fails(df.line, count, quality_rules.F.lit(True))).first()[0] is fails
 
 
 def test_figures_and_cleaning(spark):

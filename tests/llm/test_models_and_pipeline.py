@@ -153,16 +153,6 @@ def test_queries_agree_with_sql(spark, name):
     assert rows_of(df.columns, df.collect()) == rows_of(columns, cursor.fetchall())
 
 
-@with_data
-def test_quality_figures_agree_with_sql(spark):
-    cursor = duckdb.connect()
-    cursor.execute(f"CREATE VIEW documents AS SELECT * FROM '{FOLDER}/documents.parquet'")
-    cursor = cursor.execute(queries.OP2_FIGURES)
-    columns = [column[0] for column in cursor.description]
-    df = queries.QUERIES["op2_quality_rules"](spark, FOLDER).select(columns)
-    assert rows_of(columns, df.collect()) == rows_of(columns, cursor.fetchall())
-
-
 def test_registered():
     names = [name for name in __spark_entry__.queries() if name.startswith("op")]
     assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 11))

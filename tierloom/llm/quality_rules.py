@@ -17,6 +17,9 @@ repeated rows are judged each for itself; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,9 +40,14 @@ NAVIGATION_WORDS = (
     "blog news archive categories tags"
 ).split()
 BOILERPLATE = (
-    r"\bcookies?\b|javascript|privacy policy|terms of (use|service)|all rights reserved|\bcopyright\b|©|"
-    r"sign up|subscribe|newsletter|click here|read more|log ?in to|powered by|lorem ipsum|licensed under"
-)
+    "cookie", "javascript", "privacy policy", "terms of use", "terms of service", "all rights reserved", "copyright",
+    "©", "sign up", "subscribe", "newsletter", "click here", "read more", "log in to", "login to", "powered by",
+    "lorem ipsum", "licensed under",
+)
+
+
+def _has_phrase(lower: Column) -> Column:
+    return reduce(or_, [lower.contains(phrase) for phrase in BOILERPLATE])
 
 
 def _matches(text: Column, pattern: str) -> Column:
@@ -47,8 +55,11 @@ def _matches(text: Column, pattern: str) -> Column:
     return F.length(F.regexp_replace(text, f"[^{pattern.strip('[]')}]+", ""))
 
 
-def line_fails(line: Column, n_words: Column) -> Column:
-    """Whether a line with words breaks a rule; counts are compared with its number of words."""
+def line_fails(line: Column, n_words: Column, phrases: Column) -> Column:
+    """Whether a line with words breaks a rule; counts are compared with its number of words.
+
+    ``phrases`` tells whether its document has a boilerplate phrase at all; if not, no line is searched for one.
+    """
     punctuation = (
         (_matches(line, SYMBOLS) * 4 > n_words)
         | ((n_words >= 4) & (_matches(line, "[!]") * 2 > n_words))
@@ -59,7 +70,7 @@ def line_fails(line: Column, n_words: Column) -> Column:
     navigation = ((separators >= 2) & (separators * 5 >= n_words)) | (
         (n_words <= 6) & line.rlike(rf"(?i)^\W*(({menu})\W*)+$")
     )
-    return punctuation | navigation | line.rlike(f"(?i){BOILERPLATE}")
+    return punctuation | navigation | (phrases & _has_phrase(F.lower(line)))
 
 
 def _sorted_windows(window: Column) -> Column:
@@ -90,14 +101,15 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
         taken.append(fresh(taken, x))
         return taken[-1]
 
-    whole, lines, word, window, sorted_, starts, verdict = map(
-        name, ("whole", "lines", "word", "window", "sorted", "starts", "verdict")
+    whole, lower, lines, word, phrases, window, sorted_, starts, verdict = map(
+        name, ("whole", "lower", "lines", "word", "phrases", "window", "sorted", "starts", "verdict")
     )
     c = F.col
     step = docs.withColumn(whole, F.coalesce(c(text), F.lit("")))
     step = step.withColumn(word, words(c(whole))).withColumn(
         lines, F.filter(F.split(c(whole), "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     )
+    step = step.withColumn(lower, F.lower(c(whole))).withColumn(phrases, _has_phrase(c(lower)))
     n_words = F.size(c(word))
     step = step.withColumn(
         window,
@@ -122,7 +134,7 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     failing = F.aggregate(
         judged,
         F.lit(0),
-        lambda total, x: total + F.when(line_fails(x.line, x.n), x.n).otherwise(0),
+        lambda total, x: total + F.when(line_fails(x.line, x.n, c(phrases)), x.n).otherwise(0),
     )
     step = step.withColumn(
         verdict,
@@ -154,7 +166,7 @@ def clean(docs: DataFrame) -> DataFrame:
     verdict = F.col(judged.columns[-1])
     kept_lines = F.filter(
         F.split("text", "\n"),
-        lambda line: ~line.rlike(r"[^\x20\x09-\x0D]") | ~line_fails(line, F.size(words(line))),
+        lambda line: ~line.rlike(r"[^\x20\x09-\x0D]") | ~line_fails(line, F.size(words(line)), F.lit(True)),
     )
     text = F.when(verdict.n_lost_words == 0, F.col("text")).otherwise(F.array_join(kept_lines, "\n"))
     # The row number keeps the filter above the projections that compute the verdict. Below them, each column that

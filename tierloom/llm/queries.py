@@ -41,8 +41,21 @@ def _words(text: str) -> str:
     return rf"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 
-# The verdict's line rules are the operator's own and are left to tests; these are the figures that SQL states.
-OP2_FIGURES = rf"""
+def _count(text: str, characters: str) -> str:
+    return f"length(regexp_replace({text}, '[^{characters}]+', '', 'g'))"
+
+
+_MENU = "|".join(quality_rules.NAVIGATION_WORDS)
+_PHRASE = " OR ".join(f"contains(lower(x), '{phrase}')" for phrase in quality_rules.BOILERPLATE)
+_FAILS = rf"""(
+  {_count("x", "#*$%&|<>")} * 4 > len({_words("x")})
+  OR (len({_words("x")}) >= 4 AND {_count("x", "!")} * 2 > len({_words("x")}))
+  OR (len({_words("x")}) >= 25 AND NOT regexp_matches(x, '[.,;:!?…。，！？]'))
+  OR ({_count("x", "|»›•·")} >= 2 AND {_count("x", "|»›•·")} * 5 >= len({_words("x")}))
+  OR (len({_words("x")}) <= 6 AND regexp_matches(x, '(?i)^\W*(({_MENU})\W*)+$'))
+  OR {_PHRASE})"""
+
+ORACLES["op2_quality_rules"] = rf"""
 WITH cut AS (SELECT doc_id, coalesce(text, '') AS t, {_words("coalesce(text, '')")} AS w FROM documents),
 lined AS (
   SELECT *, list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS l,
@@ -58,8 +71,11 @@ repeated AS (
 SELECT doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
        length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
        len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
-       len(w) < 10 OR 100 * coalesce(n, 0) > 20 * len(w) AS base_failed
-FROM lined LEFT JOIN repeated USING (doc_id)
+       lost AS n_lost_words, len(w) < 10 OR 100 * coalesce(n, 0) > 20 * len(w) AS base_failed,
+       len(w) >= 10 AND 100 * coalesce(n, 0) <= 20 * len(w) AND lost * 100 <= 50 * len(w) AS kept
+FROM (SELECT *, coalesce(list_sum(list_transform(l, lambda x: CASE WHEN {_FAILS} THEN len({_words("x")}) ELSE 0 END)), 0)::BIGINT
+        AS lost FROM lined)
+LEFT JOIN repeated USING (doc_id)
 """
 
 ORACLES["op4_exact_dedup"] = r"""
