@@ -160,6 +160,22 @@ def test_drop_near_copies(spark):
     assert Counter(r.doc_id for r in kept.collect()) == Counter(r[0] for r, c in zip(rows, ids, strict=True) if r[0] == c)
 
 
+def test_drop_near_copies_judges_rows_not_ids(spark):
+    """Null ids and ids that repeat with other texts: one row of each group stays, and no text of its own is lost."""
+    random.seed(8)
+    own = [" ".join(random.choices([f"w{i}" for i in range(300)], k=90)) for _ in range(6)]
+    near = lambda text: f"{text} more"
+    texts = [(None, own[0]), (None, own[1]), (5, near(own[1])), (None, own[2]), (None, f"{near(own[2])} yet")]
+    texts += [(7, own[3]), (7, own[4]), (6, near(own[4])), (8, own[5]), (8, own[5])]
+    assert all(bin(slow_fingerprint(a) ^ slow_fingerprint(b)).count("1") <= 4 for a, b in [
+        (own[1], near(own[1])), (own[2], f"{near(own[2])} yet"), (own[4], near(own[4]))])
+    kept = simhash.drop_near_copies(spark.createDataFrame([(*row, "x") for row in texts], "doc_id long, text string, sha string"))
+    left = Counter((r.doc_id, r.text) for r in kept.collect())
+    group = min([own[2], f"{near(own[2])} yet"], key=lambda text: hashlib.sha256(text.encode()).hexdigest())
+    assert left == Counter([(None, own[0]), (5, near(own[1])), (None, group), (7, own[3]), (6, near(own[4])), (8, own[5])])
+    assert kept.columns == ["doc_id", "text", "sha"]
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(500, 500 + i) for i in range(1, 40)] + [(7, 9), (9, 7), (3, 3)]
     found = dict(components.components(spark.createDataFrame(edges, "u long, v long")).collect())

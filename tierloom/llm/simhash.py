@@ -27,7 +27,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierloom.llm.common import fresh
@@ -67,15 +67,18 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(votes * 2 > count).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of every document; fp holds the 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, extra: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, ``extra`` texts, fp) of every document; fp holds the 64 bits as a signed long."""
+    own = ["doc_id", *extra]
 
     def scan(batches: Batches) -> Batches:
         for batch in batches:
             prints = np.array([fingerprint(t.as_py(), shingle) for t in batch.column("text")], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints.view(np.int64))], ["doc_id", "fp"])
+            columns = [*map(batch.column, own), pa.array(prints.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, [*own, "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, "doc_id long, fp long")
+    kinds = ", ".join(["doc_id long", *(f"{c} string" for c in extra), "fp long"])
+    return docs.select(F.col("doc_id").cast("long"), *extra, "text").mapInArrow(scan, kinds)
 
 
 def forest(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -209,23 +212,55 @@ def _dealt(rows: DataFrame) -> DataFrame:
     return rows.repartition(F.col("list")).sortWithinPartitions("list")
 
 
+def _rooted(rows: DataFrame, first: Column, most: int) -> DataFrame:
+    """(fp, first, root) of the distinct fingerprints of ``rows`` (fp, ...); ``first`` is a minimum over their rows."""
+    prints = materialize(rows.groupBy("fp").agg(first.alias("first")))
+    roots = materialize(components(links(prints.select("fp"), most)))
+    return prints.join(roots, prints.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def find_groups(docs: DataFrame, shingle: int = SHINGLE, most: int = LIST) -> DataFrame:
     """One row per document: doc_id, fingerprint, component_id."""
     rows = materialize(fingerprints(docs, shingle))
-    prints = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = materialize(components(links(prints.select("fp"), most)))
-    rooted = prints.join(roots, prints.fp == roots.node, "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
+    rooted = _rooted(rows, F.min("doc_id"), most)
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     groups = materialize(rooted.join(materialize(named), "root").select("fp", "component_id"))
     hexadecimal = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return rows.join(groups, "fp").select("doc_id", hexadecimal.alias("fingerprint"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """The documents whose id is their component's, with all their columns; rows with one id stay or go together."""
-    key = fresh(docs.columns, "key")
-    groups = find_groups(docs, shingle)
-    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(key))
-    return docs.join(gone.distinct(), F.col("doc_id").eqNullSafe(F.col(key)), "left_anti")
+def _order() -> Column:
+    """Smallest id first, null last; the text's digest decides between texts of one id."""
+    return F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "sha")
+
+
+def _one_of_each(docs: DataFrame, sha: str, rows: DataFrame, rooted: DataFrame, node: str) -> DataFrame:
+    """``docs`` (with the text's digest ``sha``) without the rows that are not the first of their group.
+
+    ``rows`` (doc_id, sha, node) are all documents, ``rooted`` (node, first, root) has the first row of every node.
+    Rows of one id and one text have one node, so they stay or go together; of those that stay, one is kept.
+    """
+    keepers = materialize(rooted.groupBy("root").agg(F.min("first").alias("keeper")))
+    named = materialize(rooted.join(keepers, "root").select(node, "keeper"))
+    judged = materialize(rows.join(named, node).select("doc_id", "sha", (_order() == F.col("keeper")).alias("kept")))
+    key, digest = fresh(docs.columns, "key"), fresh(docs.columns, "digest")
+    same = F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(sha) == F.col(digest))
+    names = [F.col("doc_id").alias(key), F.col("sha").alias(digest)]
+    lost = judged.where(~F.col("kept")).select(names).distinct()
+    repeated = judged.where("kept").groupBy("doc_id", "sha").count().where("count > 1").select(names)
+    stay = docs.join(lost, same, "left_anti")
+    if repeated.isEmpty():
+        return stay
+    repeated = materialize(repeated)
+    one = docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id", sha])
+    return stay.join(repeated, same, "left_anti").unionByName(one)
+
+
+def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, most: int = LIST) -> DataFrame:
+    """One document of each component, with all its columns: the smallest id (null last), then the smallest digest."""
+    sha = fresh(docs.columns, "sha")
+    named = docs.withColumn(sha, F.sha2(F.coalesce("text", F.lit("")), 256))
+    texts = named.select("doc_id", "text", F.col(sha).alias("sha"))
+    rows = materialize(fingerprints(texts, shingle, ("sha",)))
+    rooted = _rooted(rows, F.min(_order()), most)
+    return _one_of_each(named, sha, rows, rooted, "fp").drop(sha)
