@@ -151,3 +151,11 @@ def test_figures_and_cleaning(spark):
     assert cleaned[3].text == PROSE
     assert cleaned[4].text == f"{PROSE}\n{OTHER}" and cleaned[4].n_chars == len(cleaned[4].text)
     assert not measured[len(texts) - 1].kept
+
+
+def test_a_phrase_does_not_cost_a_long_line(spark):
+    long_ = f"{PROSE} {OTHER} She ate a cookie, read more of her book, and went to bed before anybody else came home to ask."
+    footer = "Copyright 2020 by nobody, all rights reserved."
+    rows = [(1, long_, "en", "s", 1), (2, f"{long_}\n{footer}", "en", "s", 1), (3, f"{footer}\n{footer} Powered by us.", "en", "s", 1)]
+    kept = {row.doc_id: row.text for row in quality_rules.clean(spark.createDataFrame(rows, DOCS)).collect()}
+    assert kept == {1: long_, 2: long_}

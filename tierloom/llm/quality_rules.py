@@ -18,7 +18,7 @@ repeated rows are judged each for itself; an empty table gives an empty result.
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +34,8 @@ MOST_LOST = 50
 SYMBOLS = r"[#*$%&|<>]"
 #: Words of a line that has no sentence mark at all before it counts as a list or a repeated filler.
 UNMARKED = 25
+#: Words of a line per word of a boilerplate phrase, at most, for the line to be boilerplate by its share.
+PHRASE_SHARE = 8
 
 NAVIGATION_WORDS = (
     "home menu login logout register next previous prev back top share print search contact about sitemap help faq "
@@ -55,10 +57,22 @@ def _matches(text: Column, pattern: str) -> Column:
     return F.length(F.regexp_replace(text, f"[^{pattern.strip('[]')}]+", ""))
 
 
-def line_fails(line: Column, n_words: Column, phrases: Column) -> Column:
+def _phrase_words(lower: Column) -> Column:
+    """Words of the phrases in a text, each phrase as often as it occurs."""
+    return reduce(
+        add,
+        [
+            F.floor((F.length(lower) - F.length(F.replace(lower, F.lit(phrase), F.lit("")))) / len(phrase)) * len(phrase.split())
+            for phrase in BOILERPLATE
+        ],
+    )
+
+
+def line_fails(line: Column, n_words: Column, phrases: Column, by_share: bool = False) -> Column:
     """Whether a line with words breaks a rule; counts are compared with its number of words.
 
     ``phrases`` tells whether its document has a boilerplate phrase at all; if not, no line is searched for one.
+    ``by_share`` lets a line fail as boilerplate only if phrases make up one in PHRASE_SHARE of its words.
     """
     punctuation = (
         (_matches(line, SYMBOLS) * 4 > n_words)
@@ -70,7 +84,10 @@ def line_fails(line: Column, n_words: Column, phrases: Column) -> Column:
     navigation = ((separators >= 2) & (separators * 5 >= n_words)) | (
         (n_words <= 6) & line.rlike(rf"(?i)^\W*(({menu})\W*)+$")
     )
-    return punctuation | navigation | (phrases & _has_phrase(F.lower(line)))
+    boilerplate = phrases & _has_phrase(F.lower(line))
+    if by_share:
+        boilerplate &= _phrase_words(F.lower(line)) * PHRASE_SHARE >= n_words
+    return punctuation | navigation | boilerplate
 
 
 def _sorted_windows(window: Column) -> Column:
@@ -93,7 +110,7 @@ def _covered_words(starts: Column) -> Column:
     return F.aggregate(steps, F.lit(0), lambda total, covered: total + covered)
 
 
-def judge(docs: DataFrame, text: str = "text") -> DataFrame:
+def judge(docs: DataFrame, text: str = "text", by_share: bool = False) -> DataFrame:
     """The documents with a struct ``verdict`` (named not to clash) of every figure and decision."""
     taken = list(docs.columns)
 
@@ -134,7 +151,7 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     failing = F.aggregate(
         judged,
         F.lit(0),
-        lambda total, x: total + F.when(line_fails(x.line, x.n, c(phrases)), x.n).otherwise(0),
+        lambda total, x: total + F.when(line_fails(x.line, x.n, c(phrases), by_share), x.n).otherwise(0),
     )
     step = step.withColumn(
         verdict,
@@ -161,12 +178,16 @@ def measure(docs: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame) -> DataFrame:
-    """The documents that stay, their failing lines removed and ``n_chars`` set anew if there is one."""
-    judged = judge(docs)
+    """The documents that stay, their failing lines removed and ``n_chars`` set anew if there is one.
+
+    Boilerplate is judged by its share of a line, so that one phrase does not cost a long line; ``measure`` has the
+    rule of its SQL, by which any line with a phrase fails.
+    """
+    judged = judge(docs, by_share=True)
     verdict = F.col(judged.columns[-1])
     kept_lines = F.filter(
         F.split("text", "\n"),
-        lambda line: ~line.rlike(r"[^\x20\x09-\x0D]") | ~line_fails(line, F.size(words(line)), F.lit(True)),
+        lambda line: ~line.rlike(r"[^\x20\x09-\x0D]") | ~line_fails(line, F.size(words(line)), F.lit(True), by_share=True),
     )
     text = F.when(verdict.n_lost_words == 0, F.col("text")).otherwise(F.array_join(kept_lines, "\n"))
     # The row number keeps the filter above the projections that compute the verdict. Below them, each column that
