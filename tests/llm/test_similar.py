@@ -1,0 +1,67 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from tierloom.llm import simhash, similar
+
+DOCS = "doc_id long, text string"
+
+
+def shingles(text):
+    words = text.lower().split()
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def stays(rows):
+    """Ids that are the smallest of their component; ids are in order."""
+    sets, parent = [shingles(text) for _, text in rows], list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                parent[b] = a
+    return {row[0] for i, row in enumerate(rows) if find(i) == i}
+
+
+def edited():
+    random.seed(21)
+    vocabulary, rows = [f"w{i}" for i in range(500)], []
+    for _ in range(25):
+        words = random.choices(vocabulary, k=random.choice([8, 120, 200]))
+        for copy in range(4):
+            changed = list(words)
+            for _ in range(copy * 2):
+                changed[random.randrange(len(changed))] = random.choice(vocabulary)
+            rows.append((len(rows), " ".join(changed)))
+    return rows
+
+
+@pytest.mark.parametrize("most", [2, 8192])
+def test_drops_what_is_similar(spark, most):
+    rows = edited()
+    got = similar.drop_near_copies(spark.createDataFrame(rows, DOCS).repartition(5), most=most)
+    assert sorted(r.doc_id for r in got.collect()) == sorted(stays(rows))
+    prints = [simhash.fingerprint(text) for _, text in rows]
+    missed = [
+        (i, j) for i in range(len(rows)) for j in range(i)
+        if len(shingles(rows[i][1]) & shingles(rows[j][1])) >= 0.8 * len(shingles(rows[i][1]) | shingles(rows[j][1]))
+        and (prints[i] ^ prints[j]).bit_count() > simhash.MOST_BITS
+    ]
+    assert missed
+
+
+def test_rows_not_ids_are_judged(spark):
+    text = [f"t{i} " + " ".join(f"w{i}x{k}" for k in range(40)) for i in range(4)]
+    rows = [(None, text[0]), (None, text[1]), (5, f"{text[1]} more"), (7, text[2]), (7, text[3]), (6, f"{text[3]} more"), (7, text[2])]
+    rows += [(None, None), (3, "")]
+    got = similar.drop_near_copies(spark.createDataFrame(rows, DOCS)).collect()
+    want = [(None, text[0]), (5, f"{text[1]} more"), (7, text[2]), (6, f"{text[3]} more"), (3, "")]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))

@@ -48,18 +48,29 @@ SHORT = 8
 Batches = Iterator[pa.RecordBatch]
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """SimHash of the text's shingles, each counted as often as it occurs."""
-    words = (text or "").encode().lower().split()  # of bytes: ASCII letters and white space only
-    if not words:
-        return 0
+def plain_words(text: str | None) -> list[bytes]:
+    """Words in lower case; of bytes, so that only ASCII letters and white space count."""
+    return (text or "").encode().lower().split()
+
+
+def shingle_hashes(words: list[bytes], shingle: int) -> np.ndarray:
+    """Hash of every run of ``shingle`` words, or of all words if there are fewer; ``words`` has one at least."""
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     count = max(1, len(words) - shingle + 1)
     digest = xxhash.xxh64_intdigest
     spans = zip(starts[:count].tolist(), ends[min(shingle, len(words)) - 1 :].tolist(), strict=True)
-    hashes = np.array([digest(line[a:b], SEED) for a, b in spans], np.uint64)
+    return np.array([digest(line[a:b], SEED) for a, b in spans], np.uint64)
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """SimHash of the text's shingles, each counted as often as it occurs."""
+    words = plain_words(text)
+    if not words:
+        return 0
+    hashes = shingle_hashes(words, shingle)
+    count = len(hashes)
     votes = np.zeros(64, np.int64)
     for at in range(0, count, 1 << 15):
         bits = np.unpackbits(hashes[at : at + (1 << 15)].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
@@ -229,12 +240,12 @@ def find_groups(docs: DataFrame, shingle: int = SHINGLE, most: int = LIST) -> Da
     return rows.join(groups, "fp").select("doc_id", hexadecimal.alias("fingerprint"), "component_id")
 
 
-def _order() -> Column:
+def row_order() -> Column:
     """Smallest id first, null last; the text's digest decides between texts of one id."""
     return F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "sha")
 
 
-def _one_of_each(docs: DataFrame, sha: str, rows: DataFrame, rooted: DataFrame, node: str) -> DataFrame:
+def one_of_each(docs: DataFrame, sha: str, rows: DataFrame, rooted: DataFrame, node: str) -> DataFrame:
     """``docs`` (with the text's digest ``sha``) without the rows that are not the first of their group.
 
     ``rows`` (doc_id, sha, node) are all documents, ``rooted`` (node, first, root) has the first row of every node.
@@ -242,7 +253,7 @@ def _one_of_each(docs: DataFrame, sha: str, rows: DataFrame, rooted: DataFrame,
     """
     keepers = materialize(rooted.groupBy("root").agg(F.min("first").alias("keeper")))
     named = materialize(rooted.join(keepers, "root").select(node, "keeper"))
-    judged = materialize(rows.join(named, node).select("doc_id", "sha", (_order() == F.col("keeper")).alias("kept")))
+    judged = materialize(rows.join(named, node).select("doc_id", "sha", (row_order() == F.col("keeper")).alias("kept")))
     key, digest = fresh(docs.columns, "key"), fresh(docs.columns, "digest")
     same = F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(sha) == F.col(digest))
     names = [F.col("doc_id").alias(key), F.col("sha").alias(digest)]
@@ -262,5 +273,5 @@ def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, most: int = LIST)
     named = docs.withColumn(sha, F.sha2(F.coalesce("text", F.lit("")), 256))
     texts = named.select("doc_id", "text", F.col(sha).alias("sha"))
     rows = materialize(fingerprints(texts, shingle, ("sha",)))
-    rooted = _rooted(rows, F.min(_order()), most)
-    return _one_of_each(named, sha, rows, rooted, "fp").drop(sha)
+    rooted = _rooted(rows, F.min(row_order()), most)
+    return one_of_each(named, sha, rows, rooted, "fp").drop(sha)
