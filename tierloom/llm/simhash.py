@@ -2,9 +2,11 @@
 
 A fingerprint of 64 bits is eight bytes at fixed positions. Two fingerprints
 with at most four differing bits share at least four positional bytes, so the
-count filter asks for four: the index lists every fingerprint under each set
-of four of its positional bytes (70 lists), two fingerprints meet if their
-tally reaches the guaranteed minimum, and a comparison of all bits verifies.
+index lists every fingerprint under each set of four of its positional bytes
+(70 lists), and a comparison of all bits verifies what meets there. These
+composite keys replace the count filter's tally per pair: two fingerprints
+share a list exactly if their tally would reach four, while lists of single
+bytes would each hold 1/256 of all fingerprints, and every pair in one a tally.
 
 Equal fingerprints are one entry. A list emits no pairs but a spanning forest
 of its links, at most one edge per entry. A list of more than ``LIST`` entries
