@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierloom.llm import bpe, exact_dedup, mixing, quality_rules, similar
+from tierloom.llm import bpe, exact_dedup, mixing, quality_rules, simhash
 from tierloom.llm.common import table
 from tierloom.sources.storage import materialize
 
@@ -25,8 +25,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Near-dedup at a similarity of 0.8 over five-word shingles: of each group the document with the smallest id stays."""
-    return similar.drop_near_copies(docs)
+    """SimHash near-dedup, four-word shingles and four bits: of each group the document with the smallest id stays."""
+    return simhash.drop_near_copies(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
