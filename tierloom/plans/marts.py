@@ -25,7 +25,7 @@ from tierloom.constants import (
 from tierloom.functions.derive import any_match, category, expected_value, row_total, tier
 from tierloom.naming import Naming
 from tierloom.operators.matrix import relation_pairs
-from tierloom.operators.rank import rank_rows, top_k, top_ranked
+from tierloom.operators.rank import Key, falling, rank_rows, ranks_of, rising, sorts, top_k, top_ranked
 from tierloom.operators.reshape import pivot_max
 from tierloom.sources.tables import TableFolder
 
@@ -87,14 +87,9 @@ def _fact_with(fact: DataFrame, dim: DataFrame, columns: Sequence[str], naming:
     return fact.join(dim.select(naming.id, *columns), naming.id)
 
 
-def attacker_order(naming: Naming = Naming(), sp_attack_nulls_first: bool = True) -> list[Column]:
+def attacker_order(naming: Naming = Naming(), sp_attack_nulls_first: bool = True) -> list[Key]:
     """By attack, then special attack, then id."""
-    second = F.col("sp_attack")
-    return [
-        F.col("attack").desc_nulls_last(),
-        second.desc_nulls_first() if sp_attack_nulls_first else second.desc_nulls_last(),
-        F.col(naming.id).asc_nulls_first(),
-    ]
+    return [falling("attack"), falling("sp_attack", sp_attack_nulls_first), rising(naming.id)]
 
 
 def attacker_rows(fact: DataFrame, dim: DataFrame, naming: Naming = Naming()) -> DataFrame:
@@ -124,14 +119,26 @@ def top_attackers(
     return rank_rows(attacker_rows(fact, dim, naming), attacker_order(naming, sp_attack_nulls_first), _WITHIN_STATUS)
 
 
+def first_common(rows: DataFrame, order: Sequence[Key], k: int) -> DataFrame:
+    """The first ``k`` rows known to be neither legendary nor mythical, with their overall rank among all ``rows``."""
+    common = rows.where(~F.col("is_legendary") & ~F.col("is_mythical"))
+    return ranks_of(rows, common.orderBy(*sorts(order)).limit(k), order, {"overall_rank": None})
+
+
+def named_rows(rows: DataFrame, names: Sequence[str], order: Sequence[Key], naming: Naming = Naming()) -> DataFrame:
+    """The best row of each name, with its overall rank among all ``rows``."""
+    best = top_k(rows.where(F.col(naming.name).isin(list(names))), [naming.name], sorts(order), 1, "_match")
+    return ranks_of(rows, best.drop("_match"), order, {"overall_rank": None})
+
+
 def first_attackers(fact: DataFrame, dim: DataFrame, k: int, naming: Naming = Naming()) -> DataFrame:
     """The first ``k`` attackers with their overall rank; the others are never ranked."""
     return top_ranked(attacker_rows(fact, dim, naming), attacker_order(naming), k, "overall_rank")
 
 
-def defender_order(naming: Naming = Naming()) -> list[Column]:
+def defender_order(naming: Naming = Naming()) -> list[Key]:
     """By defense plus hp, then id."""
-    return [F.col("combined_defensive_stat").desc_nulls_last(), F.col(naming.id).asc_nulls_first()]
+    return [falling("combined_defensive_stat"), rising(naming.id)]
 
 
 def defender_rows(fact: DataFrame, dim: DataFrame, naming: Naming = Naming()) -> DataFrame:
@@ -197,9 +204,9 @@ def best_movesets(
     )
 
 
-def legendary_order(naming: Naming = Naming()) -> list[Column]:
+def legendary_order(naming: Naming = Naming()) -> list[Key]:
     """By total stats, then id."""
-    return [F.col("total_base_stats").desc_nulls_last(), F.col(naming.id).asc_nulls_first()]
+    return [falling("total_base_stats"), rising(naming.id)]
 
 
 def legendary_rows(fact: DataFrame, dim: DataFrame, naming: Naming = Naming()) -> DataFrame:

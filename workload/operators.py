@@ -10,7 +10,7 @@ from tierloom.functions.derive import any_match, bucket, category, expected_valu
 from tierloom.operators.matrix import axis_values, matrix_row, relation_matrix, relation_pairs
 from tierloom.operators.project import Projection, project
 from tierloom.operators.quality import accepted, duplicate_keys, missing_parents, not_null, relationship, run_checks, unique
-from tierloom.operators.rank import rank_rows, top_k, top_ranked
+from tierloom.operators.rank import falling, rank_rows, ranks_of, rising, sorts, top_k, top_ranked
 from tierloom.operators.reshape import matrix_wide, pivot_max, unpivot_cols
 from tierloom.plans.star import Star
 from tierloom.sources.keyed_table import latest_rows, merge_latest
@@ -113,21 +113,19 @@ _RANKED_DOCUMENTS = f"""
     FROM ({_FLAGGED}) WHERE n_chars > 0"""
 
 
-def _length_order() -> list[Column]:
-    return [F.col("n_chars").desc_nulls_last(), F.col("doc_id").asc_nulls_first()]
+_LENGTH_ORDER = [falling("n_chars"), rising("doc_id")]
 
 
-def _ranked_documents(spark: SparkSession, directory: str) -> DataFrame:
-    rows = _flagged(spark, directory).where(F.col("n_chars") > 0).select(
+def _tiered_documents(spark: SparkSession, directory: str) -> DataFrame:
+    return _flagged(spark, directory).where(F.col("n_chars") > 0).select(
         "doc_id", "n_chars", "toxic", "good", tier(F.col("n_chars"), _LENGTH_TIERS).alias("tier")
     )
-    ranks = {"overall_rank": [], "rank_within_toxic": ["toxic"]}
-    return rank_rows(rows, _length_order(), ranks)
 
 
 @query("tier_rank_global", _RANKED_DOCUMENTS)
 def tier_rank_global(spark: SparkSession, directory: str) -> DataFrame:
-    return _ranked_documents(spark, directory)
+    ranks = {"overall_rank": [], "rank_within_toxic": ["toxic"]}
+    return rank_rows(_tiered_documents(spark, directory), _LENGTH_ORDER, ranks)
 
 
 _RANKED_LINES = """
@@ -147,7 +145,7 @@ def line_rank_distributed(spark: SparkSession, directory: str) -> DataFrame:
     """The largest table, ranked by a column of only fifty values with ties settled by the rest."""
     shipped = F.date_format("l_shipdate", "yyyy-MM-dd").alias("shipped")
     lines = read_star(spark, directory, "lineitem")
-    order = [F.col(column).desc_nulls_last() for column in _LINE_ORDER]
+    order = [falling(column) for column in _LINE_ORDER]
     ranks = {"overall_rank": [], "rank_within_flag": ["l_returnflag"]}
     ranked = rank_rows(lines, order, ranks)
     return ranked.select(
@@ -179,7 +177,7 @@ def combined_rank(spark: SparkSession, directory: str) -> DataFrame:
         .withColumn("combined", combined)
         .withColumn("tier", tier(F.col("combined"), ((95, "S"), (80, "A"), (65, "B"))))
     )
-    order = [F.col("combined").desc_nulls_last(), F.col("p_partkey").asc_nulls_first()]
+    order = [falling("combined"), rising("p_partkey")]
     return rank_rows(rows, order, {"overall_rank": [], "rank_within_type": ["p_type"]})
 
 
@@ -225,7 +223,7 @@ def rank_by_expr(spark: SparkSession, directory: str) -> DataFrame:
     rows = orders.where(pending | (F.col("o_orderstatus") == "O")).select(
         "o_orderkey", "o_orderstatus", "o_totalprice"
     )
-    order = [F.col("o_totalprice").desc_nulls_last(), F.col("o_orderkey").asc_nulls_first()]
+    order = [falling("o_totalprice"), rising("o_orderkey")]
     ranks = {"overall_rank": [], "rank_within_tier": [F.when(pending, "Pending").otherwise("Open")]}
     return rank_rows(rows, order, ranks)
 
@@ -238,7 +236,7 @@ def rank_by_expr(spark: SparkSession, directory: str) -> DataFrame:
 )
 def rank_cutoff(spark: SparkSession, directory: str) -> DataFrame:
     documents = read_star(spark, directory, "documents").select("doc_id", "n_chars")
-    return top_ranked(documents, _length_order(), 20, "overall_rank")
+    return top_ranked(documents, _LENGTH_ORDER, 20, "overall_rank")
 
 
 @query(
@@ -246,8 +244,10 @@ def rank_cutoff(spark: SparkSession, directory: str) -> DataFrame:
     f"SELECT * FROM ({_RANKED_DOCUMENTS}) WHERE NOT toxic AND good ORDER BY overall_rank LIMIT 25",
 )
 def topn_optional_filter(spark: SparkSession, directory: str) -> DataFrame:
-    ranked = _ranked_documents(spark, directory)
-    return ranked.where(~F.col("toxic") & F.col("good")).orderBy("overall_rank").limit(25)
+    """Both ranks of the 25 rows, counted over all rows; nothing else is ranked."""
+    rows = _tiered_documents(spark, directory)
+    chosen = rows.where(~F.col("toxic") & F.col("good")).orderBy(*sorts(_LENGTH_ORDER)).limit(25)
+    return ranks_of(rows, chosen, _LENGTH_ORDER, {"overall_rank": None, "rank_within_toxic": ~F.col("toxic")})
 
 
 @query(
@@ -475,7 +475,7 @@ def category_case(spark: SparkSession, directory: str) -> DataFrame:
 )
 def entity_vector(spark: SparkSession, directory: str) -> DataFrame:
     """Closed value vector, in hundredths, of the five users with the largest totals."""
-    order = [F.col("total").desc_nulls_last(), F.col("user_id").asc_nulls_first()]
+    order = [falling("total"), rising("user_id")]
     leading = top_ranked(pivot_event_max(spark, directory), order, 5, "place")
     cents = F.transform(F.array(*EVENT_TYPES, EVENT_TYPES[0]), lambda v: F.round(v * 100).cast("bigint").cast("string"))
     return leading.select("user_id", F.array_join(cents, ",").alias("vector"))

@@ -372,7 +372,9 @@ def report_app_attackers(spark: SparkSession, directory: str) -> DataFrame:
         ORDER BY overall_rank LIMIT 100"""),
 )
 def report_app_attackers_common(spark: SparkSession, directory: str) -> DataFrame:
-    return reports.app_attackers(Pipeline(spark, directory).attackers(), top=100, with_rare=False)
+    """The 100 rows' ranks are counted over all attackers; the mart is not ranked."""
+    first = marts.first_common(Pipeline(spark, directory).attacker_rows(), marts.attacker_order(), 100)
+    return reports.app_attackers(first, top=100, with_rare=False)
 
 
 @query("report_app_defenders", star_sql(f"SELECT {_DEFENDER} FROM defenders ORDER BY overall_rank LIMIT 25"))
@@ -387,7 +389,8 @@ def report_app_defenders(spark: SparkSession, directory: str) -> DataFrame:
         ORDER BY overall_rank LIMIT 10"""),
 )
 def report_app_defenders_common(spark: SparkSession, directory: str) -> DataFrame:
-    return reports.app_defenders(Pipeline(spark, directory).defenders(), top=10, with_rare=False)
+    first = marts.first_common(Pipeline(spark, directory).defender_rows(), marts.defender_order(), 10)
+    return reports.app_defenders(first, top=10, with_rare=False)
 
 
 _LEGENDARY = """overall_rank, entity_name, primary_type, secondary_type, rarity_tier, generation,
@@ -478,7 +481,8 @@ _COMPARED = [f"Customer#{number:09d}" for number in (1, 2, 3, 5, 8)]
     star_sql(f"SELECT entity_name, {_VECTOR} FROM legendaries WHERE entity_name IN {tuple(_COMPARED)}"),
 )
 def report_compare_named(spark: SparkSession, directory: str) -> DataFrame:
-    return _vectors(reports.compare(Pipeline(spark, directory).legendaries(), _COMPARED))
+    named = marts.named_rows(Pipeline(spark, directory).legendary_rows(), _COMPARED, marts.legendary_order())
+    return _vectors(reports.compare(named, _COMPARED))
 
 
 _NATIONS = [f"NATION_{number}" for number in range(25)]
