@@ -11,7 +11,7 @@ DDL = "id bigint, part string, value bigint"
 
 @pytest.fixture
 def table(spark, tmp_path):
-    return KeyedTable(spark, str(tmp_path / "t"), T.StructType.fromDDL(DDL), ["id", "part"], compact_after=2)
+    return KeyedTable(spark, str(tmp_path / "t"), T.StructType.fromDDL(DDL), ["id", "part"], buckets=4)
 
 
 def batch(spark, rows):
@@ -31,56 +31,52 @@ def test_empty_table(table):
 
 
 def test_last_write_wins_within_and_across_batches(spark, table):
-    assert put(spark, table, [(1, "a", 1), (2, "a", 2), (1, "a", 3)]) == 2
+    assert put(spark, table, [(1, "a", 1), (2, "a", 2), (1, "a", 3)]) == (2, 2, None)
     assert content(table) == [(1, "a", 3), (2, "a", 2)]
-    assert put(spark, table, [(2, "a", 9), (3, "b", 4)]) == 2
+    assert put(spark, table, [(2, "a", 9), (3, "b", 4)], greatest="value") == (2, 2, 9)
     assert content(table) == [(1, "a", 3), (2, "a", 9), (3, "b", 4)]
 
 
 def test_same_batch_twice_changes_nothing(spark, table):
     rows = [(1, "a", 1), (2, "b", 2)]
     put(spark, table, rows)
-    before = content(table)
-    put(spark, table, rows)
-    assert content(table) == before
+    before, version = content(table), table.version()
+    assert put(spark, table, rows) == (2, 0, None)
+    assert put(spark, table, [*rows, (1, "a", None)]) == (2, 1, None)  # a value that went is a change
+    assert put(spark, table, rows) == (2, 1, None)
+    assert content(table) == before and table.version() == version + 2
 
 
 def test_token_is_applied_once(spark, table):
     put(spark, table, [(1, "a", 1)], token="s/0")
     put(spark, table, [(1, "a", 2)], token="s/1")
-    assert put(spark, table, [(1, "a", 1)], token="s/0") == 0
+    assert put(spark, table, [(1, "a", 1)], token="s/0") == (0, 0, None)
+    assert put(spark, table, [(1, "a", 2)], token="s/2").written == 0
+    assert put(spark, table, [(1, "a", 7)], token="s/2").rows == 0
     assert content(table) == [(1, "a", 2)]
 
 
-def test_unfinished_batch_is_never_seen_and_is_replaced(spark, table, monkeypatch):
+def test_unfinished_batch_is_never_seen_and_is_replaced(spark, table, tmp_path):
+    """A folder without the file that ends it is what a writer that died leaves."""
     put(spark, table, [(1, "a", 1)])
-    with monkeypatch.context() as patch:
-        patch.setattr(KeyedTable, "_commit", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
-        with pytest.raises(RuntimeError, match="lost"):
-            put(spark, table, [(1, "a", 5), (7, "z", 7)])
-    assert content(table) == [(1, "a", 1)]
+    lost = tmp_path / "t" / "v1"
+    for bucket in range(4):
+        spark.createDataFrame([(1, "a", 5), (7, "z", 7)], DDL).write.parquet(str(lost / f"_bucket={bucket}"))
+    assert content(table) == [(1, "a", 1)] and table.version() == 0
     put(spark, table, [(2, "a", 2)])
-    assert content(table) == [(1, "a", 1), (2, "a", 2)]
+    assert content(table) == [(1, "a", 1), (2, "a", 2)] and table.version() == 1
 
 
-def test_compaction_keeps_rows(spark, table, tmp_path):
-    """The first batch is the base, the third and the fifth lead to new ones, in two folders by turns."""
-    expected = {}
-    bases = []
-    for number in range(6):
-        rows = [(i, "a", number * 10 + i) for i in range(number, number + 3)]
-        put(spark, table, rows)
-        expected |= {row[0]: row for row in rows}
-        bases.append(table._state().bases)
-    assert bases == [1, 1, 2, 2, 3, 3]
-    assert content(table) == sorted(expected.values(), key=str)
-    assert sorted(p.name for p in (tmp_path / "t" / "base").iterdir()) == ["0", "1"]
-    assert table.version() == 5
+def test_only_buckets_with_changes_are_written(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), T.StructType.fromDDL(DDL), ["id", "part"], unwatched=["value"], buckets=8)
+    put(spark, table, [(i, "a", i) for i in range(200)])
+    assert put(spark, table, [(5, "a", 50), (500, "a", 1)]) == (2, 1, None)  # an unwatched column alone is no change
+    assert len([p for p in (tmp_path / "t" / "v1").iterdir() if p.name.startswith("_bucket")]) == 1
+    assert len(content(table)) == 201
 
 
 def test_null_in_a_key_is_a_value(spark, table):
     put(spark, table, [(None, "a", 1), (1, None, 2)])
-    table.compact()
     put(spark, table, [(None, "a", 5)])
     assert content(table) == [(1, None, 2), (None, "a", 5)]
 
@@ -102,10 +98,13 @@ def test_latest_rows_keeps_one_per_key(spark):
 
 
 def test_files_stay_few(spark, table, tmp_path):
-    """However many batches there were, only those since the base before last are left; old tokens still count."""
-    for number in range(9):
+    """However many batches there were, a bucket is there twice at most; old tokens still count."""
+    reader = None
+    for number in range(7):
         put(spark, table, [(1, "a", number), (number, "b", number)], token=f"s/{number}")
-    assert len(list((tmp_path / "t" / "batches").iterdir())) <= 4
-    assert len(list((tmp_path / "t" / "commits").iterdir())) <= 6
-    assert put(spark, table, [(1, "a", 100)], token="s/3") == 0
-    assert content(table) == sorted([(1, "a", 8), *((n, "b", n) for n in range(9))], key=str)
+        assert reader is None or reader.count() > 0  # a reader keeps its version until the one after next
+        reader = table.read()
+    folders = [bucket for version in (tmp_path / "t").iterdir() for bucket in version.iterdir() if bucket.name.startswith("_bucket")]
+    assert len(folders) <= 8
+    assert put(spark, table, [(1, "a", 100)], token="s/3").rows == 0
+    assert content(table) == sorted([(1, "a", 6), *((n, "b", n) for n in range(7))], key=str)

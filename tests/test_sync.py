@@ -33,8 +33,8 @@ def test_batch_sync(store, land):
     landing = land_all(land)
     os.utime(f"{landing}/entity/earlier.json", (1, 1))
     counts = sync(store, landing)
-    assert counts["entity"] == len(ENTITIES) and counts["moves"] == len(MOVES) and counts["species"] == len(SPECIES)
-    assert counts["entity_abilities"] == 2
+    assert counts["entity"].rows == len(ENTITIES) and counts["moves"].rows == len(MOVES) and counts["species"].rows == len(SPECIES)
+    assert counts["entity_abilities"].rows == counts["entity_abilities"].written == 2
     assert [store.cursor(s) for s in ("entity", "move", "species", "type")] == [12, 29, 5, 0]
     first = contents(store)
     # Of one key's documents the last of the newest file wins.
@@ -43,7 +43,7 @@ def test_batch_sync(store, land):
 
     # Nothing new past the cursors; relations are read in full and stay the same.
     counts = sync(store, landing)
-    assert counts["entity"] == counts["moves"] == 0 and counts["types"] == 8
+    assert counts["entity"].rows == counts["moves"].rows == 0 and counts["types"][:2] == (8, 0)
     assert contents(store) == first
     assert store.cursor("entity") == 12
 
@@ -52,7 +52,10 @@ def test_batch_sync(store, land):
     land("entity", new, "second")
     land("type", [relations(1, "fire", double_damage_to=["air"])], "second")
     counts = sync(store, landing)
-    assert counts["entity"] == 1 and counts["entity_stats"] == 6
+    assert counts["entity"][:2] == (1, 1) and counts["entity_stats"][:2] == (6, 6)
+    assert counts["types"].rows == 9 and counts["types"].written == 1
+    kept = {(r["source"], r["pass"], r["table"]): (r["rows"], r["written"]) for r in store.counts().collect()}
+    assert kept["type", 2, "types"] == (8, 0) and kept["entity", 3, "entity"] == (1, 1) and len(kept) == 24
     names = {r["id"]: r["name"] for r in table(store, "entity").collect()}
     assert names[13] == "moss" and names[1] == "ember"
     hp = table(store, "entity_stats").where("entity_id = 13 AND stat_name = 'hp'").first()
@@ -75,6 +78,8 @@ def test_stream_sync(store, land):
     sync_stream(store, landing)
     assert {name: store.table(name).version() for name in streamed} == versions
 
+    assert {(r["source"], r["pass"]) for r in store.counts().collect()} == {(f"{s} stream", 1) for s in ("entity", "move", "species", "type")}
+
     # A changed document comes through whatever its id; other rows stay.
     # With one file per batch the older file goes first.
     land("entity", [entity(1, "changed", {"hp": 7}, species=2)], "second")

@@ -87,12 +87,54 @@ def _problem(check: Check, tables: Mapping[str, DataFrame]) -> bool:
     return any(table not in tables or name not in tables[table].columns for table, name in needed)
 
 
+def key_failures(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """Results of ``unique`` and ``relationships`` checks, from one grouped pass.
+
+    Every key column's rows go in once, tagged with the key they belong to: the keys that must be unique or be met as
+    the parents' side, those that refer to them as a child's. Rows are counted by key in the map tasks already, so a
+    hot key is one row a task. A key with more than one parent row is a duplicate; the rows of one with none are orphans.
+    """
+    families: dict[tuple[str, tuple[str, ...]], list[Check]] = {}
+    for check in checks:
+        parent = (check.to[0], (check.to[1],)) if check.to else (check.table, check.columns)
+        children = families.setdefault(parent, [])
+        if check.to:
+            children.append(check)
+    most = max(map(len, families.values()))
+    names = ["parents", *(f"child{i}" for i in range(most))]
+
+    def side(family: int, table: str, columns: Sequence[str], name: str) -> DataFrame:
+        key = F.array(*[F.col(column).cast("string") for column in columns])
+        ones = [F.lit(int(name == own)).cast("bigint").alias(own) for own in names]
+        return tables[table].select(*columns).dropna("any").select(F.lit(family).alias("family"), key.alias("key"), *ones)
+
+    sides = [
+        side(family, table, columns, name)
+        for family, ((table_, columns_), children) in enumerate(families.items())
+        for table, columns, name in [(table_, columns_, "parents"), *((c.table, c.columns, f"child{i}") for i, c in enumerate(children))]
+    ]
+    by_key = reduce(DataFrame.unionByName, sides).groupBy("family", "key").agg(*[F.sum(name).alias(name) for name in names])
+    orphans = [F.sum(F.when(F.col("parents") == 0, F.col(name)).otherwise(0)).alias(name) for name in names[1:]]
+    counts = by_key.groupBy("family").agg(F.count_if(F.col("parents") > 1).alias("parents"), *orphans)
+
+    results = []
+    for check in checks:
+        parent = (check.to[0], (check.to[1],)) if check.to else (check.table, check.columns)
+        name = f"child{families[parent].index(check)}" if check.to else "parents"
+        # A family without any key has no row, hence the sum over all.
+        failures = F.coalesce(F.sum(F.when(F.col("family") == list(families).index(parent), F.col(name))), F.lit(0))
+        results.append(failures.alias(f"r{len(results)}"))
+    rows = [_row(check, F.col(f"r{i}"), _verdict(F.col(f"r{i}"))) for i, check in enumerate(checks)]
+    return counts.agg(*results).select(F.inline(F.array(*rows)))
+
+
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """One row per check: (table, column, check, failures, status).
 
-    All row-wise checks of a table share one scan of it. A check on a table or
-    column that does not exist gets status ``error`` and no count. Failures are
-    rows, except for ``unique``, where they are keys.
+    All row-wise checks of a table share one scan of it, and all checks of keys
+    one grouped pass over all tables. A check on a table or column that does
+    not exist gets status ``error`` and no count. Failures are rows, except for
+    ``unique``, where they are keys.
     """
     spark = next(iter(tables.values())).sparkSession
     broken = [check for check in checks if _problem(check, tables)]
@@ -108,17 +150,9 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Data
         rows = [_row(check, F.col(f"c{i}"), _verdict(F.col(f"c{i}"))) for i, check in enumerate(group)]
         parts.append(counts.select(F.inline(F.array(*rows))))
 
-    for check in sound:
-        source = tables[check.table]
-        if check.kind == "unique":
-            counted = duplicate_keys(source, check.columns).agg(F.count(F.lit(1)).alias("n"))
-        elif check.kind == "relationships":
-            parent, column = check.to
-            orphans = missing_parents(source, check.columns[0], tables[parent], column)
-            counted = orphans.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n"))
-        else:
-            continue
-        parts.append(counted.select(F.inline(F.array(_row(check, F.col("n"), _verdict(F.col("n")))))))
+    keyed = [check for check in sound if check.kind in ("unique", "relationships")]
+    if keyed:
+        parts.append(key_failures(tables, keyed))
 
     if broken:
         rows = [(check.table, ", ".join(check.columns), check.kind, None, "error") for check in broken]

@@ -1,33 +1,41 @@
 """Parquet table with a key, changed by upserts.
 
-The first batch becomes the table's base. A later upsert writes only its own
-batch, one row per key, and then one small commit file; the stored table is not
-rewritten. Readers put the committed batches over the last full base. ``compact`` writes a new base, which happens
-by itself every few batches, so its cost is spread over them; bases take turns
-in two folders, so a reader keeps its base until the one after next. What lies
-before the base before last serves no reader any more and is removed, so the
-files of a table stay few however many batches it has had. A batch whose
-writer died has no commit file: readers never see it, and the next batch
-replaces what it left behind.
+Rows lie in buckets, by a hash of their key. An upsert writes the batch down
+once, one row per key, finds which of its rows differ from the stored ones by a
+digest of their values, and writes the buckets that have such rows anew, as
+one more version folder, ``v<number>/_bucket=<number>``; the file that Spark writes last makes it
+one. Readers take each bucket from its newest version. A bucket's version before the newest stays for readers that
+began before; older ones go. A batch whose writer died left no complete folder: readers never
+see it, and it is given again.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
+from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierloom.operators.rank import top_k
-from tierloom.sources.storage import file_system
+from tierloom.sources.storage import file_system, release, scratch_path
 
-# One row per commit of a batch or a base, with the base's number, and one row per source of tokens it knows.
-_COMMIT = "kind string, version bigint, number bigint, source string, last bigint"
+#: Buckets of a table. A bucket is rewritten as a whole, so there should be as many as keep one in a task's memory.
+BUCKETS = 16
+_VERSION = re.compile(r"v(\d+)(?:~(.+)~(\d+))?")
+
+
+class Delivered(NamedTuple):
+    """What an upsert took in: keys of the batch, rows of them that were new or changed, greatest value asked for."""
+
+    rows: int
+    written: int
+    greatest: int | None = None
 
 
 def latest_rows(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -46,124 +54,133 @@ def merge_latest(base: DataFrame, changes: DataFrame, key: Sequence[str]) -> Dat
     return base.join(keys, same, "left_anti").unionByName(changes)
 
 
-def _token(token: str) -> tuple[str, int]:
-    """Source and number of a token, ``source/number``; the numbers of a source rise."""
-    source, _, number = token.rpartition("/")
-    return source, int(number)
-
-
 @dataclass(frozen=True)
-class _State:
-    """Version of the last base, number of bases so far, batches after the last one, last token of each source."""
-
-    base: int = -1
-    bases: int = 0
-    batches: list[int] = field(default_factory=list)
-    tokens: dict[str, int] = field(default_factory=dict)
+class _Version:
+    """A complete version folder; the batch's source and number if it had a token."""
 
-    @property
-    def newest(self) -> int:
-        return max([self.base, *self.batches])
-
-    def used(self, token: str | None) -> bool:
-        source, number = _token(token) if token else ("", -1)
-        return bool(token) and self.tokens.get(source, -1) >= number
+    number: int
+    source: str | None
+    last: int
+    path: str
 
 
 class KeyedTable:
     """One writer at a time, any number of readers."""
 
     def __init__(
-        self, spark: SparkSession, path: str, schema: T.StructType, key: Sequence[str], compact_after: int = 16
+        self, spark: SparkSession, path: str, schema: T.StructType, key: Sequence[str], unwatched: Sequence[str] = (), buckets: int = BUCKETS
     ):
+        """A change in ``unwatched`` columns alone doesn't make a row a changed one."""
         self._spark = spark
         self._path = path.rstrip("/")
         self._schema = schema
         self._key = list(key)
-        self._compact_after = compact_after
-
-    def _state(self) -> _State:
-        """What the commit files say; there are at most about two compactions' worth of them."""
-        try:
-            reader = self._spark.read.schema(_COMMIT).option("recursiveFileLookup", "true")
-            commits = reader.parquet(f"{self._path}/commits").collect()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return _State()
-        base, number = max(((row.version, row.number) for row in commits if row.kind == "base"), default=(-1, -1))
-        batches = sorted(row.version for row in commits if row.kind == "batch" and row.version > base)
-        tokens: dict[str, int] = {}
-        for row in commits:
-            if row.source is not None:
-                tokens[row.source] = max(row.last, tokens.get(row.source, -1))
-        return _State(base, number + 1, batches, tokens)
-
-    def _commit(self, kind: str, version: int, number: int | None = None, tokens: dict[str, int] | None = None) -> None:
-        """The commit is one file, so it is there or it is not."""
-        rows = [(kind, version, number, None, None)]
-        rows += [("token", version, None, source, last) for source, last in (tokens or {}).items()]
-        rows = self._spark.createDataFrame(rows, _COMMIT)
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{self._path}/commits/{kind}-{version}")
-
-    def _tidy(self, before: int) -> None:
-        """Remove batches that the base of version ``before`` holds, their commits, and bases before it."""
-        for folder, prefix, kept in (("commits", "batch-", before + 1), ("commits", "base-", before), ("batches", "_batch=", before + 1)):
-            files, place = file_system(self._spark, f"{self._path}/{folder}")
-            for entry in files.listStatus(place) if files.exists(place) else ():
-                name = entry.getPath().getName()
-                if name.startswith(prefix) and int(name.removeprefix(prefix)) < kept:
-                    files.delete(entry.getPath(), True)
-
-    def _slot(self, number: int) -> str:
-        return f"{self._path}/base/{number % 2}"
+        self._buckets = buckets
+        hashed = F.xxhash64(*[F.col(f"`{name}`") for name in key])
+        self._bucket = F.pmod(hashed, F.lit(buckets)).cast("int").alias("_bucket")
+        values = [F.col(f"`{name}`") for name in schema.fieldNames() if name not in {*key, *unwatched}]
+        self._digest = F.sha2(F.to_json(F.struct(F.lit(0), *values), {"ignoreNullFields": "false"}), 256).alias("_digest")
+
+    def _entries(self, path: str) -> list[str]:
+        files, place = file_system(self._spark, path)
+        return [entry.getPath().getName() for entry in files.listStatus(place)] if files.exists(place) else []
+
+    def _exists(self, path: str) -> bool:
+        files, place = file_system(self._spark, path)
+        return files.exists(place)
+
+    def _versions(self) -> list[_Version]:
+        """Complete versions, oldest first."""
+        found = []
+        for name in self._entries(self._path):
+            match = _VERSION.fullmatch(name)
+            path = f"{self._path}/{name}"
+            if match and self._exists(f"{path}/_SUCCESS"):
+                found.append(_Version(int(match[1]), match[2], int(match[3] or -1), path))
+        return sorted(found, key=lambda version: version.number)
+
+    def _places(self, versions: Sequence[_Version]) -> dict[int, list[str]]:
+        """Folders of each bucket, oldest first."""
+        places: dict[int, list[str]] = {}
+        for version in versions:
+            for name in self._entries(version.path):
+                if name.startswith("_bucket="):
+                    places.setdefault(int(name.removeprefix("_bucket=")), []).append(f"{version.path}/{name}")
+        return places
 
     def version(self) -> int:
-        """Newest committed batch, -1 for a table never written."""
-        return self._state().newest
+        """Number of the newest version, -1 for a table never written."""
+        return max((version.number for version in self._versions()), default=-1)
 
     def read(self) -> DataFrame:
         """Current rows, one per key."""
-        return self._read(self._state())
+        return self._read(self._places(self._versions()))
 
-    def _read(self, state: _State) -> DataFrame:
-        if not state.bases:
+    def _read(self, places: dict[int, list[str]]) -> DataFrame:
+        if not places:
             return self._spark.createDataFrame([], self._schema)
-        stored = self._spark.read.schema(self._schema).parquet(self._slot(state.bases - 1))
-        if not state.batches:
-            return stored
-        schema = T.StructType([*self._schema.fields, T.StructField("_batch", T.LongType())])
-        paths = [f"{self._path}/batches/_batch={version}" for version in state.batches]
-        written = self._spark.read.schema(schema).option("basePath", f"{self._path}/batches").parquet(*paths)
-        changes = latest_rows(written, self._key, [F.col("_batch").desc()]).drop("_batch")
-        return merge_latest(stored, changes, self._key)
-
-    def upsert(self, batch: DataFrame, order: Sequence[Column], token: str | None = None) -> int:
-        """Replace or add the batch's rows by key; returns the number of keys delivered.
+        return self._spark.read.schema(self._schema).parquet(*[paths[-1] for paths in places.values()])
+
+    def upsert(self, batch: DataFrame, order: Sequence[Column], token: str | None = None, greatest: str | None = None) -> Delivered:
+        """Replace or add the batch's rows by key, where they differ from what is stored.
 
         Of several rows with one key the first under ``order`` counts. A batch
         with a ``token`` (``source/number``) is applied once: giving it, or an
-        earlier one of its source, again changes nothing.
+        earlier one of its source, again changes nothing. The counts, and the
+        greatest value of the column ``greatest``, are observed as the rows are written.
         """
-        state = self._state()
-        if state.used(token):
-            return 0
-        version = state.newest + 1
-        delivered = Observation()
-        rows = latest_rows(batch, self._key, order).select(*[f"`{name}`" for name in self._schema.fieldNames()])
-        rows = rows.observe(delivered, F.count(F.lit(1)).alias("rows"))
-        kind, path = ("batch", f"{self._path}/batches/_batch={version}") if state.bases else ("base", self._slot(0))
-        rows.write.mode("overwrite").parquet(path)
-        tokens = dict([_token(token)]) if token else {}
-        self._commit(kind, version, None if state.bases else 0, tokens)
-        if len(state.batches) + 1 >= self._compact_after:
-            self.compact()
-        return delivered.get["rows"]
-
-    def compact(self) -> None:
-        """Write the current rows as a new base, so that reading needs no merge."""
-        state = self._state()
-        if state.batches:
-            self._read(state).write.mode("overwrite").parquet(self._slot(state.bases))
-            self._commit("base", state.newest, state.bases, state.tokens)
-            self._tidy(state.base)
+        source, _, number = (token or "").rpartition("/")
+        versions = self._versions()
+        if token and any(version.source == source and version.last >= int(number) for version in versions):
+            return Delivered(0, 0)
+        columns = [f"`{name}`" for name in self._schema.fieldNames()]
+        seen = Observation()
+        most = F.max(greatest if greatest else F.lit(None).cast("bigint"))
+        rows = latest_rows(batch, self._key, order).select(*columns, self._bucket, self._digest)
+        scratch = scratch_path(self._spark)
+        rows.observe(seen, F.count(F.lit(1)).alias("rows"), most.alias("most")).write.parquet(scratch)
+        delivered = self._spark.read.schema(rows.schema).parquet(scratch)
+        if not seen.get["rows"]:
+            release(self._spark, scratch)
+            return Delivered(0, 0)
+        try:
+            name = f"v{max((version.number for version in versions), default=-1) + 1}"
+            written = self._apply(delivered, versions, f"{name}~{source}~{number}" if token else name, bool(token))
+        finally:
+            release(self._spark, scratch)
+        return Delivered(seen.get["rows"], written, seen.get["most"])
+
+    def _apply(self, delivered: DataFrame, versions: Sequence[_Version], name: str, marked: bool) -> int:
+        """Write the buckets with changed rows as the version ``name``; returns the number of changed rows."""
+        path, places = f"{self._path}/{name}", self._places(versions)
+        met = set(places)
+        if len(met) > 1:
+            met &= {row[0] for row in delivered.select("_bucket").distinct().collect()}  # the buckets at most
+        known = self._read({bucket: places[bucket] for bucket in met})
+        names = [f"`{column}`" for column in self._key]
+        known = known.select(*[F.col(column).alias(f"_known{i}") for i, column in enumerate(names)], self._digest.alias("_as"))
+        same = [F.col(column).eqNullSafe(F.col(f"_known{i}")) for i, column in enumerate(names)]
+        changed = delivered.join(known, reduce(and_, same, F.col("_digest") == F.col("_as")), "left_anti")
+        counts = {row[0]: row[1] for row in changed.groupBy("_bucket").count().collect()}
+        if counts:
+            old = self._read({bucket: paths for bucket, paths in places.items() if bucket in counts})
+            new = merge_latest(old, changed.select(old.columns), self._key).select("*", self._bucket)
+            new.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(path)
+        elif marked:
+            self._spark.createDataFrame([], self._schema).write.mode("overwrite").parquet(path)  # for its token
+        if counts or marked:
+            self._tidy()
+        return sum(counts.values())
+
+    def _tidy(self) -> None:
+        """Remove what two newer versions of a bucket stand for, and folders that hold no bucket and no source's last token."""
+        versions = self._versions()
+        places = self._places(versions)
+        for paths in places.values():
+            for path in paths[:-2]:
+                release(self._spark, path)
+        used = {path.rpartition("/")[0] for paths in places.values() for path in paths[-2:]}
+        last = {version.source: version.path for version in versions}
+        for version in versions[:-1]:
+            if version.path not in used and last[version.source] != version.path:
+                release(self._spark, version.path)

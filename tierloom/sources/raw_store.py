@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierloom.naming import Naming
-from tierloom.schemas import raw_tables
-from tierloom.sources.keyed_table import KeyedTable
+from tierloom.schemas import SYNCED_AT, raw_tables
+from tierloom.sources.keyed_table import Delivered, KeyedTable
 
 _CURSOR = "source string, last_id bigint"
-_COUNTS = "pass bigint, table string, rows bigint"
+_COUNTS = "source string, pass bigint, table string, rows bigint, written bigint"
 
 
 class RawStore:
@@ -20,12 +20,12 @@ class RawStore:
         self.path = path.rstrip("/")
         self.naming = naming
         self._tables = {
-            name: KeyedTable(spark, f"{self.path}/raw/{name}", table.schema, table.key)
+            name: KeyedTable(spark, f"{self.path}/raw/{name}", table.schema, table.key, unwatched=[SYNCED_AT])
             for name, table in raw_tables(naming).items()
         }
         counts = T.StructType.fromDDL(_COUNTS)
-        self._counts = KeyedTable(spark, f"{self.path}/counts", counts, ["pass", "table"])
-        self._cursors = KeyedTable(spark, f"{self.path}/cursors", T.StructType.fromDDL(_CURSOR), ["source"])
+        self._counts = KeyedTable(spark, f"{self.path}/counts", counts, ["source", "pass", "table"], buckets=1)
+        self._cursors = KeyedTable(spark, f"{self.path}/cursors", T.StructType.fromDDL(_CURSOR), ["source"], buckets=1)
 
     def table(self, name: str) -> KeyedTable:
         return self._tables[name]
@@ -49,11 +49,18 @@ class RawStore:
         return self._cursors.read()
 
     def counts(self) -> DataFrame:
-        """(pass, table, rows): the keys that each pass delivered to each table; passes count from 1."""
+        """(source, pass, table, rows, written): keys delivered and rows changed by each pass over a source, from 1 on.
+
+        For a stream a pass is a batch of it.
+        """
         return self._counts.read()
 
-    def record(self, counts: dict[str, int]) -> None:
-        """Keep the counts of a finished pass."""
-        number = self._counts.version() + 2
-        rows = self.spark.createDataFrame([(number, name, count) for name, count in counts.items()], _COUNTS)
-        self._counts.upsert(rows, [F.col("rows").desc()])
+    def record(self, counts: dict[str, dict[str, Delivered]], number: int | None = None) -> None:
+        """Keep the counts of a finished pass, by source and table."""
+        known = self._counts.read().where(F.col("source").isin(list(counts)))
+        if number is None:
+            number = (known.agg(F.max("pass")).first()[0] or 0) + 1
+        rows = [(source, number, name, count.rows, count.written) for source, own in counts.items() for name, count in own.items()]
+        # A batch that is given again delivers nothing; what was counted the first time stays.
+        both = self.spark.createDataFrame(rows, _COUNTS).unionByName(known.where(F.col("pass") == number))
+        self._counts.upsert(both, [F.col("rows").desc(), F.col("written").desc()])

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tierloom.naming import Naming
 from tierloom.schemas import ENTITY_DOCUMENT, MOVE_DOCUMENT, SPECIES_DOCUMENT, SYNCED_AT, TYPE_DOCUMENT
 from tierloom.sources import documents
+from tierloom.sources.keyed_table import Delivered
 from tierloom.sources.raw_store import RawStore
 
 log = logging.getLogger(__name__)
@@ -49,18 +50,19 @@ def sources(naming: Naming = Naming()) -> list[Source]:
     ]
 
 
-def take_in(store: RawStore, source: Source, docs: DataFrame, token: str | None = None) -> dict[str, int]:
-    """Flatten documents and upsert every table they feed; returns keys delivered per table.
+def take_in(store: RawStore, source: Source, docs: DataFrame, token: str | None = None) -> dict[str, Delivered]:
+    """Flatten documents and upsert every table they feed; returns what was delivered to each.
 
-    Tables commit one by one. After a failure the same documents are given
+    Tables are done one by one. After a failure the same documents are given
     again: with a token, tables already done skip them; without one, they
-    write the same rows over themselves.
+    find their rows unchanged.
     """
 
-    def upsert(name: str) -> int:
+    def upsert(name: str) -> Delivered:
         rows = source.tables[name](docs).withColumn(SYNCED_AT, F.current_timestamp())
-        count = store.table(name).upsert(rows, [F.col(documents.SEQUENCE).desc()], token)
-        log.info("upserted %d rows into %s", count, name)
+        greatest = "id" if "id" in rows.columns else None
+        count = store.table(name).upsert(rows, [F.col(documents.SEQUENCE).desc()], token, greatest)
+        log.info("upserted %d rows into %s, %d of them new or changed", count.rows, name, count.written)
         return count
 
     # The tables do not depend on each other, so their jobs run side by side.
@@ -68,13 +70,14 @@ def take_in(store: RawStore, source: Source, docs: DataFrame, token: str | None
         return dict(zip(source.tables, pool.map(upsert, source.tables)))
 
 
-def sync(store: RawStore, landing: str) -> dict[str, int]:
-    """One pass over the landing folders, past each source's cursor; returns keys delivered per table.
+def sync(store: RawStore, landing: str) -> dict[str, Delivered]:
+    """One pass over the landing folders, past each source's cursor; returns what was delivered to each table.
 
-    A cursor moves after its tables are done, so a pass that dies is repeated,
-    never skipped.
+    Counts and the new cursor are observed as the rows are written. A cursor
+    moves after its tables are done, so a pass that dies is repeated, never
+    skipped.
     """
-    counts: dict[str, int] = {}
+    counts: dict[str, dict[str, Delivered]] = {}
     for source in sources(store.naming):
         docs = documents.read_documents(store.spark, f"{landing}/{source.folder}", source.schema)
         last = store.cursor(source.folder, None) if source.by_cursor else None
@@ -83,17 +86,15 @@ def sync(store: RawStore, landing: str) -> dict[str, int]:
         # Parsed once for all tables; lost pieces are parsed again from the files.
         docs = docs.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            found = docs.agg(F.count(F.lit(1)).alias("documents"), F.max("id").alias("newest")).first()
-            if not found["documents"]:
-                counts |= dict.fromkeys(source.tables, 0)
-                continue
-            counts |= take_in(store, source, docs)
-            if source.by_cursor:
-                store.advance(source.folder, found["newest"])
+            own = take_in(store, source, docs)
         finally:
             docs.unpersist()
+        newest = max((count.greatest for count in own.values() if count.greatest is not None), default=None)
+        if source.by_cursor and newest is not None:
+            store.advance(source.folder, newest)
+        counts[source.folder] = own
     store.record(counts)
-    return counts
+    return {name: count for own in counts.values() for name, count in own.items()}
 
 
 def start_stream(
@@ -104,13 +105,14 @@ def start_stream(
     The checkpoint lives in the store: it remembers the files taken in, so
     ids do not matter and changed documents with old ids come through. A batch
     that is replayed after a failure carries its number as token and is applied
-    once per table.
+    once per table; its counts are kept when all its tables are done.
     """
 
     def apply(docs: DataFrame, batch: int) -> None:
         docs = documents.sequenced(docs).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            take_in(store, source, docs, f"{source.folder}/{batch}")
+            counts = take_in(store, source, docs, f"{source.folder}/{batch}")
+            store.record({f"{source.folder} stream": counts}, batch + 1)
         finally:
             docs.unpersist()
 

@@ -25,7 +25,7 @@ from tierloom.plans import marts, reports
 from tierloom.plans.checks import key_checks, mart_checks, source_checks, staging_checks
 from tierloom.plans.staging import build_staging
 from tierloom.plans.star import Star
-from tierloom.sources.storage import materialize, scratch_path
+from tierloom.sources.storage import scratch_path
 from tierloom.sources.tables import TableFolder
 from workload.registry import query
 from workload.star_sql import star_sql
@@ -47,10 +47,6 @@ class Pipeline:
             self._staged |= build_staging(self.star.raw(*missing))
         return self._staged
 
-    def stored(self) -> dict[str, DataFrame]:
-        """All raw tables, each computed once and stored, as an ingest leaves them."""
-        return {name: materialize(df) for name, df in self.star.raw().items()}
-
     def dim(self) -> DataFrame:
         return marts.dim_entity(self.staged(NAMING.raw(), NAMING.raw("types"), "species"))
 
@@ -566,12 +562,12 @@ def _checks_sql(checks: Sequence[Check]) -> str:
 
 @query("checks_staging", _checks_sql(staging_checks()))
 def checks_staging(spark: SparkSession, directory: str) -> DataFrame:
-    return run_checks(build_staging(Pipeline(spark, directory).stored()), staging_checks())
+    return run_checks(build_staging(Pipeline(spark, directory).star.raw()), staging_checks())
 
 
 @query("checks_marts", _checks_sql(mart_checks()))
 def checks_marts(spark: SparkSession, directory: str) -> DataFrame:
-    staged = build_staging(Pipeline(spark, directory).stored())
+    staged = build_staging(Pipeline(spark, directory).star.raw())
     folder = TableFolder(spark, scratch_path(spark))
     return run_checks(marts.build_marts(staged, folder=folder), mart_checks())
 
@@ -597,9 +593,9 @@ def _raw_sql(checks: Sequence[Check]) -> str:
 
 @query("checks_sources", _raw_sql(source_checks()))
 def checks_sources(spark: SparkSession, directory: str) -> DataFrame:
-    return run_checks(Pipeline(spark, directory).stored(), source_checks())
+    return run_checks(Pipeline(spark, directory).star.raw(), source_checks())
 
 
 @query("checks_keys", _raw_sql(key_checks()))
 def checks_keys(spark: SparkSession, directory: str) -> DataFrame:
-    return run_checks(Pipeline(spark, directory).stored(), key_checks())
+    return run_checks(Pipeline(spark, directory).star.raw(), key_checks())
