@@ -27,6 +27,8 @@ STAT_FLAGS = {
 }
 # Remainder of the traded quantity -> relation of the two nations.
 TRADE_RELATIONS = {0: "double_damage_to", 1: "half_damage_to", 2: "no_damage_to", 3: "double_damage_from"}
+# Divisor of the traded quantity -> relation that the pair has besides.
+MORE_RELATIONS = {7: "half_damage_to", 3: "no_damage_to"}
 SYNCED = "2024-01-01 00:00:00"
 
 
@@ -177,17 +179,17 @@ class Star:
         )
 
     def relations(self) -> DataFrame:
-        """Relations between nations."""
+        """Relations between nations; some pairs have two or three, so that their precedence counts."""
         nations = self.table("nation")
         sources = nations.select(F.col("n_nationkey").alias("source"), F.col("n_name").alias("name"))
         targets = nations.select(F.col("n_nationkey").alias("target"), F.col("n_name").alias("target_type"))
         relation = F.lit(None).cast("string")
         for remainder, name in TRADE_RELATIONS.items():
             relation = F.when(F.col("quantity") % 5 == remainder, F.lit(name)).otherwise(relation)
+        more = [F.when(F.col("quantity") % divisor == 0, F.lit(name)) for divisor, name in MORE_RELATIONS.items()]
         return (
             self.trade()
-            .withColumn("damage_relation", relation)
-            .where(F.col("damage_relation").isNotNull())
+            .withColumn("damage_relation", F.explode(F.array_distinct(F.array_compact(F.array(relation, *more)))))
             .join(sources, "source")
             .join(targets, "target")
             .select(F.col("source").cast("bigint").alias("id"), "name", "damage_relation", "target_type")

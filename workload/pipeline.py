@@ -13,7 +13,9 @@ from tierloom.constants import (
     APP_TOP,
     AS_WRITTEN_RELATIONS,
     COMPARE_DEFAULT,
+    DAMAGING_CLASSES,
     DOCUMENTED_RELATIONS,
+    POWER_BOUNDS,
     TILE_LEGENDARIES,
     TILE_POWER_LABELS,
     TILE_TOP,
@@ -28,7 +30,7 @@ from tierloom.plans.star import Star
 from tierloom.sources.storage import scratch_path
 from tierloom.sources.tables import TableFolder
 from workload.registry import query
-from workload.star_sql import star_sql
+from workload.star_sql import listed_sql, star_sql
 
 NAMING = Naming()
 
@@ -295,13 +297,10 @@ def report_long_stats(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _histogram_sql(labels: Sequence[str]) -> str:
+    buckets = " ".join(f"WHEN power < {bound} THEN '{label}'" for bound, label in zip(POWER_BOUNDS, labels, strict=False))
     return star_sql(f"""
-        SELECT damage_class,
-               CASE WHEN power >= 120 THEN '{labels[5]}' WHEN power >= 100 THEN '{labels[4]}'
-                    WHEN power >= 80 THEN '{labels[3]}' WHEN power >= 60 THEN '{labels[2]}'
-                    WHEN power >= 40 THEN '{labels[1]}' ELSE '{labels[0]}' END AS power_bucket,
-               count(*) AS move_count
-        FROM dim_moves WHERE power IS NOT NULL AND damage_class <> 'status' GROUP BY 1, 2""")
+        SELECT damage_class, CASE {buckets} ELSE '{labels[-1]}' END AS power_bucket, count(*) AS move_count
+        FROM dim_moves WHERE power IS NOT NULL AND damage_class IN {listed_sql(DAMAGING_CLASSES)} GROUP BY 1, 2""")
 
 
 @query("report_power_histogram_tile", _histogram_sql(TILE_POWER_LABELS))

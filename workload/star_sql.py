@@ -2,6 +2,19 @@
 
 from __future__ import annotations
 
+from tierloom.constants import ATTACK_TIERS, DAMAGING_CLASSES, DEFENSE_TIERS, LOWEST_TIER, MOVES_PER_ENTITY
+
+
+def steps_sql(value: str, steps, lowest: str) -> str:
+    """``steps`` are (lowest value, label), the highest first."""
+    cases = " ".join(f"WHEN {value} >= {least} THEN '{label}'" for least, label in steps)
+    return f"CASE {cases} ELSE '{lowest}' END"
+
+
+def listed_sql(values) -> str:
+    return "(" + ", ".join(f"'{value}'" for value in values) + ")"
+
+
 _CTES = {
     "raw_entity": """
         SELECT c_custkey AS id, c_name AS name,
@@ -59,13 +72,17 @@ _CTES = {
         SELECT c_nationkey AS source, s_nationkey AS target, CAST(sum(l_quantity) AS BIGINT) AS quantity
         FROM bought JOIN customer ON c_custkey = entity_id JOIN supplier ON s_suppkey = l_suppkey
         GROUP BY 1, 2""",
+    # One relation by the traded quantity; some pairs have a second one.
     "stg_types": """
-        SELECT CAST(source AS BIGINT) AS type_id, a.n_name AS type_name,
-               CASE quantity % 5 WHEN 0 THEN 'double_damage_to' WHEN 1 THEN 'half_damage_to'
-                                 WHEN 2 THEN 'no_damage_to' ELSE 'double_damage_from' END AS damage_relation,
-               d.n_name AS target_type
-        FROM trade JOIN nation a ON a.n_nationkey = source JOIN nation d ON d.n_nationkey = target
-        WHERE quantity % 5 <> 4""",
+        SELECT CAST(source AS BIGINT) AS type_id, a.n_name AS type_name, damage_relation, d.n_name AS target_type
+        FROM (SELECT source, target,
+                     CASE quantity % 5 WHEN 0 THEN 'double_damage_to' WHEN 1 THEN 'half_damage_to'
+                                       WHEN 2 THEN 'no_damage_to' WHEN 3 THEN 'double_damage_from' END AS damage_relation
+              FROM trade
+              UNION SELECT source, target, 'half_damage_to' FROM trade WHERE quantity % 7 = 0
+              UNION SELECT source, target, 'no_damage_to' FROM trade WHERE quantity % 3 = 0)
+             JOIN nation a ON a.n_nationkey = source JOIN nation d ON d.n_nationkey = target
+        WHERE damage_relation IS NOT NULL""",
     "slots": """
         SELECT entity_id, max(type_name) FILTER (type_slot = 1) AS primary_type,
                max(type_name) FILTER (type_slot = 2) AS secondary_type
@@ -96,25 +113,24 @@ _CTES = {
                ifnull(hp, 0) + ifnull(attack, 0) + ifnull(defense, 0) + ifnull(sp_attack, 0)
                + ifnull(sp_defense, 0) + ifnull(speed, 0) AS total_base_stats
         FROM wide JOIN stg_entity USING (entity_id)""",
-    "attackers": """
+    "attackers": f"""
         SELECT entity_id, f.entity_name, primary_type, secondary_type, attack, sp_attack, total_base_stats,
                is_legendary, is_mythical,
-               CASE WHEN attack < 150 THEN 'C' WHEN attack < 200 THEN 'B' WHEN attack < 250 THEN 'A' ELSE 'S' END AS tier,
+               {steps_sql("attack", ATTACK_TIERS, LOWEST_TIER)} AS tier,
                row_number() OVER (ORDER BY attack DESC, sp_attack DESC NULLS FIRST, entity_id) AS overall_rank,
                row_number() OVER (PARTITION BY is_legendary
                                   ORDER BY attack DESC, sp_attack DESC NULLS FIRST, entity_id)
                    AS rank_within_legendary_status
         FROM fct f JOIN dim_entity USING (entity_id) WHERE attack > 0""",
-    "defenders": """
+    "defenders": f"""
         SELECT entity_id, f.entity_name, primary_type, secondary_type, hp, defense, sp_defense,
-               hp + defense AS combined_defensive_stat, total_base_stats, is_legendary, is_mythical,
-               CASE WHEN hp + defense < 250 THEN 'C' WHEN hp + defense < 300 THEN 'B'
-                    WHEN hp + defense < 350 THEN 'A' ELSE 'S' END AS tier,
-               row_number() OVER (ORDER BY hp + defense DESC, entity_id) AS overall_rank,
-               row_number() OVER (PARTITION BY is_legendary ORDER BY hp + defense DESC, entity_id)
+               defense + hp AS combined_defensive_stat, total_base_stats, is_legendary, is_mythical,
+               {steps_sql("defense + hp", DEFENSE_TIERS, LOWEST_TIER)} AS tier,
+               row_number() OVER (ORDER BY defense + hp DESC, entity_id) AS overall_rank,
+               row_number() OVER (PARTITION BY is_legendary ORDER BY defense + hp DESC, entity_id)
                    AS rank_within_legendary_status
-        FROM fct f JOIN dim_entity USING (entity_id) WHERE least(defense, hp) > 0 AND defense IS NOT NULL AND hp IS NOT NULL""",
-    "movesets": """
+        FROM fct f JOIN dim_entity USING (entity_id) WHERE defense > 0 AND hp > 0""",
+    "movesets": f"""
         SELECT entity_id, entity_name, primary_type, secondary_type, move_name, move_type, power, accuracy,
                damage_class, expected_damage, move_rank,
                coalesce(move_type = primary_type, false) OR coalesce(move_type = secondary_type, false) AS is_stab
@@ -122,9 +138,9 @@ _CTES = {
                      row_number() OVER (PARTITION BY entity_id
                                         ORDER BY power DESC, expected_damage DESC, move_name, move_id) AS move_rank
               FROM stg_entity_moves JOIN dim_moves m USING (move_name)
-              WHERE damage_class <> 'status' AND power IS NOT NULL)
+              WHERE damage_class IN {listed_sql(DAMAGING_CLASSES)} AND power IS NOT NULL)
              JOIN dim_entity USING (entity_id)
-        WHERE move_rank < 4""",
+        WHERE move_rank <= {MOVES_PER_ENTITY}""",
     "legendaries": """
         SELECT f.*, primary_type, secondary_type, is_legendary, is_mythical, generation,
                if(is_mythical, 'Mythical', 'Legendary') AS rarity_tier,
@@ -132,18 +148,22 @@ _CTES = {
                row_number() OVER (PARTITION BY is_mythical ORDER BY total_base_stats DESC, entity_id) AS rank_within_tier
         FROM fct f JOIN dim_entity USING (entity_id) WHERE is_legendary OR is_mythical""",
     "axis": "SELECT DISTINCT type_name FROM stg_types",
-    "pairs": """
+    "related": """
         SELECT type_name AS attacking_type, target_type AS defending_type,
-               CASE min(damage_relation) WHEN 'double_damage_to' THEN 2.0::DOUBLE WHEN 'half_damage_to' THEN 0.5::DOUBLE
-                    ELSE 0.0::DOUBLE END AS effectiveness_multiplier,
-               CASE min(damage_relation) WHEN 'double_damage_to' THEN 'Super Effective'
-                    WHEN 'half_damage_to' THEN 'Not Very Effective' ELSE 'No Effect' END AS effectiveness_label
-        FROM stg_types WHERE damage_relation LIKE '%_to' GROUP BY 1, 2""",
+               bool_or(damage_relation = 'double_damage_to') AS doubled, bool_or(damage_relation = 'half_damage_to') AS halved,
+               bool_or(damage_relation = 'no_damage_to') AS spared
+        FROM stg_types GROUP BY 1, 2""",
+    "pairs": """
+        SELECT attacking_type, defending_type,
+               CASE WHEN doubled THEN 2.0::DOUBLE WHEN halved THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS effectiveness_multiplier,
+               CASE WHEN spared THEN 'No Effect' WHEN halved THEN 'Not Very Effective' ELSE 'Super Effective' END
+                   AS effectiveness_label
+        FROM related WHERE doubled OR halved OR spared""",
     "pairs_as_written": """
         SELECT attacking_type, defending_type,
-               CASE effectiveness_label WHEN 'Super Effective' THEN 2.0::DOUBLE ELSE 0.5::DOUBLE END
-                   AS effectiveness_multiplier, effectiveness_label
-        FROM pairs WHERE effectiveness_label <> 'Not Very Effective'""",
+               CASE WHEN doubled THEN 2.0::DOUBLE ELSE 0.5::DOUBLE END AS effectiveness_multiplier,
+               CASE WHEN spared THEN 'No Effect' ELSE 'Super Effective' END AS effectiveness_label
+        FROM related WHERE doubled OR spared""",
 }
 
 
