@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tests.fixtures import ENTITIES, MOVES, SPECIES, entity, land_all, relations, stats
 from tierloom.__main__ import main
 from tierloom.sources.raw_store import RawStore
-from tierloom.sources.tables import TableFolder
+from tierloom.sources.tables import TableFolder, order_of_files
 from tierloom.streaming.sync import sync, sync_stream
 
 
@@ -64,6 +64,29 @@ def test_batch_sync(store, land):
     assert store.table("types").read().where("id = 1").count() == 4  # upserts never delete
 
 
+def test_bad_lines_are_kept_aside(store, land, tmp_path):
+    landing = land_all(land)
+    with open(f"{landing}/move/bad.json", "w", encoding="utf-8") as lines:
+        lines.write('no json\n\n{"id": "x"}\n')
+    with pytest.raises(Exception, match="MALFORMED|Malformed|FAILFAST"):
+        sync(store, landing)
+    counts = sync(store, landing, keep_rejects=True)
+    assert counts["moves"].rows == len(MOVES)
+    rejects = [(r["source"], r["path"].rsplit("/", 1)[1], r["line"]) for r in store.rejects().collect()]
+    assert sorted(rejects) == [("move", "bad.json", "no json"), ("move", "bad.json", '{"id": "x"}')]
+    sync(store, landing, keep_rejects=True)
+    assert store.rejects().count() == 2
+
+
+def test_files_of_a_stored_table_follow_each_other(spark, tmp_path):
+    folder = TableFolder(spark, str(tmp_path / "tables"))
+    rows = spark.range(1000).withColumn("r", 1000 - F.col("id"))
+    in_order = folder.rebuild("main", "t", rows.repartitionByRange(4, "r").sortWithinPartitions("r"))
+    assert [tuple(x) for x in order_of_files(in_order, "r").collect()] == [("main", "t", 1000, "1", "1000", 0)]
+    mixed = folder.rebuild("main", "u", rows.repartition(4))
+    assert order_of_files(mixed, "r").first()["cut_files"] == 3
+
+
 def test_stream_sync(store, land):
     landing = land_all(land)
     sync_stream(store, landing)

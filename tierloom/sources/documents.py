@@ -40,6 +40,23 @@ def read_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return sequenced(_with_origin(spark.read.schema(schema).json(path, mode="FAILFAST")))
 
 
+_BAD = "_bad_line"
+
+
+def split_documents(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """The documents of a folder, and the lines that are none under the schema: (path, line).
+
+    A line that parses but whose values do not fit the schema is bad as a whole.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
+    lines = _with_origin(spark.read.text(path)).where(F.trim("value") != "")
+    parsed = lines.select(F.from_json("value", f"{schema}, {_BAD} string", options).alias("_document"), _ORIGIN)
+    fine = F.col(f"_document.{_BAD}").isNull()
+    good = sequenced(parsed.where(fine).select("_document.*", _ORIGIN).drop(_BAD))
+    bad = parsed.where(~fine).select(F.col(f"{_ORIGIN}.path").alias("path"), F.col(f"_document.{_BAD}").alias("line"))
+    return good, bad
+
+
 def stream_documents(spark: SparkSession, path: str, schema: str, max_files: int | None = None) -> DataFrame:
     """The same folder as a stream of newly landed files, oldest first; each batch is to be ``sequenced``.
 

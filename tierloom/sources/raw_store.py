@@ -11,6 +11,7 @@ from tierloom.schemas import SYNCED_AT, raw_tables
 from tierloom.sources.keyed_table import Delivered, KeyedTable
 
 _CURSOR = "source string, last_id bigint"
+_REJECTS = "source string, path string, line string"
 _COUNTS = "source string, pass bigint, table string, rows bigint, written bigint"
 
 
@@ -25,6 +26,7 @@ class RawStore:
         }
         counts = T.StructType.fromDDL(_COUNTS)
         self._counts = KeyedTable(spark, f"{self.path}/counts", counts, ["source", "pass", "table"], buckets=1)
+        self._rejects = KeyedTable(spark, f"{self.path}/rejects", T.StructType.fromDDL(_REJECTS), ["source", "path", "line"])
         self._cursors = KeyedTable(spark, f"{self.path}/cursors", T.StructType.fromDDL(_CURSOR), ["source"], buckets=1)
 
     def table(self, name: str) -> KeyedTable:
@@ -64,3 +66,12 @@ class RawStore:
         # A batch that is given again delivers nothing; what was counted the first time stays.
         both = self.spark.createDataFrame(rows, _COUNTS).unionByName(known.where(F.col("pass") == number))
         self._counts.upsert(both, [F.col("rows").desc(), F.col("written").desc()])
+
+    def reject(self, source: str, lines: DataFrame) -> Delivered:
+        """Keep lines (path, line) that are no documents; a line that is met again is there already."""
+        rows = lines.select(F.lit(source).alias("source"), "path", "line")
+        return self._rejects.upsert(rows, [F.lit(0).asc()])
+
+    def rejects(self) -> DataFrame:
+        """(source, path, line): what was landed and is no document."""
+        return self._rejects.read()

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierloom.sources.storage import file_system, release
@@ -75,6 +76,23 @@ class TableFolder:
         return self.read(schema, table)
 
 
+def file_ranges(stored: DataFrame, key: str) -> DataFrame:
+    """(path, rows, low, high) of each file of a stored table: its rows and the range of ``key`` in it."""
+    path = F.col("_metadata.file_path").alias("path")
+    return stored.select(path, key).groupBy("path").agg(F.count(F.lit(1)).alias("rows"), F.min(key).alias("low"), F.max(key).alias("high"))
+
+
+def order_of_files(stored: DataFrame, key: str) -> DataFrame:
+    """One row: schema and table name as the files' places say, rows, least and greatest key, files whose range another's cuts into."""
+    files = file_ranges(stored, key)
+    last = F.max("high").over(Window.orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1))  # one row a file
+    place = F.regexp_extract("path", r"/([^/]+)/([^/]+)/v\d+/[^/]+$", 1), F.regexp_extract("path", r"/([^/]+)/([^/]+)/v\d+/[^/]+$", 2)
+    cut = files.withColumns({"cut": F.coalesce(last > F.col("low"), F.lit(False)), "schema": place[0], "table": place[1]})
+    return cut.groupBy("schema", "table").agg(
+        F.sum("rows").alias("rows"), F.min("low").cast("string").alias("low"), F.max("high").cast("string").alias("high"), F.count_if("cut").alias("cut_files")
+    )
+
+
 def register_views(tables: Mapping[str, DataFrame], names: Iterable[str] | None = None) -> None:
     """Make tables available to SQL under their names; nothing is computed."""
     for name in names if names is not None else tables:

@@ -70,16 +70,26 @@ def take_in(store: RawStore, source: Source, docs: DataFrame, token: str | None
         return dict(zip(source.tables, pool.map(upsert, source.tables)))
 
 
-def sync(store: RawStore, landing: str) -> dict[str, Delivered]:
+def sync(store: RawStore, landing: str, keep_rejects: bool = False) -> dict[str, Delivered]:
     """One pass over the landing folders, past each source's cursor; returns what was delivered to each table.
 
+    A line that is no document ends the pass, or with ``keep_rejects`` goes to
+    the store's rejects with its file, and the others are taken in.
+
     Counts and the new cursor are observed as the rows are written. A cursor
     moves after its tables are done, so a pass that dies is repeated, never
     skipped.
     """
     counts: dict[str, dict[str, Delivered]] = {}
     for source in sources(store.naming):
-        docs = documents.read_documents(store.spark, f"{landing}/{source.folder}", source.schema)
+        folder = f"{landing}/{source.folder}"
+        if keep_rejects:
+            docs, bad = documents.split_documents(store.spark, folder, source.schema)
+            rejected = store.reject(source.folder, bad)
+            if rejected.written:
+                log.warning("%d lines of %s are no documents", rejected.written, folder)
+        else:
+            docs = documents.read_documents(store.spark, folder, source.schema)
         last = store.cursor(source.folder, None) if source.by_cursor else None
         if last is not None:
             docs = docs.where(F.col("id") > last)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tierloom.schemas import SYNCED_AT
 from tierloom.sources.raw_store import RawStore
 from tierloom.sources.storage import scratch_path
+from tierloom.sources.tables import read_star
 from tierloom.streaming.sync import sync, sync_stream
 from workload.documents import entity_documents, move_documents, relation_documents, species_documents
 from workload.registry import query
@@ -183,3 +184,22 @@ def stream_counts(spark: SparkSession, directory: str) -> DataFrame:
 )
 def sync_cursors(spark: SparkSession, directory: str) -> DataFrame:
     return _store(spark, directory, streaming=False).cursors()
+
+
+@query(
+    "rejected_lines",
+    """SELECT 'move' AS source, '{"id": "' || event_type || '"}' AS line FROM events WHERE event_id % 7 = 0 GROUP BY 1, 2
+       UNION ALL SELECT 'move', 'no json ' || event_id FROM events WHERE event_id % 11 = 0""",
+)
+def rejected_lines(spark: SparkSession, directory: str) -> DataFrame:
+    """Events landed as documents, some of them with a bad id or as no JSON at all: those lines are kept aside."""
+    folder = scratch_path(spark)
+    for source, docs in (("move", move_documents), ("species", species_documents), ("type", relation_documents), ("entity", entity_documents)):
+        docs(spark, directory).limit(0 if source != "move" else 1 << 30).write.json(f"{folder}/landing/{source}")
+    events = read_star(spark, directory, "events")
+    bad_ids = events.where("event_id % 7 = 0").select(F.format_string('{"id": "%s"}', "event_type").alias("value"))
+    no_json = events.where("event_id % 11 = 0").select(F.format_string("no json %d", "event_id").alias("value"))
+    bad_ids.unionByName(no_json).write.mode("append").text(f"{folder}/landing/move")
+    store = RawStore(spark, f"{folder}/store")
+    sync(store, f"{folder}/landing", keep_rejects=True)
+    return store.rejects().select("source", "line").distinct()

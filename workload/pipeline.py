@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,10 +26,10 @@ from tierloom.naming import Naming
 from tierloom.operators.quality import Check, run_checks
 from tierloom.plans import marts, reports
 from tierloom.plans.checks import key_checks, mart_checks, source_checks, staging_checks
-from tierloom.plans.staging import build_staging
+from tierloom.plans.staging import build_staging, register_staging
 from tierloom.plans.star import Star
 from tierloom.sources.storage import scratch_path
-from tierloom.sources.tables import TableFolder
+from tierloom.sources.tables import TableFolder, order_of_files
 from workload.registry import query
 from workload.star_sql import listed_sql, star_sql
 
@@ -598,3 +599,42 @@ def checks_sources(spark: SparkSession, directory: str) -> DataFrame:
 @query("checks_keys", _raw_sql(key_checks()))
 def checks_keys(spark: SparkSession, directory: str) -> DataFrame:
     return run_checks(Pipeline(spark, directory).star.raw(), key_checks())
+
+
+# Stored marts and the column that their rows are stored in the order of.
+_STORED = {
+    "mart_top_attackers": ("attackers", "overall_rank"),
+    "mart_top_defenders": ("defenders", "overall_rank"),
+    "mart_best_movesets": ("movesets", "entity_id"),
+    "mart_legendary_rankings": ("legendaries", "overall_rank"),
+    "mart_type_effectiveness": ("pairs", "attacking_type"),
+}
+
+
+@query(
+    "stored_mart_ranges",
+    star_sql(
+        " UNION ALL ".join(
+            f"""SELECT 'entity_marts' AS schema, '{mart}' AS "table", count(*) AS rows, min({key})::VARCHAR AS low,
+                       max({key})::VARCHAR AS high, 0::BIGINT AS cut_files FROM {rows}"""
+            for mart, (rows, key) in _STORED.items()
+        )
+    ),
+)
+def stored_mart_ranges(spark: SparkSession, directory: str) -> DataFrame:
+    """The ranked marts as stored: their files follow each other in the marts' order, so a cut-off reads the first ones."""
+    staged = build_staging(Pipeline(spark, directory).star.raw())
+    stored = marts.build_marts(staged, folder=TableFolder(spark, scratch_path(spark)))
+    return reduce(DataFrame.unionByName, [order_of_files(stored[mart], key) for mart, (_, key) in _STORED.items()])
+
+
+_VIEW = """
+    SELECT damage_class, move_type, count(*) AS moves, max(power) AS most, count(power) AS with_power
+    FROM stg_moves WHERE pp > 5 GROUP BY damage_class, move_type"""
+
+
+@query("staging_view_sql", star_sql(_VIEW))
+def staging_view_sql(spark: SparkSession, directory: str) -> DataFrame:
+    """The staging views by SQL, under their names."""
+    register_staging(Star(spark, directory).raw("moves"))
+    return spark.sql(_VIEW)
