@@ -228,7 +228,9 @@ def _spans(batches: Batches) -> Iterator[tuple[int, object, list[int], list[int]
 
 
 def _by_segment(rows: DataFrame) -> DataFrame:
-    return rows.select("pos", "segment", "conv_id", "symbol").repartition("segment").sortWithinPartitions("pos")
+    # A stated number of partitions, as the rows are small and would be joined to one task otherwise.
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.select("pos", "segment", "conv_id", "symbol").repartition(tasks, "segment").sortWithinPartitions("pos")
 
 
 def _border_matrices(rows: DataFrame, kind: str) -> DataFrame:
