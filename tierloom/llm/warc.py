@@ -283,7 +283,7 @@ def read(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
                             rows, size = [], 0
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return listed.repartition(F.col("file")).mapInArrow(load, RECORDS)
+    return listed.repartition(max(1, listed.count()), "file").mapInArrow(load, RECORDS)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
