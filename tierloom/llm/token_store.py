@@ -289,7 +289,7 @@ def read_documents(spark: SparkSession, folder: str, result: str, make: Callable
                         )
                         first = last
 
-    return listed.repartition(F.col("file")).mapInArrow(load, f"doc_id long, start long, n_tokens long, {result}")
+    return listed.repartition(max(1, listed.count()), "file").mapInArrow(load, f"doc_id long, start long, n_tokens long, {result}")
 
 
 def ids_crc32(ids: np.ndarray) -> int:
