@@ -4,6 +4,7 @@ import base64
 import hashlib
 import os
 import random
+import time
 import zlib
 
 import numpy as np
@@ -89,6 +90,25 @@ def test_long_words_merge_as_short_ones_do(tiktoken_encoding):
     assert texts == words
 
 
+@pytest.mark.parametrize("unit, times", [("z", 100000), ("字", 100000), ("=", 100000), ("ab", 100000), ("न", 30000), ("ing", 20000)])
+def test_runs_merge_in_few_rounds(tiktoken_encoding, unit, times):
+    started = time.monotonic()
+    ids, _ = duck().encode_many([unit * times])
+    assert time.monotonic() - started < 60
+    assert ids.tolist() == tiktoken_encoding.encode_ordinary(unit * times)
+
+
+def test_runs_of_changing_units(tiktoken_encoding):
+    random.seed(4)
+    units = ["ab", "ing", "the", "=-", "z", "字文", "aeiou", "0123", "na"]
+    words = []
+    for _ in range(60):
+        unit = random.choice(units)
+        words.append("".join(random.choice(unit) * random.randint(1, random.choice([1, 3, 40])) for _ in range(80)))
+    ids, _ = duck().encode_many(words)
+    assert ids.tolist() == [x for word in words for x in tiktoken_encoding.encode_ordinary(word)]
+
+
 def test_decoding_in_portions(monkeypatch, tiktoken_encoding):
     monkeypatch.setattr(bpe, "QUERY_TOKENS", 7)
     texts = hard_texts(60)

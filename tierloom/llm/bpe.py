@@ -8,11 +8,15 @@ rank, until a round finds none. Distinct words are encoded once and
 remembered. An
 ordered aggregation over (document, position, token) rows decodes.
 
-Very long words are cut into stretches of SPAN bytes at least twice as long as
-any token. A pair is then contracted if no stretch next to its own holds a pair
-that comes first: what happens farther away can't reach it, as it would have
-to grow into a token longer than any. So a round contracts one pair per three
-stretches instead of one per word, with the same result.
+Very long words are cut into stretches twice as long as any token. A pair is
+then contracted if no stretch next to its own holds a pair that comes first:
+what happens farther away can't reach it, as it would have to grow into a token
+longer than any. Pairs of one rank are contracted together, from the left, over
+neighbouring stretches too, up to the first one whose contraction would bring
+up another pair that comes before the next. Most tokens are calm, as no merge
+that has them as a part ranks before them; for others the tokens around are
+looked at. So a run of one character, or of a few, takes rounds in proportion
+to the logarithm of its length, with the same result.
 
 Defined cases: a null text is an empty one and has no ids; ids decode to the
 very bytes of the text; repeated rows are encoded each; extra columns are not
@@ -46,7 +50,10 @@ Batches = Iterator[pa.RecordBatch]
 
 
 def merge_table(ranks: dict[bytes, int]) -> pa.Table:
-    """(a, b, merged): pairs of ids whose bytes together are the token ``merged``; its id is its rank."""
+    """(a, b, merged, calm): pairs of ids whose bytes together are the token ``merged``; its id is its rank.
+
+    ``calm``: no merge that has ``merged`` as a part ranks before it.
+    """
     rows = [
         (ranks[token[:cut]], ranks[token[cut:]], merged)
         for token, merged in ranks.items()
@@ -54,7 +61,15 @@ def merge_table(ranks: dict[bytes, int]) -> pa.Table:
         if token[:cut] in ranks and token[cut:] in ranks
     ]
     left, right, merged = zip(*rows, strict=True) if rows else ((), (), ())
-    return pa.table({"a": pa.array(left, pa.int32()), "b": pa.array(right, pa.int32()), "merged": pa.array(merged, pa.int32())})
+    stirred = {part for a, b, whole in rows for part in (a, b) if whole < part}
+    return pa.table(
+        {
+            "a": pa.array(left, pa.int32()),
+            "b": pa.array(right, pa.int32()),
+            "merged": pa.array(merged, pa.int32()),
+            "calm": pa.array([whole not in stirred for whole in merged], pa.bool_()),
+        }
+    )
 
 
 # state: the live rows of words that the last round changed; a word whose pairs are in no merge is not seen again, and
@@ -86,27 +101,75 @@ JOIN (SELECT word, max(round) AS round FROM state GROUP BY word) USING (word, ro
 # state: one row per byte position of a word; its token, none once a token before it has taken it in, and the place
 # of the next live row. A round sees the rows that the last one changed as state, and all rows as recurring.state.
 # pair: live rows of the words that changed, each with the token its pair merges into, if any.
-# best: the first of the least pairs of each stretch. chosen: those that come before their neighbour stretches' pairs.
+# best: the least token that each stretch's pairs merge into. edged: also those of the stretches beside it.
+# level: neighbouring stretches with one such token, numbered; shut, if the stretch before them has a lesser one.
+# able: their pairs that merge into it, but for a last stretch whose right neighbour has a lesser one.
+# free: pairs that share a row follow each other in one chain; every other one of a chain is free.
+# around: the tokens beside a free pair that is not calm; grown: what its token and the one before it merge into at once.
+# stirring: such pairs after which a pair would come first that could reach the next free one.
 ENCODE_LONG = """
 WITH RECURSIVE state(word, place, token, next) USING KEY (word, place) AS (
   SELECT word, place, token, place + 1 FROM tokens
   UNION
   (
     WITH pair AS (
-      SELECT l.word, l.place, l.next, r.next AS after, m.merged, m.merged::BIGINT << 32 | l.place AS first
+      SELECT l.word, l.place, l.place // $span AS stretch, l.next, r.next AS after, m.merged, m.calm
       FROM recurring.state l
       SEMI JOIN state changed ON changed.word = l.word
       JOIN recurring.state r ON r.word = l.word AND r.place = l.next
       JOIN merges m ON m.a = l.token AND m.b = r.token
     ),
-    best AS (SELECT word, place // $span AS stretch, min(first) AS first FROM pair GROUP BY ALL),
-    chosen AS (
-      SELECT b.word, b.first FROM best b
+    best AS (SELECT word, stretch, min(merged) AS merged FROM pair GROUP BY word, stretch),
+    edged AS (
+      SELECT b.*, l.merged AS before, r.merged AS behind FROM best b
       LEFT JOIN best l ON l.word = b.word AND l.stretch = b.stretch - 1
       LEFT JOIN best r ON r.word = b.word AND r.stretch = b.stretch + 1
-      WHERE b.first < coalesce(l.first, b.first + 1) AND b.first < coalesce(r.first, b.first + 1)
     ),
-    taken AS (SELECT p.* FROM pair p JOIN chosen c ON c.word = p.word AND c.first = p.first)
+    levels AS (
+      SELECT *, count(*) FILTER (before IS DISTINCT FROM merged) OVER (PARTITION BY word ORDER BY stretch) AS level
+      FROM edged
+    ),
+    open AS (
+      SELECT *, bool_or(coalesce(before < merged, false)) OVER (PARTITION BY word, level) AS shut FROM levels
+    ),
+    able AS (
+      SELECT p.*, o.level FROM pair p JOIN open o ON o.word = p.word AND o.stretch = p.stretch AND o.merged = p.merged
+      WHERE NOT o.shut AND coalesce(o.behind >= o.merged, true)
+    ),
+    linked AS (
+      SELECT *, place IS DISTINCT FROM lag(next) OVER w AS begins FROM able
+      WINDOW w AS (PARTITION BY word, level ORDER BY place)
+    ),
+    free AS (
+      SELECT * FROM (
+        SELECT *, count(*) FILTER (begins) OVER (PARTITION BY word, level ORDER BY place) AS chain FROM linked
+      ) QUALIFY row_number() OVER (PARTITION BY word, level, chain ORDER BY place) % 2 = 1
+    ),
+    back AS (SELECT word, next AS place, place AS prior, token FROM recurring.state WHERE token IS NOT NULL),
+    around AS (
+      SELECT f.word, f.level, f.place, f.merged, r.token AS behind, ll.token AS far, x.merged AS grown
+      FROM (SELECT * FROM free WHERE NOT calm QUALIFY count(*) OVER (PARTITION BY word, level) > 1) f
+      LEFT JOIN recurring.state r ON r.word = f.word AND r.place = f.after
+      LEFT JOIN back l ON l.word = f.word AND l.place = f.place
+      LEFT JOIN back ll ON ll.word = f.word AND ll.place = l.prior
+      LEFT JOIN sooner x ON x.a = l.token AND x.b = f.merged
+    ),
+    met AS (
+      SELECT word, place, merged, unnest([(merged, behind), (merged, merged), (merged, grown), (grown, behind),
+                                          (grown, grown), (grown, merged), (far, grown)]) AS two FROM around
+    ),
+    stirring AS (
+      SELECT t.word, t.place FROM met t JOIN merges m ON m.a = t.two[1] AND m.b = t.two[2] WHERE m.merged < t.merged
+      UNION
+      SELECT word, place FROM around
+      QUALIFY lead(grown) OVER (PARTITION BY word, level ORDER BY place) <> grown
+    ),
+    taken AS (
+      SELECT f.word, f.place, f.merged, f.next, f.after FROM free f
+      LEFT JOIN stirring s ON s.word = f.word AND s.place = f.place
+      QUALIFY count(s.place) OVER (
+        PARTITION BY f.word, f.level ORDER BY f.place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) = 0
+    )
     SELECT word, place, merged, after FROM taken
     UNION ALL
     SELECT word, next, NULL, NULL FROM taken
@@ -133,6 +196,7 @@ class DuckBpe:
         self.byte_ids = np.array([ranks[bytes([value])] for value in range(256)], np.int32)
         merges = merge_table(ranks)  # noqa: F841
         self.db.execute("CREATE TABLE merges AS FROM merges")
+        self.db.execute("CREATE TABLE sooner AS SELECT a, b, merged FROM merges WHERE merged < b")
         vocabulary = pa.table({"token": list(ranks.values()), "bytes": [token.hex() for token in ranks]})  # noqa: F841
         self.db.execute("CREATE TABLE vocabulary AS SELECT token::INT AS token, bytes FROM vocabulary")
 
