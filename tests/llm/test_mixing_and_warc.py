@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tierloom.llm import mixing, warc
 
@@ -70,6 +71,25 @@ def test_expected_copies_are_kept(spark, monkeypatch):
     assert all(1 <= hits[i] <= 26 for i in range(6)) and 0.15 < sum(hits.values()) / (6 * runs) < 0.45
 
 
+def test_many_rows_of_one_id(spark, monkeypatch):
+    """Rows without an id, equal or not, spread over blocks, and each is taken by the same rule."""
+    rows = [(None, "same three words", "hot") for _ in range(3000)]
+    rows += [(None, f"other {i} words", "hot") for i in range(1000)] + [(7, "one more text of six words", "b")] * 400
+    docs = spark.createDataFrame(rows, DOCS)
+    sizes = mixing.sized(docs)
+    turns = sizes.groupBy(F.pmod(F.xxhash64("doc_id", "size", "lot"), F.lit(100)).alias("block")).count().collect()
+    assert sizes.count() == len(rows) and len(turns) == 100 and max(r["count"] for r in turns) < 90
+    out = mixing.mix(docs.repartition(3)).collect()
+    own, target = expected_targets(rows)
+    for source in own:
+        assert abs(sum(r.taken for r in out if r.source == source) - target[source]) <= 6
+    assert Counter(map(tuple, mixing.mix(docs.repartition(5)).collect())) == Counter(map(tuple, out))
+    mixed = mixing.take(docs)
+    assert mixed.count() == sum(r.copies for r in out)
+    monkeypatch.setattr(mixing, "STRETCH", 7)
+    assert Counter(map(tuple, mixing.mix(docs).collect())) == Counter(map(tuple, out))
+
+
 def test_take(spark):
     rows = mix_rows()
     docs = spark.createDataFrame([(*row, "x") for row in rows], DOCS + ", copies string")

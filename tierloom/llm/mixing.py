@@ -16,7 +16,9 @@ holds most rows just has more blocks. Draws hash the seed and the two ids, so
 reruns agree.
 
 Column expressions only. One row per source is what the targets are computed
-from; all else is grouped by (source, block).
+from; all else is grouped by (source, block). Rows that agree in id,
+source and text are counted and numbered, so that many of them, or many rows
+without an id, spread over blocks as others do.
 
 Defined cases: a null text has size 0; documents of size 0 take nothing; null
 is a source of its own, after all others; rows that repeat an id are mixed
@@ -40,11 +42,25 @@ MOST = 2.0
 SEED = 17
 #: Documents of one block, on average.
 BLOCK = 32
+#: Equal rows that are numbered at a time.
+STRETCH = 1 << 16
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source and number of words of each document."""
-    return docs.select("doc_id", "source", F.size(words(F.coalesce("text", F.lit("")))).cast("long").alias("size"))
+    """doc_id, source and number of words of each document, and a lot that tells rows of one id and source apart."""
+    size = F.size(words(F.coalesce("text", F.lit("")))).cast("long")
+    alike = docs.select("doc_id", "source", size.alias("size"), F.xxhash64("text").alias("mark"))
+    counted = alike.groupBy("doc_id", "source", "size", "mark").agg(F.count("*").alias("rows"))
+    first = F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"), F.lit(STRETCH)))
+    stretches = counted.withColumn("first", first)
+    last = F.least(F.col("rows"), F.col("first") + (STRETCH - 1))
+    return stretches.withColumn("nth", F.explode(F.sequence("first", last))).select(
+        "doc_id", "source", "size", _lot(F.col("mark"), F.col("nth")).alias("lot")
+    )
+
+
+def _lot(mark: Column, nth: Column) -> Column:
+    return F.xxhash64(mark, nth.cast("long"))
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -78,25 +94,25 @@ def _draw(*ids: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(SEED), *ids), 11) / F.lit(float(1 << 53))
 
 
-ITEM = "struct<doc_id:bigint,size:bigint,p:double>"
+ITEM = "struct<doc_id:bigint,size:bigint,lot:bigint,p:double>"
 
 
-def _item(doc_id: Column, size: Column, p: Column) -> Column:
-    return F.struct(doc_id.alias("doc_id"), size.alias("size"), p.alias("p")).cast(ITEM)
+def _item(of: Column, p: Column) -> Column:
+    return F.struct(of["doc_id"].alias("doc_id"), of["size"].alias("size"), of["lot"].alias("lot"), p.alias("p")).cast(ITEM)
 
 
 def _duel(one: Column, other: Column) -> Column:
     """The two items after words moved between them: at least one has probability 0 or 1."""
     rise = F.least(one["size"] * (1 - one.p), other["size"] * other.p)
     fall = F.least(one["size"] * one.p, other["size"] * (1 - other.p))
-    up = _draw(one.doc_id, other.doc_id) * (rise + fall) < fall
+    up = _draw(one.doc_id, one.lot, other.doc_id, other.lot) * (rise + fall) < fall
     one_up = F.when(one["size"] * (1 - one.p) <= other["size"] * other.p, 1.0).otherwise(one.p + rise / one["size"])
     other_down = F.when(one["size"] * (1 - one.p) >= other["size"] * other.p, 0.0).otherwise(other.p - rise / other["size"])
     one_down = F.when(one["size"] * one.p <= other["size"] * (1 - other.p), 0.0).otherwise(one.p - fall / one["size"])
     other_up = F.when(one["size"] * one.p >= other["size"] * (1 - other.p), 1.0).otherwise(other.p + fall / other["size"])
     return F.struct(
-        _item(one.doc_id, one["size"], F.when(up, one_up).otherwise(one_down)).alias("one"),
-        _item(other.doc_id, other["size"], F.when(up, other_down).otherwise(other_up)).alias("other"),
+        _item(one, F.when(up, one_up).otherwise(one_down)).alias("one"),
+        _item(other, F.when(up, other_down).otherwise(other_up)).alias("other"),
     )
 
 
@@ -124,29 +140,30 @@ def _settle(items: Column) -> Column:
 
 
 def round_probabilities(rows: DataFrame, most_rows: int) -> DataFrame:
-    """(number, doc_id, size, p) with p 0 or 1 of ``rows`` (number, documents, doc_id, size, p between 0 and 1).
+    """(number, doc_id, size, lot, p) with p 0 or 1 of ``rows`` (number, documents, doc_id, size, p between 0 and 1).
 
-    ``documents`` bounds the rows of each number, ``most_rows`` those of any.
+    ``documents`` bounds the rows of each number, ``most_rows`` those of any. ``lot``, if there, tells rows of one id apart.
     """
+    rows = rows if "lot" in rows.columns else rows.withColumn("lot", F.lit(0).cast("long"))
     settled, open_, blocks = [], rows, F.ceil(F.col("documents") / BLOCK).cast("long")
     for level in range(max(1, math.ceil(math.log(max(2, most_rows), BLOCK)))):
-        turn = F.xxhash64(F.lit(SEED), F.lit(level), "doc_id", "size")
+        turn = F.xxhash64(F.lit(SEED), F.lit(level), "doc_id", "size", "lot")
         dealt = open_.withColumn("blocks", blocks).withColumn("block", F.pmod(turn, F.col("blocks")))
-        items = F.collect_list(F.struct(turn.alias("turn"), _item(F.col("doc_id"), F.col("size"), F.col("p")).alias("item")))
+        items = F.collect_list(F.struct(turn.alias("turn"), F.struct("doc_id", "size", "lot", "p").cast(ITEM).alias("item")))
         block = dealt.groupBy("number", "blocks", "block").agg(F.array_sort(items).alias("items"))
         played = block.withColumn("out", _settle(F.transform("items", lambda x: x.item)))
         level_done = materialize(played.select("number", "blocks", "out.left", "out.done"))
         settled.append(level_done.select("number", F.inline("done")))
         open_ = level_done.where("left IS NOT NULL").select("number", F.col("blocks").alias("documents"), "left.*")
-    last = F.when(_draw(F.col("number"), F.col("doc_id")) < F.col("p"), 1.0).otherwise(0.0)
-    out = open_.select("number", "doc_id", "size", last.alias("p"))
+    last = F.when(_draw(F.col("number"), F.col("doc_id"), F.col("lot")) < F.col("p"), 1.0).otherwise(0.0)
+    out = open_.select("number", "doc_id", "size", "lot", last.alias("p"))
     for done in settled:
         out = out.unionByName(done)
     return out
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, copies, taken."""
+    """One row per document: doc_id, source, size, source_size, target, copies, taken, lot."""
     sizes = materialize(sized(docs))
     goals = materialize(targets(sizes, weights, share, most))
     times = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -154,32 +171,30 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     rows = materialize(
         sizes.withColumnRenamed("source", "own")
         .join(goals, F.col("own").eqNullSafe(F.col("source")))
-        .select("number", "documents", "doc_id", "size", (times - whole).alias("p"))
+        .select("number", "documents", "doc_id", "size", "lot", (times - whole).alias("p"))
     )
     plays = (F.col("size") > 0) & (F.col("p") > 0)
     largest = goals.agg(F.max("documents")).first()[0] or 0
     drawn = round_probabilities(rows.where(plays), largest).unionByName(
-        rows.where(~plays).select("number", "doc_id", "size", F.lit(0.0).alias("p"))
+        rows.where(~plays).select("number", "doc_id", "size", "lot", F.lit(0.0).alias("p"))
     )
     copies = F.when(F.col("size") > 0, whole + F.col("p").cast("long")).otherwise(0)
     return drawn.join(goals, "number").select(
-        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken")
+        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"), "lot"
     )
 
 
 def take(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """The mix itself: every document as often as it was taken, with all its columns.
 
-    Rows that repeat an id are told apart by size and source; those that agree in these too take each other's copies.
+    Rows that repeat an id are told apart by source and text; those that agree in these too take each other's copies.
     """
-    key, turn, size, copies = (fresh(docs.columns, x) for x in ("key", "turn", "size", "copies"))
-    decided = mix(docs, weights, share, most).select("doc_id", "size", "source", "copies")
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("size", "source", "copies"))
-    decided = decided.select(F.col("doc_id").alias(key), nth.alias(turn), F.col("copies").alias(copies)).where(
-        F.col(copies) > 0
-    )
-    own = F.size(words(F.coalesce("text", F.lit("")))).cast("long")
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(size, "source"))
-    named = docs.withColumn(size, own).withColumn(f"{turn}_", nth)
-    same = F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(f"{turn}_") == F.col(turn))
+    key, own, size, lot, copies = (fresh(docs.columns, x) for x in ("key", "own", "size", "lot", "copies"))
+    decided = mix(docs, weights, share, most).where(F.col("copies") > 0)
+    decided = decided.select(*(F.col(x).alias(y) for x, y in zip(("doc_id", "source", "lot", "copies"), (key, own, f"{lot}_", copies))))
+    words_ = F.size(words(F.coalesce("text", F.lit("")))).cast("long")
+    named = docs.withColumn(size, words_).withColumn(lot, F.xxhash64("text"))
+    nth = F.row_number().over(Window.partitionBy("doc_id", "source", size, lot).orderBy(size))
+    named = named.withColumn(lot, _lot(F.col(lot), nth))
+    same = (F.col(lot) == F.col(f"{lot}_")) & F.col("doc_id").eqNullSafe(F.col(key)) & F.col("source").eqNullSafe(F.col(own))
     return named.join(decided, same).withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(docs.columns)
