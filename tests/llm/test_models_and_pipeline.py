@@ -77,6 +77,21 @@ def test_scores_are_plain_sums(monkeypatch):
         assert np.allclose(row, want, rtol=1e-5)
 
 
+def test_more_languages_than_one_matrix_holds(spark, monkeypatch):
+    random.seed(5)
+    letters = "abcdefghijklmnop"
+    tongues = {f"l{i:03d}": ["".join(random.choices(letters, k=5)) for _ in range(12)] for i in range(300)}
+    rows = [(i * 10 + k, " ".join(random.choices(own, k=60)), name, "s", 1) for i, (name, own) in enumerate(tongues.items()) for k in range(4)]
+    docs = spark.createDataFrame([*rows, (9000, None, "l001", "s", 1), (9001, "12", None, "s", 1)], DOCS).repartition(4)
+    many = {r.doc_id: r for r in language.identify(docs).collect()}
+    truth = {row[0]: row[2] for row in rows}
+    assert sum(many[i].lang_pred == name for i, name in truth.items()) / len(truth) > 0.9
+    assert (many[9000].lang_pred, many[9001].score) == ("und", 0.0)
+    monkeypatch.setattr(language, "LANGUAGES", 1000)
+    one = {r.doc_id: r for r in language.identify(docs).collect()}
+    assert all(many[i].lang_pred == one[i].lang_pred and abs(many[i].score - one[i].score) < 1e-9 for i in one)
+
+
 def test_nothing_to_learn(spark):
     docs = spark.createDataFrame([(1, "words", None, "s", 1)], DOCS)
     assert [(r.lang_pred, r.score) for r in language.identify(docs).collect()] == [("und", 0.0)]
