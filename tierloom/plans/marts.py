@@ -27,6 +27,7 @@ from tierloom.naming import Naming
 from tierloom.operators.matrix import relation_pairs
 from tierloom.operators.rank import Key, falling, rank_rows, ranks_of, rising, sorts, top_k, top_ranked
 from tierloom.operators.reshape import pivot_max
+from tierloom.sources.storage import materialize
 from tierloom.sources.tables import TableFolder
 
 Tables = Mapping[str, DataFrame]
@@ -174,20 +175,21 @@ def first_defenders(fact: DataFrame, dim: DataFrame, k: int, naming: Naming = Na
 def best_movesets(
     learned: DataFrame, moves: DataFrame, dim: DataFrame, naming: Naming = Naming()
 ) -> DataFrame:
-    """The strongest damaging moves of each entity, with the same-type flag."""
+    """The strongest damaging moves of each entity, with the same-type flag.
+
+    Moves are sorted once, strongest first, and numbered in that order; the numbers have gaps and are written down, so
+    they never change. What an entity learned carries the number alone through the shuffle by entity; the other columns
+    of a move are fetched for the winners. An entity that has a move several times may have it several times among its
+    strongest.
+    """
     n = naming
-    usable = moves.where(F.col("damage_class").isin(list(DAMAGING_CLASSES)) & F.col("power").isNotNull())
-    options = learned.select(n.id, "move_name").join(
-        usable.select("move_id", "move_name", "move_type", "power", "accuracy", "damage_class", "expected_damage"),
-        "move_name",
+    usable = moves.where(F.col("damage_class").isin(list(DAMAGING_CLASSES)) & F.col("power").isNotNull()).select(
+        "move_id", "move_name", "move_type", "power", "accuracy", "damage_class", "expected_damage"
     )
-    order = [
-        F.col("power").desc_nulls_last(),
-        F.col("expected_damage").desc_nulls_last(),
-        F.col("move_name").asc_nulls_first(),
-        F.col("move_id").asc_nulls_first(),
-    ]
-    best = top_k(options, [n.id], order, MOVES_PER_ENTITY, "move_rank")
+    order = [falling("power"), falling("expected_damage"), rising("move_name"), rising("move_id")]
+    strongest = materialize(usable.orderBy(*sorts(order)).withColumn("_strength", F.monotonically_increasing_id()))
+    options = learned.select(n.id, "move_name").join(strongest.select("move_name", "_strength"), "move_name").drop("move_name")
+    best = top_k(options, [n.id], [F.col("_strength")], MOVES_PER_ENTITY, "move_rank").join(strongest, "_strength")
     same_type = any_match(F.col("move_type"), *[F.col(column) for column in TYPE_SLOTS.values()])
     return best.join(dim.select(n.id, n.name, *TYPE_SLOTS.values()), n.id).select(
         n.id,
