@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +75,26 @@ def test_relations_keep_all_kinds_and_skip_empty_lists(spark, land):
     assert not [row for row in flat if row[1] == "rock"]
 
 
+def test_relations_of_any_shape(spark, land):
+    lines = [json.dumps(document) for document in TYPES]
+    odd = [
+        '{"id": "90", "name": "odd", "new": {"x": 1}, "damage_relations": {"a": "fire", "b": {"name": "ice"}, "c": ["x", {"name": "y"}]}}',
+        '{"id": 91, "name": "none", "damage_relations": {"a": null, "b": [], "c": [{"url": "u"}, null]}}',
+        '{"id": "no id", "damage_relations": {"a": "fire"}}',
+        '{"id": 92}', '{"id": 93, "damage_relations": null}', '{"id": 94, "damage_relations": 5}',
+    ]
+    bad = ["[1]", '{"id": 1', "text", None, ""]
+    texts = spark.createDataFrame([(line,) for line in [*lines, *odd, *bad]], "line string")
+    good, rejected = documents.variant_documents(texts, "line")
+    flat = sorted(map(tuple, documents.flatten_variant_relations(good).collect()), key=str)
+    plain = documents.flatten_relations(documents.read_documents(spark, f"{land_all(land)}/type", TYPE_DOCUMENT))
+    expected = [tuple(row) for row in plain.select("id", "name", "damage_relation", "target_type").collect()]
+    expected += [(90, "odd", "a", "fire"), (90, "odd", "b", "ice"), (90, "odd", "c", "x"), (90, "odd", "c", "y")]
+    expected += [(91, "none", "c", None), (91, "none", "c", None), (None, None, "a", "fire")]
+    assert flat == sorted(expected, key=str)
+    assert sorted([row.line for row in rejected.collect()], key=str) == sorted(bad, key=str)
+
+
 @pytest.mark.parametrize(
     ("url", "expected"),
     [("https://h/api/type/10/", 10), ("https://h/api/type/10", 10), ("https://h/7//", 7), (None, None)],

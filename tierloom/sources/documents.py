@@ -71,6 +71,40 @@ def stream_documents(spark: SparkSession, path: str, schema: str, max_files: int
     return _with_origin(reader.json(path, mode="FAILFAST"))
 
 
+def variant_documents(lines: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """Documents of any shape as a VARIANT ``document`` beside the other columns, and the rows that hold no JSON object.
+
+    Both come from one expression over the text, so every row is in exactly one of them; a NULL text is in the second.
+    """
+    parsed = F.try_parse_json(column)
+    is_object = F.coalesce(F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(False))
+    others = [F.col(other) for other in lines.columns if other != column]
+    return lines.where(is_object).select(*others, parsed.alias("document")), lines.where(~is_object)
+
+
+def flatten_variant_relations(docs: DataFrame) -> DataFrame:
+    """Relation rows of VARIANT documents: one per (document, relation, target), whatever form the targets take.
+
+    A relation names its targets by a list or by one alone, each an object with a name or the bare name. A relation of
+    NULL or without targets gives no row, nor does a document without relations; a target without a name has a NULL
+    one. Ids may be numbers or their text; what is no id is NULL. Unknown fields are passed over.
+    """
+    typed = docs.select(
+        F.try_variant_get("document", "$.id", "bigint").alias("id"),
+        F.try_variant_get("document", "$.name", "string").alias("name"),
+        F.try_variant_get("document", "$.damage_relations", "map<string,variant>").alias("_relations"),
+    )
+    lists = typed.select("id", "name", F.explode("_relations").alias("damage_relation", "_targets"))
+    several = F.try_variant_get("_targets", "$", "array<variant>")
+    lone = F.when(F.col("_targets").isNotNull() & ~F.is_variant_null("_targets"), F.array("_targets"))
+    rows = lists.select("id", "name", "damage_relation", F.explode(F.coalesce(several, lone)).alias("_target"))
+    is_object = F.schema_of_variant("_target").startswith("OBJECT")
+    named = F.when(is_object, F.try_variant_get("_target", "$.name", "string")).otherwise(
+        F.try_variant_get("_target", "$", "string")
+    )
+    return rows.select("id", "name", "damage_relation", named.alias("target_type"))
+
+
 def parse_documents(df: DataFrame, column: str, schema: str) -> DataFrame:
     """Documents held as JSON text in a column."""
     return df.select(F.from_json(column, schema, {"mode": "FAILFAST"}).alias("_document")).select("_document.*")

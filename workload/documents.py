@@ -239,3 +239,47 @@ def relation_documents(spark: SparkSession, directory: str) -> DataFrame:
         )
     )
     return documents.parse_documents(texts, "document", TYPE_DOCUMENT)
+
+
+@query(
+    "flatten_variant_relations",
+    """SELECT o_orderkey AS id, o_orderpriority AS name, 'double_damage_to' AS damage_relation, o_orderstatus AS target_type
+       FROM orders WHERE o_orderkey % 5 <> 4
+       UNION ALL SELECT o_orderkey, o_orderpriority, 'double_damage_to', lower(o_orderstatus)
+       FROM orders WHERE o_orderkey % 5 IN (0, 1)
+       UNION ALL SELECT o_orderkey, o_orderpriority, 'half_damage_from', 'c' || o_custkey % 10
+       FROM orders WHERE o_orderkey % 5 <> 4""",
+)
+def flatten_variant_relations(spark: SparkSession, directory: str) -> DataFrame:
+    """Documents of five shapes: lists of objects or of names, one object, one name, and lines cut off."""
+    return documents.flatten_variant_relations(documents.variant_documents(shaped_lines(spark, directory), "line")[0])
+
+
+@query(
+    "variant_rejects",
+    "SELECT o_orderkey, '{\"id\": ' || o_orderkey AS line FROM orders WHERE o_orderkey % 5 = 4",
+)
+def variant_rejects(spark: SparkSession, directory: str) -> DataFrame:
+    return documents.variant_documents(shaped_lines(spark, directory), "line")[1]
+
+
+def shaped_lines(spark: SparkSession, directory: str) -> DataFrame:
+    """One line of JSON per order, whose form depends on its key."""
+    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
+    customer = F.concat(F.lit("c"), (F.col("o_custkey") % 10).cast("string"))
+
+    def line(identity: Column, double: Column, half: Column) -> Column:
+        relations = F.struct(double.alias("double_damage_to"), half.alias("half_damage_from"))
+        return F.to_json(
+            F.struct(identity.alias("id"), F.col("o_orderpriority").alias("name"), relations.alias("damage_relations"))
+        )
+
+    shape = key % 5
+    lines = (
+        F.when(shape == 0, line(key, F.array(_named(status), _named(F.lower(status))), F.array(_named(customer))))
+        .when(shape == 1, line(key.cast("string"), F.array(status, F.lower(status)), F.array(customer)))
+        .when(shape == 2, line(key, _named(status), _named(customer)))
+        .when(shape == 3, line(key, status, customer))
+        .otherwise(F.concat(F.lit('{"id": '), key.cast("string")))
+    )
+    return read_star(spark, directory, "orders").select("o_orderkey", lines.alias("line"))
