@@ -135,25 +135,68 @@ def test_toxicity(spark, marked):
     assert {r.doc_id: round(r.score, 9) for r in again} == {r.doc_id: round(r.score, 9) for r in rows}
 
 
-def test_word_bound(spark):
-    counted = spark.createDataFrame([(f"w{i}", i % 5, i % 3) for i in range(90)], "word string, toxic long, ordinary long")
-    kept = toxicity._most_seen(counted, 20).collect()
-    least = min(r.toxic + r.ordinary for r in kept)
-    assert len(kept) <= 20 and sum(i % 5 + i % 3 >= least for i in range(90)) == len(kept)
-
-
-def test_probabilities_sum_to_one():
-    """Stems of each class, seen and unseen, share all of the probability."""
-    counts, endings = np.array([[5.0, 0, 2], [1, 7, 0]]), np.array([3, 2, 1])
-    gaps, new = toxicity._stem_gaps(counts, endings)
-    shared = (endings + 1) / (endings.sum() + len(endings) + 1)
-    logs = []
-    for own in counts:
-        back = toxicity.DISCOUNT * np.count_nonzero(own) / own.sum()
-        seen = np.maximum(own - toxicity.DISCOUNT, 0) / own.sum() + back * shared
-        assert seen.sum() + back * (1 - shared.sum()) == pytest.approx(1)
-        logs.append(np.log(seen))
-    assert np.allclose(gaps, logs[0] - logs[1]) and np.isfinite(new)
+def plain_gaps(counts):
+    """Evidence of any word under the counts {word: (toxic, ordinary)}, in plain Python."""
+    d, stems = toxicity.DISCOUNT, {}
+    for word in counts:
+        stems.setdefault(word[: toxicity.STEM], []).append(word)
+    totals = [sum(own[k] for own in counts.values()) for k in (0, 1)]
+    of_stem = {stem: [sum(counts[w][k] for w in words) for k in (0, 1)] for stem, words in stems.items()}
+    back = [d * sum(own[k] > 0 for own in of_stem.values()) / totals[k] for k in (0, 1)]
+    shared = {stem: (len(words) + 1) / (len(counts) + len(stems) + 1) for stem, words in stems.items()}
+    first = {s: [max(own[k] - d, 0) / totals[k] + back[k] * shared[s] for k in (0, 1)] for s, own in of_stem.items()}
+    for k in (0, 1):  # stems, seen and unseen, share all of the probability
+        assert sum(own[k] for own in first.values()) + back[k] * (1 - sum(shared.values())) == pytest.approx(1)
+
+    def gap(word):
+        stem = word[: toxicity.STEM]
+        if stem not in stems:
+            p = back
+        else:
+            p = []
+            for k in (0, 1):
+                total = of_stem[stem][k]
+                rest = d * sum(counts[w][k] > 0 for w in stems[stem]) / total if total else 1.0
+                own, share = counts.get(word, (0, 0))[k], sum(counts.get(word, (0, 0))) / sum(of_stem[stem])
+                p.append(first[stem][k] * (max(own - d, 0) / max(total, 1) + rest * share if word in counts else rest))
+        whole = float(np.log(p[0]) - np.log(p[1]))
+        return np.sign(whole) * max(abs(whole) - toxicity.MARGIN, 0)
+
+    return gap
+
+
+@pytest.mark.parametrize("margin", [2.0, 0.0])
+def test_evidence_against_plain_python(spark, marked, monkeypatch, margin):
+    """All words count, by broadcast as by joins; the curve is the operator's own."""
+    monkeypatch.setattr(toxicity, "MARGIN", margin)
+    docs, labels = marked
+    known = {i: toxic for i, toxic in labels if i is not None and toxic is not None}
+    counts = {}
+    for i, text, *_ in docs:
+        if i in known:
+            for word in {toxicity.word_of(raw) for raw in (text or "").split()} - {""}:
+                own = counts.setdefault(word, [0, 0])
+                own[1 - known[i]] += 1
+    gap = plain_gaps(counts)
+    odd = [(3000, " !? ... zonkhead, ZONKHEAD!! zonkXYZ é日本語のテキスト", "x", "s", 1), (None, "the grimpling", None, None, 1)]
+    frame = spark.createDataFrame([*docs, *odd, (3001, "sch zonkface " * 40_000, "x", "s", 1)], DOCS).repartition(3)
+    told = spark.createDataFrame(list(known.items()), "doc_id long, label int")
+    counted = materialize(toxicity.count_words(spark.createDataFrame(docs, DOCS).join(told, "doc_id")))
+    want = Counter()
+    for row in frame.collect():
+        words = [toxicity.word_of(raw) for raw in (row.text or "").split()]
+        want[(row.doc_id, len(words), round(sum(map(gap, words)), 4))] += 1
+    for most in (1 << 20, 0):
+        model = toxicity.fit_counts(counted, most)
+        assert (model.arrays is None) == (most == 0)
+        rows = toxicity.evidence(frame.select(F.col("doc_id"), "text"), model, ["doc_id"]).collect()
+        assert Counter((r.doc_id, r.n_words, round(r.evidence, 4) + 0.0) for r in rows) == want
+
+
+def test_joined_scores_are_the_same(spark, marked):
+    frames = spark.createDataFrame(marked[0], DOCS).repartition(4), spark.createDataFrame(marked[1], "doc_id long, toxic int")
+    few, many = (toxicity.assess(*frames, broadcast_bytes=most).collect() for most in (toxicity.BROADCAST_BYTES, 0))
+    assert Counter((r.doc_id, r.predicted, round(r.score, 9)) for r in few) == Counter((r.doc_id, r.predicted, round(r.score, 9)) for r in many)
 
 
 @with_data
