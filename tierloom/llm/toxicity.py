@@ -48,7 +48,7 @@ from tierloom.sources.storage import materialize
 STEM = 5
 DISCOUNT = 0.75
 MARGIN = 2.0
-#: Most bytes of words' and stems' evidence that every task gets; 16 an entry.
+#: Most bytes of words' and stems' evidence that every task gets, and of labels; 16 an entry.
 BROADCAST_BYTES = 64 << 20
 #: Documents that the logistic curve is fitted on, about, per class.
 CURVE_DOCS = 10_000
@@ -259,8 +259,12 @@ def fit_curve(x: np.ndarray, y: np.ndarray, weights: np.ndarray, rounds: int = 5
 def fit(docs: DataFrame, labels: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> Model | None:
     """Model of ``docs`` (doc_id, text) with ``labels`` (doc_id, label 0 or 1); none without documents of both classes.
 
-    A third of the documents, by the hash of their id, fit the curve; all others are counted.
+    A third of the documents, by the hash of their id, fit the curve; all others are counted. Labels are broadcast under
+    the same bound as evidence.
     """
+    labels = materialize(labels)
+    if 16 * labels.count() <= broadcast_bytes:  # else the documents' texts move to meet their labels
+        labels = F.broadcast(labels)
     chosen = materialize(docs.select("doc_id", "text").join(labels, "doc_id"))
     for_curve = F.pmod(F.xxhash64(F.lit("curve"), "doc_id"), F.lit(3)) == 0
     model = fit_counts(materialize(count_words(chosen.where(~for_curve))), broadcast_bytes)
