@@ -10,8 +10,9 @@ a key is chosen to keep it. Only documents with suspected lines meet the list
 of their lines that go.
 
 The second filter is broadcast if its size, known before it is built, is at
-most ``BROADCAST_BYTES``. Beyond that, suspected hashes stay a table and the
-lines' hashes are joined with it.
+most ``BROADCAST_BYTES``. Beyond that, suspected hashes stay a table, and the
+lines' hashes and digests meet it in one shuffle; what it doesn't know goes no
+further.
 
 Defined cases: a null or empty text is one empty line; rows with one
 ``doc_id`` are one document, and all its rows lose the same lines; a null id
@@ -43,12 +44,19 @@ BITS, PROBES = 16, 4
 #: Hashes of one block of the filters.
 BLOCK = 1 << 17
 BROADCAST_BYTES = 64 << 20
+#: Documents that are cut into lines at a time.
+STEP = 1024
 #: Stands for a null id.
 NO_ID = -(1 << 63)
 
 Batches = Iterator[pa.RecordBatch]
 
 
+def steps(batches: Batches) -> Batches:
+    """The rows of ``batches``, a few at a time, as texts may be long."""
+    return (batch.slice(at, STEP) for batch in batches for at in range(0, batch.num_rows, STEP))
+
+
 def split_lines(texts: pa.Array) -> tuple[pa.Array, np.ndarray, pa.Array, np.ndarray]:
     """Lines of all texts, the row of each, their keys, and which keys are long enough to count."""
     lists = pc.split_pattern(pc.fill_null(texts, "").cast(pa.large_string()), "\n")
@@ -85,7 +93,7 @@ def local_hashes(texts: DataFrame) -> DataFrame:
 
     def scan(batches: Batches) -> Batches:
         found: list[np.ndarray] = []
-        for batch in batches:
+        for batch in steps(batches):
             _, rows, keys, counts = split_lines(batch.column(0))
             hashes = key_hashes(keys.filter(pa.array(counts)))
             pairs = np.unique(np.rec.fromarrays([hashes, rows[counts]], names="hash,row"))
@@ -155,7 +163,7 @@ def key_rows(docs: DataFrame, suspect: Suspect | None) -> DataFrame:
     """(doc_id, hash, digest) of each document's countable lines, or of the suspected ones only."""
 
     def scan(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in steps(batches):
             _, rows, keys, counts = split_lines(batch.column("text"))
             keys, rows = keys.filter(pa.array(counts)), rows[counts]
             hashes = key_hashes(keys)
@@ -173,7 +181,7 @@ def key_rows(docs: DataFrame, suspect: Suspect | None) -> DataFrame:
                     ["doc_id", "hash", "digest"],
                 )
 
-    return docs.mapInArrow(scan, "doc_id long, hash long, digest binary").distinct()
+    return docs.mapInArrow(scan, "doc_id long, hash long, digest binary")
 
 
 def lost_lines(docs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, Suspect | None]:
@@ -186,7 +194,7 @@ def lost_lines(docs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> tuple
         rows = key_rows(docs, suspect)
     else:
         rows = key_rows(docs, None).join(materialize(block_filters(hashes, blocks, True)), "hash", "left_semi")
-    rows = materialize(rows.select("doc_id", "digest"))
+    rows = materialize(rows.select("doc_id", "digest").distinct())
     confirmed = materialize(
         rows.groupBy("digest")
         .agg(F.count_distinct("doc_id").alias("docs"), F.max("doc_id").alias("keeper"))
