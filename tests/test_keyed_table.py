@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierloom.sources import keyed_table
 from tierloom.sources.keyed_table import KeyedTable, latest_rows, merge_latest
 
 DDL = "id bigint, part string, value bigint"
@@ -108,3 +109,20 @@ def test_files_stay_few(spark, table, tmp_path):
     assert len(folders) <= 8
     assert put(spark, table, [(1, "a", 100)], token="s/3").rows == 0
     assert content(table) == sorted([(1, "a", 6), *((n, "b", n) for n in range(7))], key=str)
+
+
+def test_many_rows_are_not_sent_to_the_driver(spark, table, monkeypatch):
+    """Neither the stored keys nor those of a large batch are broadcast, however small Spark takes them to be."""
+    plans, frame = [], type(spark.range(0))
+
+    def spy(*args, join=frame.join, **options):
+        joined = join(*args, **options)
+        plans.append(joined._jdf.queryExecution().executedPlan().toString())
+        return joined
+
+    monkeypatch.setattr(frame, "join", spy)
+    monkeypatch.setattr(keyed_table, "BROADCAST_KEYS", 10, raising=False)
+    put(spark, table, [(i, "a", i) for i in range(100)])
+    assert put(spark, table, [(i, "a", -i) for i in range(50, 150)]) == (100, 100, None)
+    assert plans and not any("Broadcast" in plan for plan in plans)
+    assert content(table) == sorted([*((i, "a", i) for i in range(50)), *((i, "a", -i) for i in range(50, 150))], key=str)
