@@ -5,9 +5,11 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from tierloom.operators.quality import relationship, run_checks, unique
 from tierloom.operators.rank import top_k
 from tierloom.plans.star import Star
 from tierloom.sources import storage
+from workload.documents import entity_documents
 
 TINY_SKEW = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -116,3 +118,21 @@ def test_cluster_without_a_shared_folder_is_an_error():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         storage.checkpoint_root(Session())
+
+
+def test_lone_keys_are_grouped_by_their_own_columns(spark):
+    """No key is turned into text, and rows dealt out by part of a key are not shuffled again; references still count."""
+    rows = spark.range(100).selectExpr("id % 60 AS a", "string(id % 2) AS b").repartition(4, "a")
+    lone = run_checks({"t": rows}, [unique("t", "a", "b")])
+    plan = lone._jdf.queryExecution().executedPlan().toString()
+    assert lone.first()["failures"] == 40 and "array(cast" not in plan and plan.count("hashpartitioning") == 1
+    tables = {"t": rows, "u": spark.range(50)}
+    checks = [unique("t", "a", "b"), unique("u", "id"), relationship("t", "a", "u", "id")]
+    assert [row["failures"] for row in run_checks(tables, checks).collect()] == [40, 0, 10]
+
+
+def test_small_file_lands_from_all_cores(spark, tmp_path):
+    part = "1L AS p_partkey, 'a b' AS p_name, 'Brand#7' AS p_brand, 'T' AS p_type, 3 AS p_size, 9.5D AS p_retailprice"
+    spark.range(100).selectExpr(*part.replace("1L", "id").split(", ")).coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    entity_documents(spark, str(tmp_path), spread=True).write.json(str(tmp_path / "landed"))
+    assert len(list((tmp_path / "landed").glob("part-*"))) == spark.sparkContext.defaultParallelism
