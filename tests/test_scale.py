@@ -9,7 +9,7 @@ from tierloom.operators.quality import relationship, run_checks, unique
 from tierloom.operators.rank import top_k
 from tierloom.plans.star import Star
 from tierloom.sources import storage
-from workload.documents import entity_documents
+from workload.documents import entity_documents, species_documents
 
 TINY_SKEW = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -136,3 +136,14 @@ def test_small_file_lands_from_all_cores(spark, tmp_path):
     spark.range(100).selectExpr(*part.replace("1L", "id").split(", ")).coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
     entity_documents(spark, str(tmp_path), spread=True).write.json(str(tmp_path / "landed"))
     assert len(list((tmp_path / "landed").glob("part-*"))) == spark.sparkContext.defaultParallelism
+
+
+def test_labels_are_not_sent_to_the_driver(spark, tmp_path):
+    """Nothing that a pass lands is broadcast: a million labels fit into a file that Spark takes for a small table."""
+    texts = spark.range(60).selectExpr("id AS doc_id", "'t' AS text", "'en' AS lang", "'s' AS source", "id AS n_chars")
+    texts.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.range(20).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic").write.parquet(str(tmp_path / "labels.parquet"))
+    species = species_documents(spark, str(tmp_path))
+    assert species.where("is_legendary").count() == 20 and species.count() == 60
+    plan, _ = final_plan(species)
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
